@@ -1,0 +1,22 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after a bounded probe proves it has at most
+``max_rows`` rows (``limit(max_rows + 1).count()`` stops early); otherwise the
+plan is left to the shuffle join and AQE, which can still convert it at run
+time from real shuffle statistics.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
