@@ -1 +1,310 @@
-"""Registered queries (filled in progressively)."""
+"""Telemetry queries (batch and streaming) with their DuckDB statements."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidewater.operators.dedup import find_duplicates
+from tidewater.operators.geo import tag_points
+from tidewater.plans import telemetry as tm
+from tidewater.registry import query
+from tidewater.session import scratch_path
+from tidewater.sources import wire
+from tidewater.streaming import jobs
+
+TELEMETRY_SQL = """
+t AS (
+  SELECT event_id, user_id AS vehicle_id, ts AS event_ts, nullif(event_type, 'view') AS geofence_id,
+         value AS speed_kph, event_type = 'error' AS harsh_braking,
+         CAST(json_extract(props, '$.k') AS DOUBLE) / 10.0 AS acceleration_ms2
+  FROM events
+)"""
+
+ALERTS_SQL = f"""WITH {TELEMETRY_SQL},
+alerts AS (
+  SELECT event_id, vehicle_id, event_ts, 'HARSH_BRAKING' AS alert_type, acceleration_ms2, speed_kph
+  FROM t WHERE harsh_braking
+  UNION ALL
+  SELECT event_id, vehicle_id, event_ts, 'GEOFENCE_SPEED' AS alert_type, acceleration_ms2, speed_kph
+  FROM t WHERE geofence_id IS NOT NULL AND speed_kph > 50
+)"""
+
+KPI_SELECT = f"""
+SELECT time_bucket(INTERVAL 1 MINUTE, event_ts) AS window_start,
+       time_bucket(INTERVAL 1 MINUTE, event_ts) + INTERVAL 1 MINUTE AS window_end,
+       coalesce(geofence_id, '__none__') AS geofence_id,
+       count(DISTINCT vehicle_id) AS active_vehicles,
+       {tm.exact_avg_sql('speed_kph')} AS avg_speed_kph,
+       max(speed_kph) AS max_speed_kph,
+       CAST(sum(CAST(harsh_braking AS INTEGER)) AS BIGINT) AS harsh_braking_events,
+       count(*) AS total_events
+FROM t GROUP BY 1, 2, 3"""
+
+KPI_SQL = f"WITH {TELEMETRY_SQL}\n{KPI_SELECT}"
+
+# windows a 30 s watermark has closed once everything was read
+CLOSED_KPI_SQL = f"""WITH {TELEMETRY_SQL}, k AS ({KPI_SELECT})
+SELECT * FROM k WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 30 SECOND"""
+
+
+def _telemetry(t):
+    return tm.telemetry_from_events(t.events)
+
+
+@query("alerts_union", f"{ALERTS_SQL}\nSELECT * FROM alerts")
+def q_alerts_union(spark, t):
+    """Harsh braking and geofence speeding alerts (UNION ALL semantics)."""
+    return tm.detect_alerts(_telemetry(t))
+
+
+@query(
+    "alert_keys",
+    f"""{ALERTS_SQL}
+SELECT CAST(vehicle_id AS VARCHAR) || '|' || alert_type || '|' || CAST(event_id AS VARCHAR) AS key,
+       event_id, alert_type FROM alerts""",
+)
+def q_alert_keys(spark, t):
+    """Sink keys ``vehicle|alert_type|event``."""
+    msgs = tm.alert_messages(tm.detect_alerts(_telemetry(t)))
+    return msgs.select(
+        "key",
+        F.split_part("key", F.lit("|"), F.lit(3)).cast("long").alias("event_id"),
+        F.split_part("key", F.lit("|"), F.lit(2)).alias("alert_type"),
+    )
+
+
+@query("alert_messages")
+def q_alert_messages(spark, t):
+    """Keyed JSON alert messages (JSON text is engine-specific: rows-only)."""
+    return tm.alert_messages(tm.detect_alerts(_telemetry(t)))
+
+
+@query(
+    "alert_duplicates",
+    f"""{ALERTS_SQL}
+SELECT event_id, alert_type, count(*) AS n FROM alerts GROUP BY 1, 2 HAVING count(*) > 1""",
+)
+def q_alert_duplicates(spark, t):
+    """No (event_id, alert_type) pair appears twice."""
+    return find_duplicates(tm.detect_alerts(_telemetry(t)), ["event_id", "alert_type"])
+
+
+@query("kpi_minute", KPI_SQL)
+def q_kpi_minute(spark, t):
+    """One-minute KPIs per geofence (exact distinct vehicles)."""
+    return tm.minute_kpis(_telemetry(t))
+
+
+@query("kpi_minute_approx")
+def q_kpi_minute_approx(spark, t):
+    """A3: the same with approx_count_distinct (5 % relative error)."""
+    return tm.minute_kpis(_telemetry(t), exact_distinct=False)
+
+
+@query(
+    "kpi_last_24h",
+    f"""WITH {TELEMETRY_SQL}, k AS ({KPI_SELECT})
+SELECT * FROM k WHERE window_start >= (SELECT max(ts) FROM events) - INTERVAL 24 HOUR""",
+)
+def q_kpi_last_24h(spark, t):
+    """KPIs of the 24 hours before the newest event."""
+    tel = _telemetry(t)
+    as_of = tm.max_event_time(tel, "event_ts")
+    return tm.recent_kpis(tm.minute_kpis(tel), F.lit(as_of).cast("timestamp_ntz"))
+
+
+@query(
+    "throughput_minute",
+    "SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS window_start, count(*) AS events FROM events GROUP BY 1",
+)
+def q_throughput_minute(spark, t):
+    """Events per minute."""
+    return tm.events_per_minute(_telemetry(t))
+
+
+@query(
+    "alerts_per_minute",
+    f"""{ALERTS_SQL}
+SELECT time_bucket(INTERVAL 1 MINUTE, event_ts) AS window_start, alert_type, count(*) AS alerts
+FROM alerts GROUP BY 1, 2""",
+)
+def q_alerts_per_minute(spark, t):
+    """Alerts per minute and type."""
+    return tm.alerts_per_minute(tm.detect_alerts(_telemetry(t)))
+
+
+@query("decode_payload", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def q_decode_payload(spark, t):
+    """Frame events (5-byte header + JSON), strip the header, decode, flatten."""
+    ev = t.events
+    framed = wire.encode_json(ev)
+    good, _ = wire.split_dead_letters(wire.decode(framed, ev.schema), ["event_id"])
+    return good
+
+
+ZONES = [
+    # zone_id, min_lat, max_lat, min_lon, max_lon  (a parameter of the query)
+    ("Z1", 0.0, 20.0, 0.0, 5.0),
+    ("Z2", 10.0, 40.0, 3.0, 12.0),
+    ("Z3", 50.0, 100.0, 10.0, 24.0),
+]
+
+
+@query(
+    "geofence_tag",
+    """
+WITH zones(zone_id, min_lat, max_lat, min_lon, max_lon) AS (
+  VALUES ('Z1', 0.0::DOUBLE, 20.0::DOUBLE, 0.0::DOUBLE, 5.0::DOUBLE),
+         ('Z2', 10.0, 40.0, 3.0, 12.0), ('Z3', 50.0, 100.0, 10.0, 24.0)),
+p AS (SELECT c_custkey, c_acctbal / 100.0 AS lat, CAST(c_nationkey AS DOUBLE) AS lon FROM customer)
+SELECT p.c_custkey, p.lat, p.lon, z.zone_id
+FROM p LEFT JOIN zones z ON p.lat BETWEEN z.min_lat AND z.max_lat AND p.lon BETWEEN z.min_lon AND z.max_lon""",
+)
+def q_geofence_tag(spark, t):
+    """Points tagged with every zone box containing them."""
+    pts = t.customer.select(
+        "c_custkey", (F.col("c_acctbal") / 100.0).alias("lat"), F.col("c_nationkey").cast("double").alias("lon")
+    )
+    zones = spark.createDataFrame(ZONES, "zone_id string, min_lat double, max_lat double, min_lon double, max_lon double")
+    return tag_points(pts, zones, "lat", "lon")
+
+
+# --------------------------------------------------------------------------
+# Streaming (file source, availableNow)
+# --------------------------------------------------------------------------
+
+
+def _staged_events(spark, t, label, frame=None, num_files=4):
+    ev = frame if frame is not None else t.events
+    path = scratch_path(spark, f"{label}-src")
+    jobs.stage_files(ev, path, num_files, "ts" if "ts" in ev.columns else None)
+    return path, ev.schema
+
+
+def _telemetry_stream(spark, t, label, frame=None):
+    path, schema = _staged_events(spark, t, label, frame)
+    return tm.telemetry_from_events(jobs.file_stream(spark, path, schema))
+
+
+@query("kpi_stream", CLOSED_KPI_SQL)
+def q_kpi_stream(spark, t):
+    """Streaming KPIs in append mode; open windows are withheld."""
+    stream = _telemetry_stream(spark, t, "kpi")
+    out, ckpt = scratch_path(spark, "kpi-out"), scratch_path(spark, "kpi-ckpt")
+    jobs.run_available_now(jobs.write_parquet(jobs.kpi_stream(stream), out, ckpt))
+    return spark.read.parquet(out)
+
+
+@query("kpi_sink_upsert", KPI_SQL)
+def q_kpi_sink_upsert(spark, t):
+    """KPIs in update mode into an idempotent keyed-upsert sink."""
+    stream = _telemetry_stream(spark, t, "kpiu")
+    sink = jobs.KeyedUpsertSink(scratch_path(spark, "kpiu-table"), tm.KPI_KEYS)
+    w = (
+        jobs.kpi_stream(stream).writeStream.outputMode("update")
+        .option("checkpointLocation", scratch_path(spark, "kpiu-ckpt")).foreachBatch(sink)
+    )
+    jobs.run_available_now(w)
+    return sink.current(spark).drop("version")
+
+
+@query("dedup_stream", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def q_dedup_stream(spark, t):
+    """U4: re-delivered events (every click twice) dropped within the watermark."""
+    ev = t.events
+    redelivered = ev.unionByName(ev.where(F.col("event_type") == "click"))
+    path, schema = _staged_events(spark, t, "dedup", redelivered)
+    stream = jobs.file_stream(spark, path, schema).withColumnRenamed("ts", "event_ts")
+    out = jobs.dedupe_events(stream, ["event_id"]).withColumnRenamed("event_ts", "ts")
+    sink, ckpt = scratch_path(spark, "dedup-out"), scratch_path(spark, "dedup-ckpt")
+    jobs.run_available_now(jobs.write_parquet(out, sink, ckpt))
+    return spark.read.parquet(sink)
+
+
+ARCHIVE_SQL = """
+SELECT event_id, ts, user_id, event_type, value, props, CAST(ts AS DATE) AS event_date,
+       CAST(hour(ts) AS INTEGER) AS event_hour FROM events"""
+
+
+def _archive(spark, t):
+    path, schema = _staged_events(spark, t, "arch")
+    stream = jobs.archive_frame(jobs.file_stream(spark, path, schema), "ts")
+    out, ckpt = scratch_path(spark, "arch-out"), scratch_path(spark, "arch-ckpt")
+    jobs.run_available_now(jobs.write_parquet(stream, out, ckpt, ["event_date", "event_hour"]))
+    return spark.read.parquet(out)
+
+
+@query("archive_stream", ARCHIVE_SQL)
+def q_archive_stream(spark, t):
+    """Cold archive partitioned by event date and hour."""
+    return _archive(spark, t)
+
+
+@query("archive_replay", KPI_SQL)
+def q_archive_replay(spark, t):
+    """Warm-path KPIs rebuilt in batch from the archive."""
+    arch = _archive(spark, t).drop("event_date", "event_hour")
+    return tm.minute_kpis(tm.telemetry_from_events(arch))
+
+
+@query("kpi_reconciled", KPI_SQL)
+def q_kpi_reconciled(spark, t):
+    """T5: streamed KPIs + windows recomputed from the archive where they differ."""
+    stream = _telemetry_stream(spark, t, "rec")
+    out, ckpt = scratch_path(spark, "rec-out"), scratch_path(spark, "rec-ckpt")
+    jobs.run_available_now(jobs.write_parquet(jobs.kpi_stream(stream), out, ckpt))
+    emitted = spark.read.parquet(out)
+    return tm.reconcile_kpis(emitted, _telemetry(t))
+
+
+@query(
+    "dlq_stream",
+    """
+SELECT event_id AS offset, CASE WHEN event_id % 50 = 0 THEN 'dead_letter' ELSE 'ok' END AS route
+FROM events""",
+)
+def q_dlq_stream(spark, t):
+    """Undecodable messages (every 50th payload truncated) go to a dead-letter table."""
+    ev = t.events
+    payload = F.to_json(F.struct(*[F.col(c) for c in ev.columns]), wire.JSON_TIME_OPTIONS)
+    broken = F.when(F.col("event_id") % 50 == 0, F.substring(payload, 1, 12)).otherwise(payload)
+    frames = ev.select(F.col("event_id").alias("offset"), wire.frame(broken).alias("value"))
+    path = scratch_path(spark, "dlq-src")
+    jobs.stage_files(frames, path, 4, "offset")
+    good_p, bad_p = scratch_path(spark, "dlq-good"), scratch_path(spark, "dlq-bad")
+    router = jobs.DeadLetterRouter(good_p, bad_p, ev.schema, ["event_id", "ts"])
+    w = (
+        jobs.file_stream(spark, path, frames.schema).writeStream
+        .option("checkpointLocation", scratch_path(spark, "dlq-ckpt")).foreachBatch(router)
+    )
+    jobs.run_available_now(w)
+    good = spark.read.parquet(good_p).select("offset", F.lit("ok").alias("route"))
+    bad = spark.read.parquet(bad_p).select("offset", F.lit("dead_letter").alias("route"))
+    return good.unionByName(bad)
+
+
+@query(
+    "late_side_output",
+    """
+SELECT event_id FROM events
+WHERE ts < TIMESTAMP '2024-01-15 00:00:00'
+  AND ts < (SELECT max(ts) FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00') - INTERVAL 30 SECOND""",
+)
+def q_late_side_output(spark, t):
+    """T4: the second half of the month arrives first; the earlier half is tagged late."""
+    ev = t.events
+    split = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    src = scratch_path(spark, "late-src")
+    late_p, prog_p = scratch_path(spark, "late-out"), scratch_path(spark, "late-prog")
+    ckpt = scratch_path(spark, "late-ckpt")
+    tagger = jobs.LateRowTagger(late_p, prog_p, 30, "ts")
+    for part, cond in (("a", F.col("ts") >= split), ("b", F.col("ts") < split)):
+        ev.where(cond).write.mode("overwrite").parquet(f"{src}/{part}")
+        stream = spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true").parquet(src)
+        jobs.run_available_now(
+            stream.writeStream.option("checkpointLocation", ckpt).foreachBatch(tagger)
+        )
+    try:
+        return spark.read.parquet(late_p).select("event_id")
+    except Exception:  # noqa: BLE001 - nothing was late
+        return ev.where(F.lit(False)).select("event_id")
