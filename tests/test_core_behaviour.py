@@ -1,4 +1,4 @@
-"""Behaviours the reference tests pin down, re-checked on our operators."""
+"""Core behaviours: change-detection hash and alert rules (incl. boundaries)."""
 
 from pyspark.sql import functions as F
 

@@ -1,8 +1,9 @@
 """Stable surrogate keys (C2) without a global window.
 
-Rows are range-partitioned and sorted by the business order, written to the
-shared checkpoint folder (so the numbering is replay-safe after an executor
-loss), then numbered as ``start + rows in earlier partitions + position in own
+Rows are range-partitioned and sorted by the business order, tagged with
+their partition id and position, and staged as Parquet in the shared
+checkpoint folder (so the numbering is replay-safe after an executor loss),
+then numbered as ``start + rows in earlier partitions + position in own
 partition``. The only values brought to the driver are one count per
 partition.
 """
@@ -14,7 +15,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.session import checkpoint_root
+from tidewater.session import stage
 
 
 def assign_surrogate_keys(
@@ -25,14 +26,13 @@ def assign_surrogate_keys(
     num_partitions: int | None = None,
 ) -> DataFrame:
     spark = df.sparkSession
-    checkpoint_root(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staged = (
+    staged = stage(
         df.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
         .withColumn("_sk_pid", F.spark_partition_id())
-        .withColumn("_sk_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
+        .withColumn("_sk_mid", F.monotonically_increasing_id()),
+        "surrogate-keys",
     )
     counts = {r["_sk_pid"]: r["count"] for r in staged.groupBy("_sk_pid").count().collect()}
     pids = sorted(counts)

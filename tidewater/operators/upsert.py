@@ -92,6 +92,7 @@ def upsert_partitioned_table(
     merged.write.mode("overwrite").parquet(staging_path)
     (
         spark.read.parquet(staging_path)
+        .hint("rebalance", partition_col)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from tidewater.functions.hashing import salted_sha256, token_of
 from tidewater.functions.regex import full_match_pattern
 from tidewater.operators.sizing import bounded_broadcast
+from tidewater.session import stage
 
 # --------------------------------------------------------------------------
 # The PII rule library (must equal the established rules).
@@ -66,6 +67,37 @@ TEXT_SCAN_PATTERNS = {
 }
 
 BLANK = r"[ \t\n\r\f\x0B]*"
+BLANK_CHARS = " \t\n\r\f\x0b"
+
+
+def _rule_guard(tag: str, c: str) -> Column:
+    """A cheap condition every full match of the category's value rule
+    satisfies (required character or length range). Long free texts skip
+    the regex; the rule itself stays the regex above."""
+    col = F.col(c)
+    if tag == "email":
+        return col.contains("@")
+    if tag == "ssn":
+        return F.length(col).between(9, 11)
+    if tag == "phone":
+        return (F.length(col) >= 7) & F.substring(col, 1, 1).rlike("[+0-9]")
+    if tag == "credit_card":
+        return F.length(col).between(13, 19)
+    if tag == "iban":
+        return F.length(col).between(5, 34)
+    return F.lit(True)
+
+
+def _text_guard(tag: str, c: str) -> Column:
+    """Same idea for the free-text search patterns."""
+    col = F.col(c)
+    if tag == "email":
+        return col.contains("@")
+    if tag == "ssn":
+        return col.contains("-")
+    if tag in ("phone", "credit_card"):
+        return col.rlike("[0-9]")
+    return F.lit(True)
 
 CLASSIFICATION_SCHEMA = (
     "table_fqn string, column string, tag string, sensitivity string, confidence double, reason string"
@@ -118,10 +150,10 @@ def value_match_counts(df: DataFrame, table_fqn: str, columns: list[str] | None
     rules = _value_rules(categories)
     aggs, cells = [], []
     for j, c in enumerate(cols):
-        nonblank = F.col(c).isNotNull() & ~F.col(c).rlike(full_match_pattern(BLANK))
+        nonblank = F.col(c).isNotNull() & (F.length(F.trim(F.col(c), F.lit(BLANK_CHARS))) > 0)
         aggs.append(F.sum(F.when(nonblank, 1).otherwise(0)).cast("long").alias(f"n{j}"))
         for k, (tag, sens, rule) in enumerate(rules):
-            hit = nonblank & F.col(c).rlike(full_match_pattern(rule["regex"]))
+            hit = nonblank & _rule_guard(tag, c) & F.col(c).rlike(full_match_pattern(rule["regex"]))
             aggs.append(F.sum(F.when(hit, 1).otherwise(0)).cast("long").alias(f"m{j}_{k}"))
             cells.append(
                 F.struct(
@@ -163,7 +195,11 @@ def best_per_tag(name_hits: DataFrame, value_hits: DataFrame) -> DataFrame:
 def text_pii_scan(df: DataFrame, id_col: str, text_col: str, patterns=TEXT_SCAN_PATTERNS) -> DataFrame:
     """Per row, match counts of each category in a free-text column
     (whole texts); rows without any hit are dropped."""
-    counts = [F.regexp_count(F.col(text_col), F.lit(p)).cast("long").alias(f"{k}_hits") for k, p in patterns.items()]
+    counts = [
+        F.when(_text_guard(k, text_col), F.regexp_count(F.col(text_col), F.lit(p))).otherwise(F.lit(0))
+        .cast("long").alias(f"{k}_hits")
+        for k, p in patterns.items()
+    ]
     out = df.select(id_col, *counts)
     any_hit = None
     for k in patterns:
@@ -317,23 +353,27 @@ def erase(df: DataFrame, key: str, subjects: DataFrame, subject_key: str,
     return df.join(s, F.col(key) == F.col("_erase_key"), "left_anti")
 
 
-def reachable(edges: DataFrame, starts: DataFrame, max_depth: int = 64) -> DataFrame:
+def reachable(edges: DataFrame, starts: DataFrame, max_depth: int = 64,
+              max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Nodes reachable from ``starts`` over ``edges(src, dst)`` with the
     first depth they are reached at. Frontier loop: join, drop seen nodes,
-    union; every round is checkpointed to the shared folder so the lineage
-    stays short and a lost executor only repeats one round."""
-    seen = starts.select(F.col("node"), F.lit(0).alias("depth")).distinct().checkpoint()
+    union; every round is staged as Parquet in the shared checkpoint folder so
+    the lineage stays short and a lost executor only repeats one round. A
+    frontier of proven small size is broadcast, so the (large) edge list is
+    scanned and filtered in place instead of shuffled every round."""
+    seen = stage(starts.select(F.col("node"), F.lit(0).alias("depth")).distinct(), "reach-0")
     frontier = seen
     for depth in range(1, max_depth + 1):
-        nxt = (
-            frontier.join(edges, frontier["node"] == edges["src"]).select(F.col("dst").alias("node")).distinct()
+        nxt = stage(
+            edges.join(bounded_broadcast(frontier.select("node"), max_broadcast_rows),
+                       F.col("src") == F.col("node")).select(F.col("dst").alias("node")).distinct()
             .join(seen.select("node"), "node", "left_anti")
-            .withColumn("depth", F.lit(depth))
-            .checkpoint()
+            .withColumn("depth", F.lit(depth)),
+            f"reach-{depth}",
         )
         if nxt.isEmpty():
             break
-        seen = seen.unionByName(nxt).checkpoint()
+        seen = stage(seen.unionByName(nxt), f"reach-seen-{depth}")
         frontier = nxt
     return seen
 

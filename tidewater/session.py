@@ -89,3 +89,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unique directory path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/tidewater/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df, label: str):
+    """Cut the lineage: write ``df`` as Parquet under the shared checkpoint
+    folder and read it back. Unlike ``Dataset.checkpoint`` the input is
+    computed once, the copy is columnar and compressed, and the planner gets
+    real size statistics (so later joins can be broadcast when small). After
+    an executor loss only the staged files are re-read, not the lineage."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

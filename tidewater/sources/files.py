@@ -122,7 +122,14 @@ def read_bronze(spark: SparkSession, target_path: str) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
                 dynamic: bool = False) -> None:
-    """overwrite (full replace), append, or dynamic overwrite of touched partitions."""
+    """overwrite (full replace), append, or dynamic overwrite of touched partitions.
+
+    Partitioned writes go through a REBALANCE on the partition columns: AQE
+    gathers each partition value's rows into few files and splits a hot value
+    over several tasks (no one-task-per-day bottleneck, no file explosion).
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
