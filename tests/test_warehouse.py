@@ -99,9 +99,11 @@ def test_cdc_latest_change_wins(spark):
     assert sorted(tuple(r) for r in cdc_apply(t, ch, ["k"]).collect()) == [(2, "b2"), (3, "c")]
 
 
-def test_surrogate_keys_follow_order(spark):
+@pytest.mark.parametrize("small_rows", [0, 1_000_000])
+def test_surrogate_keys_follow_order(spark, small_rows):
+    """Both paths (range-partitioned + staged, and small ordered window)."""
     df = spark.range(0, 1000).select((F.col("id") * 7 % 1000).alias("k"))
-    out = assign_surrogate_keys(df, ["k"], "sk", 100).collect()
+    out = assign_surrogate_keys(df, ["k"], "sk", 100, small_rows=small_rows).collect()
     assert sorted((r.k, r.sk) for r in out) == [(i, 101 + i) for i in range(1000)]
 
 

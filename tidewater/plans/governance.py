@@ -361,6 +361,7 @@ def reachable(edges: DataFrame, starts: DataFrame, max_depth: int = 64,
     the lineage stays short and a lost executor only repeats one round. A
     frontier of proven small size is broadcast, so the (large) edge list is
     scanned and filtered in place instead of shuffled every round."""
+    edges = stage(edges.select("src", "dst"), "reach-edges")  # built once, scanned every round
     seen = stage(starts.select(F.col("node"), F.lit(0).alias("depth")).distinct(), "reach-0")
     frontier = seen
     for depth in range(1, max_depth + 1):

@@ -29,10 +29,20 @@ CONTACT_PATTERNS = {
 }
 
 
+CONTACT_GUARDS = {"contact_email": "email", "contact_phone": "phone", "card_number": "credit_card"}
+
+
 def contacts(documents):
-    """Contact fields pulled out of free text (first match per document)."""
+    """Contact fields pulled out of free text (first match per document; ''
+    when none). The guard skips texts that cannot contain a match."""
     return documents.select(
-        "doc_id", *[F.regexp_extract("text", p, 0).alias(c) for c, p in CONTACT_PATTERNS.items()], "lang", "source"
+        "doc_id",
+        *[
+            F.when(gv._text_guard(CONTACT_GUARDS[c], "text"), F.regexp_extract("text", p, 0))
+            .otherwise(F.lit("")).alias(c)
+            for c, p in CONTACT_PATTERNS.items()
+        ],
+        "lang", "source",
     )
 
 
@@ -41,9 +51,11 @@ CONTACTS_SQL = "contacts AS (SELECT doc_id, " + ", ".join(
 ) + ", lang, source FROM documents)"
 
 
-def _frames(t: Tables) -> dict:
-    d = {name: getattr(t, name) for name in ALL_TABLES}
-    d["contacts"] = contacts(d["documents"])
+def _frames(t: Tables, names=None) -> dict:
+    names = list(names or ALL_TABLES + ["contacts"])
+    d = {name: getattr(t, name) for name in names if name != "contacts"}
+    if "contacts" in names:
+        d["contacts"] = contacts(d["documents"] if "documents" in d else t.documents)
     return d
 
 
@@ -106,7 +118,7 @@ def _name_hits(spark, t):
 
 
 def _value_counts(spark, t):
-    frames = _frames(t)
+    frames = _frames(t, VALUE_TABLES)
     parts = [gv.value_match_counts(frames[name], name, cols) for name, cols in VALUE_TABLES.items()]
     return union_by_name(parts)
 

@@ -110,7 +110,7 @@ def q_kpi_last_24h(spark, t):
     """KPIs of the 24 hours before the newest event."""
     tel = _telemetry(t)
     as_of = tm.max_event_time(tel, "event_ts")
-    return tm.recent_kpis(tm.minute_kpis(tel), F.lit(as_of).cast("timestamp_ntz"))
+    return tm.recent_minute_kpis(tel, F.lit(as_of).cast("timestamp_ntz"))
 
 
 @query(

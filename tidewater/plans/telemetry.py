@@ -121,6 +121,17 @@ def recent_kpis(kpis: DataFrame, as_of, hours: int = 24) -> DataFrame:
     return kpis.where(F.col("window_start") >= edge)
 
 
+def recent_minute_kpis(telemetry: DataFrame, as_of, hours: int = 24, ts_col: str = "event_ts",
+                       exact_distinct: bool = True) -> DataFrame:
+    """P9 over raw events: ``window_start >= edge`` implies ``ts >= edge``, so
+    that bound is applied to the events first (pushed into the scan, old
+    row groups and partitions are skipped), then the exact window filter."""
+    lit = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    edge = lit - F.expr(f"INTERVAL {hours} HOURS")
+    recent = telemetry.where(F.col(ts_col) >= edge)
+    return recent_kpis(minute_kpis(recent, exact_distinct, ts_col=ts_col), as_of, hours)
+
+
 def max_event_time(df: DataFrame, ts_col: str):
     return df.agg(F.max(ts_col).alias("m")).first()["m"]
 

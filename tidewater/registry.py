@@ -18,7 +18,15 @@ ORACLE: dict[str, str] = {}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read a table. A scan that yields fewer splits than the cluster has
+    cores (a single small file, one row group) is spread round-robin so the
+    work after it is not single-task; large inputs already have thousands of
+    splits and are left alone. Filters and projections still reach the scan."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 class Tables:
