@@ -32,7 +32,8 @@ def test_late_file_is_dropped_then_reconciled(spark, tables):
         ev.where(cond).write.parquet(f"{src}/{part}")
         stream = tm.telemetry_from_events(
             spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true").parquet(src))
-        jobs.run_available_now(jobs.write_parquet(jobs.kpi_stream(stream), out, ckpt))
+        q = jobs.run_available_now(jobs.write_parquet(jobs.kpi_stream(stream), out, ckpt))
+    assert jobs.rows_dropped_by_watermark(q) > 0                           # T3 reported
     emitted = spark.read.parquet(out)
     assert emitted.where(F.col("window_start") < split).count() == 0      # late rows dropped
     fixed = tm.reconcile_kpis(emitted, tm.telemetry_from_events(ev))
@@ -53,3 +54,15 @@ def test_upsert_sink_replay_is_noop(spark):
     sink(b1, 1)  # re-delivered batch
     again = sorted(tuple(r) for r in sink.current(spark).drop("version").collect())
     assert first == again == [(1, "a"), (2, "B"), (3, "c")]
+
+
+def test_bus_records_round_trip_and_dead_letters(spark, tables):
+    from tidewater.sources import wire
+
+    ev = tables.events
+    rec = wire.as_bus_records(ev, "user_id", "event_id", ts_col="ts")
+    broken = rec.withColumn("value", F.when(F.col("offset") % 7 == 0, F.substring("value", 1, 9)).otherwise(F.col("value")))
+    good, bad = wire.split_dead_letters(wire.decode_bus_records(broken, ev.schema), ["event_id"])
+    assert good.count() + bad.count() == ev.count()
+    assert bad.count() == ev.where(F.col("event_id") % 7 == 0).count()
+    assert good.drop(*wire.TRANSPORT_COLUMNS).exceptAll(ev.where(F.col("event_id") % 7 != 0)).count() == 0

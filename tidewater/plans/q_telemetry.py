@@ -133,13 +133,19 @@ def q_alerts_per_minute(spark, t):
     return tm.alerts_per_minute(tm.detect_alerts(_telemetry(t)))
 
 
-@query("decode_payload", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+@query(
+    "decode_payload",
+    """
+SELECT CAST(user_id AS VARCHAR) AS msg_key, 'events' AS topic, event_id AS "offset",
+       event_id, ts, user_id, event_type, value, props FROM events""",
+)
 def q_decode_payload(spark, t):
-    """Frame events (5-byte header + JSON), strip the header, decode, flatten."""
+    """Events as bus records (key, 5-byte framed JSON value, topic,
+    partition, offset, broker time), decoded and flattened."""
     ev = t.events
-    framed = wire.encode_json(ev)
-    good, _ = wire.split_dead_letters(wire.decode(framed, ev.schema), ["event_id"])
-    return good
+    records = wire.as_bus_records(ev, "user_id", "event_id", ts_col="ts")
+    good, _ = wire.split_dead_letters(wire.decode_bus_records(records, ev.schema), ["event_id"])
+    return good.drop("partition", "kafka_ts")
 
 
 ZONES = [

@@ -61,6 +61,35 @@ def decode(df: DataFrame, schema: T.StructType, value_col: str = "value", keep:
     return df.select(*keep, evt.alias("_evt")).select(*keep, "_evt.*")
 
 
+TRANSPORT_COLUMNS = ["msg_key", "topic", "partition", "offset", "kafka_ts"]
+
+
+def decode_bus_records(df: DataFrame, schema: T.StructType, avro_schema_json: str | None = None) -> DataFrame:
+    """Decode message-bus records (``key, value, topic, partition, offset,
+    timestamp`` — the Kafka source's columns). The record key stays as
+    ``msg_key`` so a payload field with the same name (e.g. the vehicle id)
+    is not ambiguous; the broker time becomes ``kafka_ts``."""
+    transport = df.select(
+        F.col("key").cast("string").alias("msg_key"), "topic", "partition", "offset",
+        F.col("timestamp").alias("kafka_ts"), "value",
+    )
+    return decode(transport, schema, keep=TRANSPORT_COLUMNS, avro_schema_json=avro_schema_json)
+
+
+def as_bus_records(df: DataFrame, key_col: str, offset_col: str, topic: str = "events",
+                   partitions: int = 8, ts_col: str | None = None) -> DataFrame:
+    """Frame rows the way the bus delivers them (for replay and tests):
+    key bytes, framed JSON value, topic, partition (by key hash), offset."""
+    return df.select(
+        F.col(key_col).cast("string").cast("binary").alias("key"),
+        frame(F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_TIME_OPTIONS)).alias("value"),
+        F.lit(topic).alias("topic"),
+        F.pmod(F.xxhash64(F.col(key_col)), F.lit(partitions)).cast("int").alias("partition"),
+        F.col(offset_col).cast("long").alias("offset"),
+        (F.col(ts_col).cast("timestamp") if ts_col else F.current_timestamp()).alias("timestamp"),
+    )
+
+
 def split_dead_letters(decoded: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
     """(good, dead letters): a row is bad if it failed to parse or lacks a required field."""
     bad_cond = F.col(CORRUPT_COL).isNotNull()

@@ -63,12 +63,24 @@ def with_event_time(telemetry: DataFrame, delay: str = WATERMARK) -> DataFrame:
     )
 
 
-def run_available_now(writer) -> None:
+def run_available_now(writer):
     """Process everything available, then stop (batch replay / tests)."""
     q = writer.trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    return q
+
+
+def rows_dropped_by_watermark(query) -> int:
+    """Late rows the stateful operators discarded, from the query's own
+    progress reports (counted after partial aggregation, as Spark reports)."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) if isinstance(p, dict) else getattr(p, "stateOperators", []):
+            v = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else getattr(op, "numRowsDroppedByWatermark", 0)
+            total += int(v or 0)
+    return total
 
 
 def _ntz(df: DataFrame, cols: list[str]) -> DataFrame:
