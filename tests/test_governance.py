@@ -118,3 +118,50 @@ def test_retention_and_erasure(spark):
     assert [r.k for r in gv.retain(df, "ts", 30, "2021-01-10 00:00:00").collect()] == [2]
     subj = spark.createDataFrame([(2,)], "k int")
     assert [r.k for r in gv.erase(df, "k", subj, "k").collect()] == [1]
+
+
+POLICY_DOC = """
+version: 1
+domains:
+  - name: clinical
+    owner: data@example.com
+    datasets:
+      - name: prod.patient_visits
+        sensitivity: PHI
+        retention_days: 2555
+        pii_columns: [mrn, patient_name]
+        access:
+          - role: analyst_clinical
+            masking: hash
+          - role: physician
+            masking: none
+            condition: "current_user_dept() = visit_dept"
+      - name: prod.lab_results
+        sensitivity: PHI
+        retention_days: 2555
+        pii_columns: [mrn]
+        access:
+          - role: physician
+            masking: none
+"""
+
+
+def test_policy_document_loading(visits):
+    with pytest.warns(UserWarning):
+        pols = gv.load_policies(POLICY_DOC)
+    assert set(pols) == {"prod.patient_visits", "prod.lab_results"}
+    pv = gv.policy_for(pols, "prod.patient_visits")
+    assert gv.apply_policy(visits, pv, "physician", session={"current_user_dept": "neuro"}).count() == 1
+    with pytest.raises(gv.AccessDenied):
+        gv.policy_for(pols, "prod.unknown")
+    with pytest.raises(ValueError):
+        gv.load_policies({"version": 2, "domains": []})
+
+
+def test_sampled_classification_is_repeatable(spark, tables):
+    docs = tables.documents
+    a = gv.value_match_counts(docs, "documents", sample_fraction=0.5, seed=7).collect()
+    b = gv.value_match_counts(docs, "documents", sample_fraction=0.5, seed=7).collect()
+    full = {(r.column, r.tag): r.nonblank for r in gv.value_match_counts(docs, "documents").collect()}
+    assert a == b
+    assert all(r.nonblank <= full[(r.column, r.tag)] for r in a)

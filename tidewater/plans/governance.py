@@ -255,6 +255,40 @@ class DatasetPolicy:
         raise AccessDenied(f"role {role!r} has no access to {self.name}")
 
 
+SUPPORTED_POLICY_VERSIONS = (1,)
+
+
+def load_policies(doc) -> dict[str, DatasetPolicy]:
+    """Policy document (YAML text or parsed dict: version, domains ->
+    datasets -> access) -> {dataset name: DatasetPolicy}. Unknown versions
+    are refused; raw (``none``) access without a condition is allowed but
+    warned about, since the spec only permits it with a condition."""
+    import warnings
+
+    if isinstance(doc, str):
+        import yaml  # optional dependency, only for YAML text
+
+        doc = yaml.safe_load(doc)
+    if doc.get("version") not in SUPPORTED_POLICY_VERSIONS:
+        raise ValueError(f"unsupported policy version {doc.get('version')!r}")
+    out: dict[str, DatasetPolicy] = {}
+    for domain in doc.get("domains", []):
+        for ds in domain.get("datasets", []):
+            pol = DatasetPolicy.from_dict(ds)
+            for r in pol.access:
+                if r.masking == "none" and not r.condition:
+                    warnings.warn(f"{pol.name}: role {r.role!r} reads raw values without a condition")
+            out[pol.name] = pol
+    return out
+
+
+def policy_for(policies: dict[str, DatasetPolicy], dataset: str) -> DatasetPolicy:
+    """Datasets not in the document are denied (catch-all)."""
+    if dataset not in policies:
+        raise AccessDenied(f"dataset {dataset!r} is not covered by the policy document")
+    return policies[dataset]
+
+
 def bind_session(condition: str, session: dict[str, object] | None) -> str:
     """Replace session functions such as ``current_user_dept()`` by literals."""
     out = condition

@@ -224,6 +224,19 @@ def q_scd2_idempotent(spark, t):
     return wh.build_dim_customer(t.customer, t.nation, reapply=True)
 
 
+@query("scd2_from_bronze", f"WITH {CUST_SQL},\n{DIM_CUSTOMER_SQL}\nSELECT * FROM dim_c")
+def q_scd2_from_bronze(spark, t):
+    """C1+W1: the second load reads an append-only bronze holding both
+    snapshots (ingest-time stamped); the latest row per key wins."""
+    d1 = wh.scd2_apply(None, wh.customer_snapshot(t.customer, t.nation, 1), wh.CUSTOMER_KEY,
+                       wh.CUSTOMER_TRACKED, wh.FIRST_LOAD, "dim_customer_sk")
+    stamp = lambda df, ts: df.withColumn("_ingest_ts", F.lit(ts).cast("timestamp_ntz"))
+    bronze = stamp(wh.customer_snapshot(t.customer, t.nation, 1), "1997-12-01 00:00:00").unionByName(
+        stamp(wh.customer_snapshot(t.customer, t.nation, 2), "1997-12-31 00:00:00"))
+    return wh.scd2_apply(d1, bronze, wh.CUSTOMER_KEY, wh.CUSTOMER_TRACKED, wh.SECOND_LOAD,
+                         "dim_customer_sk", source_ts="_ingest_ts")
+
+
 @query("product_dimension", f"WITH {PART_SQL},\n{DIM_PRODUCT_SQL}\nSELECT * FROM dim_p")
 def q_product_dimension(spark, t):
     """Product dimension (SCD2 on part, brand changes in the 2nd snapshot)."""
