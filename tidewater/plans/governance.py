@@ -390,43 +390,56 @@ def erase(df: DataFrame, key: str, subjects: DataFrame, subject_key: str,
 def reachable(edges: DataFrame, starts: DataFrame, max_depth: int = 64,
               max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Nodes reachable from ``starts`` over ``edges(src, dst)`` with the
-    first depth they are reached at. Frontier loop: join, drop seen nodes,
-    union; every round is staged as Parquet in the shared checkpoint folder so
-    the lineage stays short and a lost executor only repeats one round. A
-    frontier of proven small size is broadcast, so the (large) edge list is
-    scanned and filtered in place instead of shuffled every round."""
+    first depth they are reached at.
+
+    Frontier loop: join, drop nodes already seen, union. Each new frontier is
+    staged as Parquet in the shared checkpoint folder, so ``seen`` is a union
+    of staged parts (short lineage; a lost executor repeats one round at
+    most). One bounded count per round both ends the loop and decides
+    whether the next frontier may be broadcast, in which case the (large)
+    edge list is filtered in place instead of shuffled.
+    """
     edges = stage(edges.select("src", "dst"), "reach-edges")  # built once, scanned every round
-    seen = stage(starts.select(F.col("node"), F.lit(0).alias("depth")).distinct(), "reach-0")
-    frontier = seen
+    frontier = stage(starts.select(F.col("node"), F.lit(0).alias("depth")).distinct(), "reach-0")
+    seen = frontier
+    size = frontier.limit(max_broadcast_rows + 1).count()
     for depth in range(1, max_depth + 1):
+        if size == 0:
+            break
+        f = F.broadcast(frontier.select("node")) if size <= max_broadcast_rows else frontier.select("node")
         nxt = stage(
-            edges.join(bounded_broadcast(frontier.select("node"), max_broadcast_rows),
-                       F.col("src") == F.col("node")).select(F.col("dst").alias("node")).distinct()
+            edges.join(f, F.col("src") == F.col("node")).select(F.col("dst").alias("node")).distinct()
             .join(seen.select("node"), "node", "left_anti")
             .withColumn("depth", F.lit(depth)),
             f"reach-{depth}",
         )
-        if nxt.isEmpty():
-            break
-        seen = stage(seen.unionByName(nxt), f"reach-seen-{depth}")
+        size = nxt.limit(max_broadcast_rows + 1).count()
+        if size:
+            seen = seen.unionByName(nxt)
         frontier = nxt
     return seen
 
 
+LINEAGE_KINDS = ["customer", "order", "part", "supplier"]
+
+
+def lineage_node(kind: str, id_col: str) -> Column:
+    """Compact node id: ``id * 4 + kind`` (a long — cheap to shuffle and join)."""
+    return F.col(id_col).cast("long") * len(LINEAGE_KINDS) + LINEAGE_KINDS.index(kind)
+
+
+def lineage_label(node_col: str = "node") -> Column:
+    """``kind:id`` text of a compact node id."""
+    n = len(LINEAGE_KINDS)
+    kind = F.element_at(F.array(*[F.lit(k) for k in LINEAGE_KINDS]), (F.pmod(F.col(node_col), F.lit(n)) + 1).cast("int"))
+    return F.concat(kind, F.lit(":"), F.floor(F.col(node_col) / n).cast("long").cast("string"))
+
+
 def record_lineage_edges(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Record-level lineage in the warehouse: customer -> order -> part -> supplier."""
-    c2o = orders.select(
-        F.concat(F.lit("customer:"), F.col("o_custkey").cast("string")).alias("src"),
-        F.concat(F.lit("order:"), F.col("o_orderkey").cast("string")).alias("dst"),
-    )
-    o2p = lineitem.select(
-        F.concat(F.lit("order:"), F.col("l_orderkey").cast("string")).alias("src"),
-        F.concat(F.lit("part:"), F.col("l_partkey").cast("string")).alias("dst"),
-    )
-    p2s = lineitem.select(
-        F.concat(F.lit("part:"), F.col("l_partkey").cast("string")).alias("src"),
-        F.concat(F.lit("supplier:"), F.col("l_suppkey").cast("string")).alias("dst"),
-    )
+    c2o = orders.select(lineage_node("customer", "o_custkey").alias("src"), lineage_node("order", "o_orderkey").alias("dst"))
+    o2p = lineitem.select(lineage_node("order", "l_orderkey").alias("src"), lineage_node("part", "l_partkey").alias("dst"))
+    p2s = lineitem.select(lineage_node("part", "l_partkey").alias("src"), lineage_node("supplier", "l_suppkey").alias("dst"))
     return c2o.unionByName(o2p).unionByName(p2s).distinct()
 
 

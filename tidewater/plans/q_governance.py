@@ -315,10 +315,8 @@ SELECT node, CAST(min(depth) AS INTEGER) AS depth FROM reach GROUP BY node""",
 def q_lineage_reach(spark, t):
     """Records reachable from erased subjects (customer -> order -> part -> supplier)."""
     edges = gv.record_lineage_edges(t.orders, t.lineitem)
-    starts = t.customer.where(F.col("c_acctbal") < 0).select(
-        F.concat(F.lit("customer:"), F.col("c_custkey").cast("string")).alias("node")
-    )
-    return gv.reachable(edges, starts)
+    starts = t.customer.where(F.col("c_acctbal") < 0).select(gv.lineage_node("customer", "c_custkey").alias("node"))
+    return gv.reachable(edges, starts).select(gv.lineage_label("node").alias("node"), "depth")
 
 
 @query(
