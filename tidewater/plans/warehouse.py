@@ -38,6 +38,7 @@ def scd2_apply(
     sk_col: str,
     source_ts: str | None = None,
     hash_mode: str = "compatible",
+    initial_valid_from: str | None = None,
 ) -> DataFrame:
     """Return the new dimension after applying one source snapshot.
 
@@ -46,7 +47,9 @@ def scd2_apply(
     instant (no gap, no overlap); new key -> new current row; key absent from
     the snapshot -> untouched. Historical rows pass through without a join.
     Applying the same snapshot twice is a no-op. New rows get dense surrogate
-    keys after the current maximum, in natural-key order.
+    keys after the current maximum, in natural-key order. On the first load
+    ``initial_valid_from`` (e.g. '1900-01-01') lets facts older than the load
+    still find a version.
     """
     eff = ntz_literal(effective_ts)
     src = latest_per_key(source, key, [source_ts]) if source_ts else source
@@ -54,11 +57,12 @@ def scd2_apply(
     out_cols = [sk_col, key, *tracked, *SCD2_META]
 
     if target is None:
+        first_from = ntz_literal(initial_valid_from) if initial_valid_from else eff
         fresh = src.select(
             key,
             *tracked,
             "_attr_hash",
-            eff.alias("valid_from"),
+            first_from.alias("valid_from"),
             F.lit(None).cast("timestamp_ntz").alias("valid_to"),
             F.lit(True).alias("is_current"),
         )
@@ -233,8 +237,12 @@ def explode_order_lines(nested: DataFrame) -> DataFrame:
 
 
 def build_fact_sales(lines: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
-                     salt_buckets: int = 1) -> DataFrame:
-    """Dedupe (ordered, before the joins) -> PIT customer -> PIT product."""
+                     salt_buckets: int = 1, unknown_sk: int | None = None) -> DataFrame:
+    """Dedupe (ordered, before the joins) -> PIT customer -> PIT product.
+
+    Lines with no dimension version at order time keep a NULL key (reported
+    by the mart tests), or ``unknown_sk`` (e.g. -1, the 'unknown' member).
+    """
     deduped = dedupe_ordered(lines, ["order_id", "line_id"])
     with_c = pit_join(
         deduped, dim_customer, "customer_id", "order_ts", CUSTOMER_KEY,
@@ -244,6 +252,9 @@ def build_fact_sales(lines: DataFrame, dim_customer: DataFrame, dim_product: Dat
         with_c, dim_product, "sku", "order_ts", PRODUCT_KEY,
         {"dim_product_sk": "dim_product_sk"}, salt_buckets=salt_buckets,
     )
+    if unknown_sk is not None:
+        for c in ("dim_customer_sk", "dim_product_sk"):
+            with_p = with_p.withColumn(c, F.coalesce(F.col(c), F.lit(unknown_sk).cast("long")))
     return with_p.select(
         "order_id", "line_id", "dim_customer_sk", "dim_product_sk", "store_id", "channel",
         "currency", "qty", "unit_price", "line_amount", "return_flag", "order_ts",
@@ -290,18 +301,29 @@ def incremental_cutoff(target: DataFrame, col: str = "order_date", default: str
 
 
 def incremental_source(target: DataFrame, fact: DataFrame, dim_customer: DataFrame,
-                       dim_product: DataFrame, lookback_days: int = 0) -> DataFrame:
-    """Mart rows for days >= max(target day) - lookback (P10). The cutoff is a
-    literal, so a fact partitioned by ``order_date`` is pruned statically."""
-    cut = incremental_cutoff(target)
-    fresh = fact.where(F.col("order_date") >= F.date_sub(F.lit(cut).cast("date"), lookback_days))
+                       dim_product: DataFrame, lookback_days: int = 0,
+                       affected_dates: DataFrame | None = None) -> DataFrame:
+    """Mart rows to recompute (P10).
+
+    Default: days >= max(target day) - ``lookback_days``; the cutoff is a
+    literal, so a fact partitioned by ``order_date`` is pruned statically.
+    ``affected_dates`` (a DataFrame with ``order_date``, e.g. the days late
+    orders landed on) recomputes exactly those days instead — the case a
+    plain max-date cutoff misses.
+    """
+    if affected_dates is not None:
+        fresh = fact.join(affected_dates.select("order_date").distinct(), "order_date", "left_semi")
+    else:
+        cut = incremental_cutoff(target)
+        fresh = fact.where(F.col("order_date") >= F.date_sub(F.lit(cut).cast("date"), lookback_days))
     return enrich_daily(daily_sales(fresh), dim_customer, dim_product)
 
 
 def incremental_daily(target: DataFrame, fact: DataFrame, dim_customer: DataFrame,
-                      dim_product: DataFrame, lookback_days: int = 0) -> DataFrame:
-    """Recompute the recent days and upsert them on the full grain."""
-    src = incremental_source(target, fact, dim_customer, dim_product, lookback_days)
+                      dim_product: DataFrame, lookback_days: int = 0,
+                      affected_dates: DataFrame | None = None) -> DataFrame:
+    """Recompute the selected days and upsert them on the full grain."""
+    src = incremental_source(target, fact, dim_customer, dim_product, lookback_days, affected_dates)
     return upsert(target, src, MART_GRAIN, null_safe=True, check_unique=False)
 
 
