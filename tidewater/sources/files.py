@@ -85,8 +85,14 @@ def ingest_to_bronze(
     trigger_interval: str | None = None,
     max_files_per_trigger: int | None = None,
     options: dict | None = None,
+    batch_id_column: bool = False,
 ):
-    """Start (or, with ``trigger_interval=None``, run to completion) the ingest."""
+    """Start (or, with ``trigger_interval=None``, run to completion) the ingest.
+
+    ``batch_id_column=True`` adds ``_ingest_batch_id``: each micro-batch is
+    written by ``foreachBatch`` into its own ``_ingest_batch_id=N`` slice with
+    overwrite, so a retried batch replaces itself instead of duplicating.
+    """
     resolved = resolve_schema(spark, source_path, file_format, schema, schema_location, options)
     reader = spark.readStream.format(file_format).schema(resolved).options(**(options or {}))
     if max_files_per_trigger:
@@ -97,12 +103,18 @@ def ingest_to_bronze(
         F.current_timestamp().alias("_ingest_ts"),
         F.col("_metadata.file_path").alias("_source_file"),
     )
-    writer = (
-        bronze.writeStream.format("parquet")
-        .option("path", target_path)
-        .option("checkpointLocation", checkpoint_path)
-        .outputMode("append")
-    )
+    if batch_id_column:
+        def write_batch(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{target_path.rstrip('/')}/_ingest_batch_id={batch_id}")
+
+        writer = bronze.writeStream.option("checkpointLocation", checkpoint_path).foreachBatch(write_batch)
+    else:
+        writer = (
+            bronze.writeStream.format("parquet")
+            .option("path", target_path)
+            .option("checkpointLocation", checkpoint_path)
+            .outputMode("append")
+        )
     if trigger_interval is None:
         q = writer.trigger(availableNow=True).start()
         q.awaitTermination()
