@@ -72,7 +72,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     checkpoint dir). Only when neither is set do we create a local folder —
     that is the unit-test / single-machine case.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="tidewater-ckpt-")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
