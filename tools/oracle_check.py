@@ -31,7 +31,8 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return repr(round(v, 9))
+        # ORACLE_STRICT=1 compares doubles bit for bit (exact repr)
+        return repr(v) if os.environ.get("ORACLE_STRICT") else repr(round(v, 9))
     if isinstance(v, decimal.Decimal):
         return format(v, "f")
     if isinstance(v, dt.datetime):
