@@ -24,7 +24,7 @@ def test_full_match_rejects_trailing_newline(spark):
 
 def test_name_rules_and_best_per_tag(spark):
     inv = gv.column_inventory(spark, {"t": spark.createDataFrame([], "email string, hotel string, name string")})
-    names = gv.classify_by_name(inv, gv.rules_frame(spark))
+    names = gv.classify_by_name(inv)
     got = {(r["column"], r["tag"]) for r in names.collect()}
     assert got == {("email", "email"), ("hotel", "phone"), ("name", "full_name")}
     values = spark.createDataFrame([("t", "email", "email", "PII", 0.95, "4/4 sample values matched")],
@@ -102,13 +102,15 @@ def test_lineage_matches_brute_force_with_cycle(spark):
     assert got == set(depth.items())
 
 
-def test_grid_tagging_equals_broadcast(spark, tables):
+def test_grid_tagging_cell_size_and_paths_agree(spark, tables):
     pts = tables.customer.select("c_custkey", (F.col("c_acctbal") / 100.0).alias("lat"),
                                  F.col("c_nationkey").cast("double").alias("lon"))
     zones = spark.createDataFrame([("Z1", 0.0, 20.0, 0.0, 5.0), ("Z2", 10.0, 40.0, 3.0, 12.0)],
                                   "zone_id string, min_lat double, max_lat double, min_lon double, max_lon double")
     a = tag_points(pts, zones, "lat", "lon")
     b = tag_points(pts, zones, "lat", "lon", cell_size=5.0)
+    c = tag_points(pts, zones, "lat", "lon", max_broadcast_rows=0)        # shuffle path
+    assert a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 

@@ -1,10 +1,10 @@
 """Tag points with the boxes that contain them.
 
-A small zone table is broadcast (after a row-count check) and joined with a
-``between`` range condition. For many zones, both sides are mapped to grid
-cells: each box is expanded to the cells it overlaps, each point has exactly
-one cell, and the equi-join on the cell is refined with the exact bounds, so
-the join never compares a point with zones far away.
+Grid equi-join, never a nested loop: each zone box is expanded to the grid
+cells it overlaps, each point falls in exactly one cell, and the equi-join
+on the cell is refined with the exact bounds. The expanded zone table is
+broadcast only after a row-count check; otherwise it is a shuffle join on
+the cell. A point is compared only with zones overlapping its own cell.
 """
 
 from __future__ import annotations
@@ -12,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.sizing import has_at_most
+from tidewater.operators.sizing import bounded_broadcast
+
+DEFAULT_CELL = 1.0
 
 
 def _inside(lat: str, lon: str):
@@ -29,12 +31,14 @@ def tag_points(
     lon: str,
     zone_id: str = "zone_id",
     cell_size: float | None = None,
-    max_broadcast_rows: int = 10_000,
+    max_broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """Left join: one output row per (point, containing zone); NULL zone if none.
 
-    ``zones`` has ``zone_id, min_lat, max_lat, min_lon, max_lon``.
+    ``zones`` has ``zone_id, min_lat, max_lat, min_lon, max_lon``; pick
+    ``cell_size`` near the typical zone size (default 1 unit).
     """
+    cs = float(cell_size or DEFAULT_CELL)
     z = zones.select(
         F.col("zone_id").alias(zone_id),
         F.col("min_lat").alias("_z_min_lat"),
@@ -42,24 +46,18 @@ def tag_points(
         F.col("min_lon").alias("_z_min_lon"),
         F.col("max_lon").alias("_z_max_lon"),
     )
-    if cell_size is None and has_at_most(zones, max_broadcast_rows):
-        out = points.join(F.broadcast(z), _inside(lat, lon), "left")
-        return out.select(*points.columns, zone_id)
-    cs = float(cell_size or 1.0)
-    zc = z.withColumn(
+    cells = z.withColumn(
         "_cell_lat",
         F.explode(F.sequence(F.floor(F.col("_z_min_lat") / cs), F.floor(F.col("_z_max_lat") / cs))),
     ).withColumn(
         "_cell_lon",
         F.explode(F.sequence(F.floor(F.col("_z_min_lon") / cs), F.floor(F.col("_z_max_lon") / cs))),
     )
-    p = points.withColumn("_p_lat", F.floor(F.col(lat) / cs)).withColumn(
-        "_p_lon", F.floor(F.col(lon) / cs)
-    )
+    p = points.withColumn("_p_lat", F.floor(F.col(lat) / cs)).withColumn("_p_lon", F.floor(F.col(lon) / cs))
     cond = (
         (F.col("_p_lat") == F.col("_cell_lat"))
         & (F.col("_p_lon") == F.col("_cell_lon"))
         & _inside(lat, lon)
     )
-    out = p.join(zc, cond, "left")
+    out = p.join(bounded_broadcast(cells, max_broadcast_rows), cond, "left")
     return out.select(*points.columns, zone_id)

@@ -105,7 +105,7 @@ CLASSIFICATION_SCHEMA = (
 
 
 def rules_frame(spark: SparkSession, categories=PII_CATEGORIES) -> DataFrame:
-    """One row per (category, name pattern) — a small, fixed-size table."""
+    """The rule library as a table: one row per (category, name pattern)."""
     rows = [(c["name"], c["sensitivity"], p) for c in categories for p in c["patterns"]]
     return spark.createDataFrame(rows, "tag string, sensitivity string, pattern string")
 
@@ -120,11 +120,23 @@ def column_inventory(spark: SparkSession, tables: dict[str, DataFrame]) -> DataF
     return spark.createDataFrame(rows, "table_fqn string, column string, data_type string, ordinal int")
 
 
-def classify_by_name(columns: DataFrame, rules: DataFrame) -> DataFrame:
-    """A column is tagged when any pattern of a category finds a match."""
-    hits = columns.join(F.broadcast(rules), F.regexp(F.col("column"), F.col("pattern")), "inner")
-    return hits.select("table_fqn", "column", "tag", "sensitivity").distinct().select(
-        "table_fqn", "column", "tag", "sensitivity",
+def classify_by_name(columns: DataFrame, categories=PII_CATEGORIES) -> DataFrame:
+    """A column is tagged when any pattern of a category finds a match.
+
+    The rule library is compiled into one expression per row (no join): each
+    category contributes ``when(any pattern matches, struct(tag, ...))`` and
+    the hits are exploded.
+    """
+    hits = []
+    for cat in categories:
+        matched = None
+        for p in cat["patterns"]:
+            cond = F.col("column").rlike(p)
+            matched = cond if matched is None else (matched | cond)
+        hits.append(F.when(matched, F.struct(F.lit(cat["name"]).alias("tag"),
+                                             F.lit(cat["sensitivity"]).alias("sensitivity"))))
+    return columns.select("table_fqn", "column", F.explode(F.array_compact(F.array(*hits))).alias("h")).select(
+        "table_fqn", "column", "h.tag", "h.sensitivity",
         F.lit(NAME_HIT_CONFIDENCE).alias("confidence"),
         F.concat(F.lit("column-name match: "), F.col("column")).alias("reason"),
     )

@@ -114,7 +114,7 @@ value_hits AS (
 
 def _name_hits(spark, t):
     inv = gv.column_inventory(spark, _frames(t))
-    return gv.classify_by_name(inv, gv.rules_frame(spark))
+    return gv.classify_by_name(inv)
 
 
 def _value_counts(spark, t):
