@@ -22,6 +22,7 @@ from tidewater.operators.upsert import upsert
 from tidewater.session import stage
 
 SCD2_META = ["_attr_hash", "valid_from", "valid_to", "is_current"]
+LOOKUP_BROADCAST_MAX_ROWS = 100_000  # geography lookups (nation, region)
 
 
 # --------------------------------------------------------------------------
@@ -123,7 +124,8 @@ SECOND_LOAD = "1998-01-01 00:00:00"
 def customer_snapshot(customer: DataFrame, nation: DataFrame, version: int) -> DataFrame:
     """v1 lacks keys ending in 9; v2 moves every fifth customer to another segment."""
     base = customer.join(
-        F.broadcast(nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country"))),
+        bounded_broadcast(nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")),
+                          LOOKUP_BROADCAST_MAX_ROWS),
         "c_nationkey",
         "left",
     ).select(
@@ -349,8 +351,8 @@ def dim_date(orders: DataFrame, ts_col: str = "o_orderdate", fiscal_offset_month
 def dim_store(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     stores = (
         supplier.select(F.col("s_suppkey").alias("store_id"), "s_nationkey")
-        .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"), "left")
-        .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        .join(bounded_broadcast(nation, LOOKUP_BROADCAST_MAX_ROWS), F.col("s_nationkey") == F.col("n_nationkey"), "left")
+        .join(bounded_broadcast(region, LOOKUP_BROADCAST_MAX_ROWS), F.col("n_regionkey") == F.col("r_regionkey"), "left")
         .select("store_id", F.col("n_name").alias("nation"), F.col("r_name").alias("region"))
         .distinct()
     )
