@@ -227,6 +227,24 @@ def q_dedup_stream(spark, t):
     return spark.read.parquet(sink)
 
 
+@query("dedup_stream_batches", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def q_dedup_stream_batches(spark, t):
+    """U4 (hot-key safe): re-delivered events, including a large group of
+    copies, removed across several micro-batches by the foreachBatch dedupe."""
+    ev = t.events
+    hot = ev.where(F.col("event_type") == "click")
+    redelivered = ev.unionByName(hot).unionByName(hot).unionByName(ev.where(F.col("event_type") == "error"))
+    path, schema = _staged_events(spark, t, "bdedup", redelivered, num_files=6)
+    out_p, seen_p = scratch_path(spark, "bdedup-out"), scratch_path(spark, "bdedup-seen")
+    sink = jobs.BatchDedupeSink(out_p, seen_p, ["event_id"], "ts", horizon_days=31)
+    w = (
+        jobs.file_stream(spark, path, schema, max_files_per_trigger=2).writeStream
+        .option("checkpointLocation", scratch_path(spark, "bdedup-ckpt")).foreachBatch(sink)
+    )
+    jobs.run_available_now(w)
+    return spark.read.parquet(out_p).drop("batch")
+
+
 ARCHIVE_SQL = """
 SELECT event_id, ts, user_id, event_type, value, props, CAST(ts AS DATE) AS event_date,
        CAST(hour(ts) AS INTEGER) AS event_hour FROM events"""
