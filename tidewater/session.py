@@ -45,6 +45,8 @@ def build_session(
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+        # RocksDB state: upload change logs per micro-batch, snapshots in the background
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for k, v in RUNTIME_DEFAULTS.items():
