@@ -148,14 +148,18 @@ def _value_rules(categories=PII_CATEGORIES):
 
 def value_match_counts(df: DataFrame, table_fqn: str, columns: list[str] | None = None,
                        categories=PII_CATEGORIES, sample_fraction: float | None = None,
-                       seed: int = 42) -> DataFrame:
+                       seed: int = 42, emit: list[tuple[str, str]] | None = None) -> DataFrame:
     """Per (column, category) the non-blank values and how many match.
 
     One aggregate pass over all string columns at once (no row blow-up). The
     default reads every value (exact, repeatable); ``sample_fraction`` reads a
-    seeded Bernoulli sample instead.
+    seeded Bernoulli sample instead. ``emit`` lists (table label, column)
+    result rows when one scan serves several logical tables (e.g. a table and
+    a view derived from it); each column is still counted once.
     """
     cols = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    emit = emit or [(table_fqn, c) for c in cols]
+    cols = list(dict.fromkeys(cols + [c for _, c in emit]))
     src = df.select(*cols)
     if sample_fraction is not None:
         src = src.sample(fraction=sample_fraction, seed=seed)
@@ -167,9 +171,12 @@ def value_match_counts(df: DataFrame, table_fqn: str, columns: list[str] | None
         for k, (tag, sens, rule) in enumerate(rules):
             hit = nonblank & _rule_guard(tag, c) & F.col(c).rlike(full_match_pattern(rule["regex"]))
             aggs.append(F.sum(F.when(hit, 1).otherwise(0)).cast("long").alias(f"m{j}_{k}"))
+    for label, c in emit:
+        j = cols.index(c)
+        for k, (tag, sens, rule) in enumerate(rules):
             cells.append(
                 F.struct(
-                    F.lit(table_fqn).alias("table_fqn"), F.lit(c).alias("column"), F.lit(tag).alias("tag"),
+                    F.lit(label).alias("table_fqn"), F.lit(c).alias("column"), F.lit(tag).alias("tag"),
                     F.lit(sens).alias("sensitivity"), F.lit(float(rule["min_match_fraction"])).alias("threshold"),
                     F.col(f"m{j}_{k}").alias("matches"), F.col(f"n{j}").alias("nonblank"),
                 )

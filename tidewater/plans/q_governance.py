@@ -35,15 +35,7 @@ CONTACT_GUARDS = {"contact_email": "email", "contact_phone": "phone", "card_numb
 def contacts(documents):
     """Contact fields pulled out of free text (first match per document; ''
     when none). The guard skips texts that cannot contain a match."""
-    return documents.select(
-        "doc_id",
-        *[
-            F.when(gv._text_guard(CONTACT_GUARDS[c], "text"), F.regexp_extract("text", p, 0))
-            .otherwise(F.lit("")).alias(c)
-            for c, p in CONTACT_PATTERNS.items()
-        ],
-        "lang", "source",
-    )
+    return _documents_with_contacts(documents).select("doc_id", *CONTACT_PATTERNS, "lang", "source")
 
 
 CONTACTS_SQL = "contacts AS (SELECT doc_id, " + ", ".join(
@@ -118,11 +110,28 @@ def _name_hits(spark, t):
 
 
 def _value_counts(spark, t):
-    frames = _frames(t, VALUE_TABLES)
-    parts = [gv.value_match_counts(frames[name], name, cols) for name, cols in VALUE_TABLES.items()]
+    """One aggregate pass per base table; the contacts view is derived from
+    documents, so its columns are counted in the same documents scan."""
+    frames = _frames(t, [n for n in VALUE_TABLES if n != "contacts"])
+    parts = [gv.value_match_counts(frames[name], name, cols)
+             for name, cols in VALUE_TABLES.items() if name not in ("documents", "contacts")]
+    emit = [("documents", c) for c in VALUE_TABLES["documents"]] + [("contacts", c) for c in VALUE_TABLES["contacts"]]
+    parts.append(gv.value_match_counts(_documents_with_contacts(frames["documents"]), "documents", emit=emit))
     return union_by_name(parts)
 
 
+def _documents_with_contacts(documents):
+    """documents plus the contact columns extracted from its text."""
+    return documents.select(
+        *documents.columns,
+        *[
+            F.when(gv._text_guard(CONTACT_GUARDS[c], "text"), F.regexp_extract("text", p, 0))
+            .otherwise(F.lit("")).alias(c)
+            for c, p in CONTACT_PATTERNS.items()
+        ],
+    )
+
+
 @query("classify_names", f"WITH {NAME_HITS_SQL}\nSELECT * FROM name_hits")
 def q_classify_names(spark, t):
     """Column-name rules over every table's columns (incl. the contacts view)."""
