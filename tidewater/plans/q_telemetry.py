@@ -211,7 +211,7 @@ def q_kpi_sink_upsert(spark, t):
         .option("checkpointLocation", scratch_path(spark, "kpiu-ckpt")).foreachBatch(sink)
     )
     jobs.run_available_now(w)
-    return sink.current(spark).drop("version")
+    return sink.current(spark)
 
 
 @query("dedup_stream", "SELECT event_id, ts, user_id, event_type, value, props FROM events")

@@ -135,39 +135,45 @@ def dedupe_events(stream: DataFrame, keys: list[str], delay: str = WATERMARK) ->
 
 
 class KeyedUpsertSink:
-    """Idempotent keyed upsert into a versioned Parquet table.
-
-    Batch ``b`` writes the merged table to ``<path>/version=b``; a re-delivered
-    batch id rewrites the same version with the same content, so replays are
-    no-ops. Readers take the highest complete version.
+    """Idempotent keyed upsert into a Parquet table (S11, T9), bounded storage.
+
+    The table lives in two slots (``slot=0``/``slot=1``). Batch ``b`` merges
+    its rows into the last committed slot and writes the result to the other
+    slot, then appends a tiny commit record ``(batch_id, slot)`` under
+    ``_commits`` (records are never overwritten, so a crash cannot lose the
+    pointer). A re-delivered batch id finds its own commit, rebuilds from the
+    other slot and rewrites the same content, so replays are no-ops. A crash
+    between the slot write and the commit leaves the previous commit in force.
+    Readers take the slot of the highest commit.
     """
 
     def __init__(self, path: str, keys: list[str]):
         self.path, self.keys = path.rstrip("/"), keys
 
-    def current(self, spark: SparkSession) -> DataFrame | None:
+    def _last_commit(self, spark: SparkSession, below: int | None = None):
         try:
-            versions = spark.read.parquet(self.path).select("version").distinct()
-        except Exception:  # noqa: BLE001 - no version written yet
+            commits = spark.read.parquet(f"{self.path}/_commits")
+        except Exception:  # noqa: BLE001 - nothing committed yet
             return None
-        top = versions.agg(F.max("version").alias("v")).first()["v"]
-        if top is None:
-            return None
-        return spark.read.parquet(f"{self.path}/version={top}")
+        if below is not None:
+            commits = commits.where(F.col("batch_id") < below)
+        row = commits.orderBy(F.col("batch_id").desc()).select("batch_id", "slot").first()
+        return None if row is None else (int(row["batch_id"]), int(row["slot"]))
+
+    def current(self, spark: SparkSession) -> DataFrame | None:
+        last = self._last_commit(spark)
+        return None if last is None else spark.read.parquet(f"{self.path}/slot={last[1]}")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prior = self._before(spark, batch_id)
-        merged = batch if prior is None else upsert(prior, batch, self.keys, null_safe=True)
-        merged.write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
-
-    def _before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        try:
-            versions = spark.read.parquet(self.path).select("version").distinct()
-        except Exception:  # noqa: BLE001
-            return None
-        prev = versions.where(F.col("version") < batch_id).agg(F.max("version").alias("v")).first()["v"]
-        return None if prev is None else spark.read.parquet(f"{self.path}/version={prev}")
+        prior = self._last_commit(spark, below=batch_id)
+        base = None if prior is None else spark.read.parquet(f"{self.path}/slot={prior[1]}")
+        target_slot = 0 if prior is None else 1 - prior[1]
+        merged = batch if base is None else upsert(base, batch, self.keys, null_safe=True)
+        merged.write.mode("overwrite").parquet(f"{self.path}/slot={target_slot}")
+        spark.createDataFrame([(batch_id, target_slot)], "batch_id long, slot int").write.mode(
+            "overwrite"
+        ).parquet(f"{self.path}/_commits/b={batch_id}")
 
 
 class DeadLetterRouter:
