@@ -312,22 +312,27 @@ def q_sales_daily_incremental(spark, t):
 
 @query("sales_daily_incremental_table", ENRICHED_SQL)
 def q_sales_daily_incremental_table(spark, t):
-    """The fact is written partitioned by order_date; the mart is
-    built up to 2000-01-01, then one incremental run recomputes the days from
-    max(order_date) on (partition-pruned scan) and upserts only those
-    partitions of the mart table."""
+    """P10/A6/J6/S13 on stored tables: the fact and the mart are written
+    partitioned by month (``order_month``; day partitions suit production
+    volumes, months suit this scale). The mart is built up to 2000-01-01;
+    the incremental run recomputes the days from max(order_date) on — the
+    cutoff also bounds ``order_month``, so the fact scan is partition-pruned
+    — and upserts only the touched month partitions of the mart."""
     fact, dc, dp = _fact(t)
+    month = F.trunc("order_date", "MM").alias("order_month")
     fact_path, mart_path = scratch_path(spark, "fact_sales"), scratch_path(spark, "fact_sales_daily")
-    files.write_table(fact, fact_path, "overwrite", ["order_date"])
+    files.write_table(fact.select("*", month), fact_path, "overwrite", ["order_month"])
     fact_tbl = spark.read.parquet(fact_path)
     first = wh.enrich_daily(
         wh.daily_sales(fact_tbl.where(F.col("order_date") < F.lit("2000-01-01").cast("date"))), dc, dp
     )
-    files.write_table(first, mart_path, "overwrite", ["order_date"])
-    src = wh.incremental_source(spark.read.parquet(mart_path), fact_tbl, dc, dp)
-    upsert_partitioned_table(spark, mart_path, src, wh.MART_GRAIN, "order_date",
+    files.write_table(first.select("*", month), mart_path, "overwrite", ["order_month"])
+    cut = wh.incremental_cutoff(spark.read.parquet(mart_path))
+    recent = fact_tbl.where(F.col("order_month") >= F.trunc(F.lit(cut).cast("date"), "MM"))
+    src = wh.incremental_source(spark.read.parquet(mart_path), recent.drop("order_month"), dc, dp)
+    upsert_partitioned_table(spark, mart_path, src.select("*", month), wh.MART_GRAIN, "order_month",
                              scratch_path(spark, "mart-staging"))
-    return spark.read.parquet(mart_path)
+    return spark.read.parquet(mart_path).drop("order_month")
 
 
 @query(
