@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from tidewater.operators.latest import dedupe_ordered
 from tidewater.plans import quality as qa

@@ -14,6 +14,8 @@ columns the persisted schema is widened (old rows read back as NULL through
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +33,7 @@ def read_persisted_schema(spark: SparkSession, location: str) -> T.StructType |
         row = spark.read.text(location).first()
     except Exception:  # noqa: BLE001 - nothing persisted yet
         return None
-    return T.StructType.fromJson(__import__("json").loads(row[0])) if row else None
+    return T.StructType.fromJson(json.loads(row[0])) if row else None
 
 
 def persist_schema(spark: SparkSession, schema: T.StructType, location: str) -> None:
