@@ -167,3 +167,21 @@ def test_sampled_classification_is_repeatable(spark, tables):
     full = {(r.column, r.tag): r.nonblank for r in gv.value_match_counts(docs, "documents").collect()}
     assert a == b
     assert all(r.nonblank <= full[(r.column, r.tag)] for r in a)
+
+
+def test_catalog_reshape_on_literal_rows(spark):
+    cols = spark.createDataFrame(
+        [("DB", "PUBLIC", "USERS", "ID", "NUMBER(38,0)", "NO", None, 1),
+         ("DB", "PUBLIC", "USERS", "CREATED", "TIMESTAMP_NTZ(9)", "YES", "load time", 2),
+         ("DB", "PUBLIC", "USERS", "DOC", "GEOGRAPHY", "YES", None, 3),
+         ("DB", "INFORMATION_SCHEMA", "TABLES", "X", "TEXT", "YES", None, 1)],
+        "table_catalog string, table_schema string, table_name string, column_name string, data_type string, "
+        "is_nullable string, column_comment string, ordinal_position int")
+    tabs = spark.createDataFrame(
+        [("DB", "PUBLIC", "USERS", "BASE TABLE", None), ("DB", "INFORMATION_SCHEMA", "TABLES", "VIEW", None)],
+        "table_catalog string, table_schema string, table_name string, table_type string, table_comment string")
+    flat = gv.catalog_flat(cols, tabs).collect()
+    assert [(r.name, r.dataType, r.nullable, r.description) for r in flat] == [
+        ("ID", "NUMBER", False, ""), ("CREATED", "TIMESTAMP", True, "load time"), ("DOC", "VARCHAR", True, "")]
+    nested = gv.catalog_nested(gv.catalog_flat(cols, tabs)).collect()
+    assert len(nested) == 1 and [c.name for c in nested[0].columns] == ["ID", "CREATED", "DOC"]

@@ -84,3 +84,13 @@ def test_batch_dedupe_replay_and_hot_copies(spark):
     sink(b1, 1)                                    # replayed batch
     got = sorted(r.k for r in spark.read.parquet(out_p).collect())
     assert got == [1, 2, 3]
+
+
+def test_reconcile_is_idempotent(spark, tables):
+    tel = tm.telemetry_from_events(tables.events)
+    full = tm.minute_kpis(tel)
+    emitted = full.where(F.col("geofence_id") != "click")          # a stream that lost some windows
+    once = tm.reconcile_kpis(emitted, tel)
+    twice = tm.reconcile_kpis(once, tel)
+    assert once.exceptAll(full).count() == 0 and full.exceptAll(once).count() == 0
+    assert twice.exceptAll(once).count() == 0 and once.exceptAll(twice).count() == 0
