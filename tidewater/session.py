@@ -25,8 +25,10 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# Dynamic partition overwrite is requested per write (``write_table(...,
+# dynamic=True)``, ``upsert_partitioned_table``), never switched on for the
+# whole session.
 
 
 def build_session(
