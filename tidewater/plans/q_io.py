@@ -12,8 +12,12 @@ from tidewater.sources import files
 SPLIT = "1998-01-01 00:00:00"
 
 
-def _land(df, path, fmt, num_files=4):
-    w = df.repartition(num_files).write.mode("overwrite")
+# text formats default to millisecond timestamps; keep microseconds on the wire
+MICROS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def _land(df, path, fmt, num_files=4, options=None):
+    w = df.repartition(num_files).write.mode("overwrite").options(**(options or {}))
     if fmt == "csv":
         w = w.option("header", "true")
     w.format(fmt).save(path)
@@ -34,6 +38,26 @@ def _ingest_twice(spark, frame, fmt, split_col=None, options=None):
     return files.read_bronze(spark, bronze)
 
 
+@query("ingest_files", "SELECT * FROM events")
+def q_ingest_files(spark, t):
+    """One landing zone per format (JSON, CSV, Parquet), each ingested
+    incrementally twice (no re-reads), bronze tables unioned by name."""
+    ev = t.events
+    parts = {
+        "json": (ev.where(F.col("event_type").isin("view", "click")), dict(MICROS)),
+        "csv": (ev.where(F.col("event_type").isin("signup", "purchase")), {**MICROS, "header": "true"}),
+        "parquet": (ev.where(F.col("event_type") == "error"), {}),
+    }
+    frames = []
+    for fmt, (part, opts) in parts.items():
+        land, bronze, ckpt = (scratch_path(spark, f"{fmt}-{x}") for x in ("land", "bronze", "ckpt"))
+        _land(part, f"{land}/set=0", fmt, options=opts)
+        for _ in range(2):
+            files.ingest_to_bronze(spark, f"{land}/*", bronze, ckpt, fmt, schema=ev.schema, options=opts)
+        frames.append(files.read_bronze(spark, bronze).drop(*files.AUDIT_COLUMNS))
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
 @query("ingest_json", "SELECT * FROM orders")
 def q_ingest_json(spark, t):
     """JSON files ingested incrementally (audit columns dropped for comparison)."""
