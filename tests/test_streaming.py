@@ -94,3 +94,24 @@ def test_reconcile_is_idempotent(spark, tables):
     twice = tm.reconcile_kpis(once, tel)
     assert once.exceptAll(full).count() == 0 and full.exceptAll(once).count() == 0
     assert twice.exceptAll(once).count() == 0 and once.exceptAll(twice).count() == 0
+
+
+def test_vehicle_payloads_through_the_wire(spark):
+    from tidewater.sources import wire
+
+    rows = [
+        ("e1", "V1", None, 1704067200123, 40.7, -74.0, 60.0, 90.0, -7.5, 2100, 55.0, 1000.0, True, None, 1),
+        ("e2", "V2", "D2", 1704067201456, 40.7, -74.0, 70.0, 90.0, 0.3, 2500, 45.0, 2000.0, False, "manhattan", 1),
+        ("e3", "V3", None, 1704067202789, 40.7, -74.0, 50.0, 90.0, 0.1, 1800, 35.0, 3000.0, False, "manhattan", 1),
+    ]
+    payload = spark.createDataFrame(rows, tm.VEHICLE_SCHEMA)
+    records = wire.as_bus_records(payload, "vehicle_id", "engine_rpm")
+    decoded, bad = wire.split_dead_letters(wire.decode_bus_records(records, tm.VEHICLE_SCHEMA), ["event_id"])
+    assert bad.count() == 0 and {r.msg_key for r in decoded.collect()} == {"V1", "V2", "V3"}
+    tel = tm.telemetry_from_vehicles(decoded)
+    ts = {r.event_id: r.event_ts for r in tel.collect()}
+    assert ts["e1"].microsecond == 123000                      # millis kept exactly
+    alerts = {(r.event_id, r.alert_type, round(r.acceleration_ms2, 4)) for r in tm.detect_alerts(tel).collect()}
+    assert alerts == {("e1", "HARSH_BRAKING", -7.5), ("e2", "GEOFENCE_SPEED", 0.3)}
+    kpis = tm.minute_kpis(tel).collect()
+    assert sum(r.total_events for r in kpis) == 3

@@ -12,6 +12,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidewater.functions.time import epoch_millis_to_ts
 
 from tidewater.operators.upsert import upsert
 
@@ -22,6 +25,40 @@ GEOFENCE_SPEED = "GEOFENCE_SPEED"
 KPI_KEYS = ["window_start", "geofence_id"]
 
 
+# Vehicle telemetry payload (the wire schema of the event stream).
+VEHICLE_SCHEMA = T.StructType([
+    T.StructField("event_id", T.StringType(), False),
+    T.StructField("vehicle_id", T.StringType(), False),
+    T.StructField("driver_id", T.StringType(), True),
+    T.StructField("event_ts_ms", T.LongType(), False),
+    T.StructField("latitude", T.DoubleType(), False),
+    T.StructField("longitude", T.DoubleType(), False),
+    T.StructField("speed_kph", T.FloatType(), False),
+    T.StructField("heading_deg", T.FloatType(), False),
+    T.StructField("acceleration_ms2", T.FloatType(), False),
+    T.StructField("engine_rpm", T.IntegerType(), False),
+    T.StructField("fuel_level_pct", T.FloatType(), False),
+    T.StructField("odometer_km", T.DoubleType(), False),
+    T.StructField("harsh_braking", T.BooleanType(), False),
+    T.StructField("geofence_id", T.StringType(), True),
+    T.StructField("schema_version", T.IntegerType(), False),
+])
+
+
+def telemetry_from_vehicles(decoded: DataFrame) -> DataFrame:
+    """Decoded vehicle payloads -> telemetry columns; epoch millis become an
+    event timestamp without a floating-point step."""
+    return decoded.select(
+        "event_id", "vehicle_id", "driver_id",
+        epoch_millis_to_ts("event_ts_ms").alias("event_ts"),
+        "geofence_id",
+        F.col("speed_kph").cast("double").alias("speed_kph"),
+        "harsh_braking",
+        F.col("acceleration_ms2").cast("double").alias("acceleration_ms2"),
+        "latitude", "longitude",
+    )
+
+
 def telemetry_from_events(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_id"),
