@@ -365,7 +365,8 @@ WITH cols AS (
          upper(column_name) AS column_name,
          CASE WHEN data_type = 'BIGINT' THEN 'NUMBER(19,0)' WHEN data_type = 'INTEGER' THEN 'NUMBER(10,0)'
               WHEN data_type IN ('DOUBLE', 'FLOAT') THEN 'FLOAT' WHEN data_type = 'VARCHAR' THEN 'TEXT'
-              WHEN data_type = 'TIMESTAMP' THEN 'TIMESTAMP_NTZ' WHEN data_type = 'BOOLEAN' THEN 'BOOLEAN'
+              WHEN data_type LIKE 'TIMESTAMP%' AND data_type NOT LIKE '%TIME ZONE%' THEN 'TIMESTAMP_NTZ'
+              WHEN data_type = 'BOOLEAN' THEN 'BOOLEAN'
               WHEN data_type = 'DATE' THEN 'DATE' WHEN data_type LIKE '%[]' THEN 'ARRAY'
               ELSE 'VARIANT' END AS data_type,
          is_nullable, CAST(NULL AS VARCHAR) AS column_comment, CAST(ordinal_position AS INTEGER) AS ordinal_position
