@@ -73,9 +73,18 @@ def q_alert_keys(spark, t):
     )
 
 
-@query("alert_messages")
+@query(
+    "alert_messages",
+    f"""{ALERTS_SQL}
+SELECT CAST(vehicle_id AS VARCHAR) || '|' || alert_type || '|' || CAST(event_id AS VARCHAR) AS key,
+       '{{"event_id":' || CAST(event_id AS VARCHAR) || ',"vehicle_id":' || CAST(vehicle_id AS VARCHAR)
+       || ',"event_ts":"' || strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') || '","alert_type":"' || alert_type
+       || '","acceleration_ms2":' || CAST(acceleration_ms2 AS VARCHAR)
+       || ',"speed_kph":' || CAST(speed_kph AS VARCHAR) || '}}' AS value
+FROM alerts""",
+)
 def q_alert_messages(spark, t):
-    """Keyed JSON alert messages (JSON text is engine-specific: rows-only)."""
+    """Keyed JSON alert messages (the whole row as JSON)."""
     return tm.alert_messages(tm.detect_alerts(_telemetry(t)))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions.time import epoch_millis_to_ts
+from tidewater.sources.wire import JSON_TIME_OPTIONS
 
 from tidewater.operators.upsert import upsert
 
@@ -94,10 +95,11 @@ def detect_alerts(telemetry: DataFrame, speed_limit: float = SPEED_LIMIT_KPH) ->
 
 
 def alert_messages(alerts: DataFrame) -> DataFrame:
-    """Keyed sink records: key ``vehicle|type|event`` and the JSON row."""
+    """Keyed sink records: key ``vehicle|type|event`` and the JSON row
+    (timestamps with full microsecond precision)."""
     return alerts.select(
         F.concat_ws("|", F.col("vehicle_id").cast("string"), F.col("alert_type"), F.col("event_id").cast("string")).alias("key"),
-        F.to_json(F.struct(*[F.col(c) for c in alerts.columns])).alias("value"),
+        F.to_json(F.struct(*[F.col(c) for c in alerts.columns]), JSON_TIME_OPTIONS).alias("value"),
     )
 
 
