@@ -115,3 +115,16 @@ def test_vehicle_payloads_through_the_wire(spark):
     assert alerts == {("e1", "HARSH_BRAKING", -7.5), ("e2", "GEOFENCE_SPEED", 0.3)}
     kpis = tm.minute_kpis(tel).collect()
     assert sum(r.total_events for r in kpis) == 3
+
+
+def test_alert_stream_equals_batch_messages(spark, tables):
+    ev = tables.events
+    src = scratch_path(spark, "a-src")
+    jobs.stage_files(ev, src, 4, "ts")
+    stream = tm.telemetry_from_events(jobs.file_stream(spark, src, ev.schema, max_files_per_trigger=1))
+    out, ckpt = scratch_path(spark, "a-out"), scratch_path(spark, "a-ckpt")
+    q = jobs.run_available_now(jobs.write_parquet(jobs.alert_stream(stream), out, ckpt))
+    assert len([p for p in q.recentProgress if p.get("numInputRows")]) >= 2     # several micro-batches
+    got = spark.read.parquet(out)
+    batch = tm.alert_messages(tm.detect_alerts(tm.telemetry_from_events(ev)))
+    assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
