@@ -39,33 +39,33 @@ def _count_if(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("long")
 
 
-def _row_check(kind: str, kw: dict) -> tuple[str | None, Column, Column, Column | None]:
-    """(column, element_count, unexpected_count, extra) aggregate expressions."""
+def _row_check(kind: str, kw: dict) -> tuple[str | None, Column, Column]:
+    """(column label, element_count, unexpected_count) aggregate expressions."""
     c = kw.get("column")
     if kind == "expect_table_row_count_to_be_between":
-        return None, F.count(F.lit(1)), F.lit(0).cast("long"), None
+        return None, F.count(F.lit(1)), F.lit(0).cast("long")
     if kind == "expect_column_values_to_not_be_null":
-        return c, F.count(F.lit(1)), _count_if(F.col(c).isNull()), None
+        return c, F.count(F.lit(1)), _count_if(F.col(c).isNull())
     present = F.col(c).isNotNull() if c else None
     if kind == "expect_column_values_to_be_in_set":
-        return c, F.count(c), _count_if(present & ~F.col(c).isin(*kw["value_set"])), None
+        return c, F.count(c), _count_if(present & ~F.col(c).isin(*kw["value_set"]))
     if kind == "expect_column_values_to_be_between":
         bad = F.lit(False)
         if kw.get("min_value") is not None:
             bad = bad | (F.col(c) < F.lit(kw["min_value"]))
         if kw.get("max_value") is not None:
             bad = bad | (F.col(c) > F.lit(kw["max_value"]))
-        return c, F.count(c), _count_if(present & bad), None
+        return c, F.count(c), _count_if(present & bad)
     if kind == "expect_column_values_to_match_regex":
-        return c, F.count(c), _count_if(present & ~F.col(c).rlike(kw["regex"])), None
+        return c, F.count(c), _count_if(present & ~F.col(c).rlike(kw["regex"]))
     if kind == "expect_column_pair_values_a_to_be_greater_than_b":
         a, b = F.col(kw["column_A"]), F.col(kw["column_B"])
         both = a.isNotNull() & b.isNotNull()
         ok = (a >= b) if kw.get("or_equal") else (a > b)
-        return f"{kw['column_A']},{kw['column_B']}", _count_if(both), _count_if(both & ~ok), None
+        return f"{kw['column_A']},{kw['column_B']}", _count_if(both), _count_if(both & ~ok)
     if kind == "expect_column_values_to_satisfy_expression":
         e = F.expr(kw["expression"])
-        return c, F.count(c), _count_if(present & ~F.coalesce(e, F.lit(False))), None
+        return c, F.count(c), _count_if(present & ~F.coalesce(e, F.lit(False)))
     raise ValueError(f"unsupported expectation {kind}")
 
 
@@ -96,7 +96,7 @@ def validate(df: DataFrame, suite: Suite) -> DataFrame:
                 )
             )
             continue
-        col, elem, unexp, _ = _row_check(kind, kw)
+        col, elem, unexp = _row_check(kind, kw)
         aggs += [elem.alias(f"e{i}"), unexp.alias(f"u{i}")]
         meta.append((i, kind, col, kw))
     if aggs:
