@@ -13,6 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.latest import latest_per_key
+from tidewater.operators.sizing import bounded_broadcast
+
+# An incremental batch's key set up to this size is broadcast to the anti
+# join, so the (large) target is scanned in place instead of shuffled.
+SOURCE_KEYS_BROADCAST_MAX_ROWS = 2_000_000
 
 
 class DuplicateKeyError(ValueError):
@@ -43,7 +48,7 @@ def upsert(
     if check_unique:
         assert_unique(source, keys)
     t = target.alias("_t")
-    s = source.select(*keys).alias("_s")
+    s = bounded_broadcast(source.select(*keys), SOURCE_KEYS_BROADCAST_MAX_ROWS).alias("_s")
     cond = _key_condition(t, s, keys, null_safe)
     kept = t.join(s, cond, "left_anti")
     return kept.unionByName(source, allowMissingColumns=True)
@@ -65,7 +70,7 @@ def cdc_apply(
     """
     latest = latest_per_key(changes, keys, [ts_col], tie_breakers)
     t = target.alias("_t")
-    touched = latest.select(*keys).alias("_c")
+    touched = bounded_broadcast(latest.select(*keys), SOURCE_KEYS_BROADCAST_MAX_ROWS).alias("_c")
     kept = t.join(touched, _key_condition(t, touched, keys, True), "left_anti")
     upserts = latest.where(~F.col(op_col).isin(*delete_ops)).select(*target.columns)
     return kept.unionByName(upserts)

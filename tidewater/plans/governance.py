@@ -573,7 +573,8 @@ def catalog_flat(columns: DataFrame, tables: DataFrame) -> DataFrame:
     """M1 + M2: join USING the three name parts, drop the system schema, map types."""
     m = F.create_map(*[x for k, v in CATALOG_TYPE_MAP.items() for x in (F.lit(k), F.lit(v))])
     base = F.upper(F.split_part(F.col("data_type"), F.lit("("), F.lit(1)))
-    j = columns.join(tables, ["table_catalog", "table_schema", "table_name"], "inner").where(
+    j = columns.join(bounded_broadcast(tables, 1_000_000), ["table_catalog", "table_schema", "table_name"],
+                     "inner").where(
         F.col("table_schema") != "INFORMATION_SCHEMA"
     )
     return j.select(
