@@ -38,6 +38,8 @@ K = BANDS * BAND_ROWS
 #: Pairs whose signatures agree in less than this share of the coordinates are
 #: not compared exactly: 0.8 less 4.5 standard deviations of the estimate.
 ESTIMATE = SIMILARITY - 4.5 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / K)
+#: Members of a bucket that the others are compared with in the second pass.
+CENTRES = 4
 _U = np.uint64
 
 
@@ -174,11 +176,11 @@ def _sketches(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([rows[k][1] for k in keep], pa.binary()), batch.column("doc_id").take(pa.array(keep, pa.int64())),
                  pa.array([len(rows[k][2]) for k in keep], pa.int64()),
-                 pa.array([sig[i].astype("<u2").tobytes() for i in at], pa.binary()),
+                 pa.array([sig[i].astype(np.uint16).view(np.int16) for i in at], pa.list_(pa.int16())),
                  pa.array([keys[i].view(np.int64) for i in at], pa.list_(pa.int64()))],
                 ["name", "doc_id", "size", "sig", "keys"])
 
-    rows = map_batches(docs, run, "name binary, doc_id long, size long, sig binary, keys array<long>")
+    rows = map_batches(docs, run, "name binary, doc_id long, size long, sig array<smallint>, keys array<long>")
     return rows.groupBy("name").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.first("size").alias("size"),
                                     F.first("sig").alias("sig"), F.first("keys").alias("keys"))
 
@@ -189,12 +191,11 @@ def _agreeing(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, K) for c in ("sig_a", "sig_b"))
+            x, y = (batch.column(c).flatten().to_numpy().reshape(-1, K) for c in ("sig_a", "sig_b"))
             ok = (x == y).mean(axis=1) >= ESTIMATE
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").where(
-        F.least("size_a", "size_b") >= F.lit(SIMILARITY) * F.greatest("size_a", "size_b"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").where(_sizes_allow(F.col("size_a"), F.col("size_b")))
     return map_batches(joined.select("a", "b", "sig_a", "sig_b"), run, "a binary, b binary")
 
 
@@ -212,10 +213,9 @@ def _confirmed(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     return map_batches(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "bag_a", "bag_b"), run, "a binary, b binary")
 
 
-def _bags(docs: DataFrame, sketches: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``name, bag``: the shingles of one row of each word sequence in pairs."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
-    wanted = sketches.join(named, "name", "left_semi").select(F.col("least").alias("wanted"), "name").distinct()
+def _bags(docs: DataFrame, sketches: DataFrame, names: DataFrame) -> DataFrame:
+    """``name, bag``: the shingles of one row of each named word sequence."""
+    wanted = sketches.join(names, "name", "left_semi").select(F.col("least").alias("wanted"), "name").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler()
@@ -229,49 +229,112 @@ def _bags(docs: DataFrame, sketches: DataFrame, pairs: DataFrame) -> DataFrame:
     return map_batches(texts, run, "name binary, bag binary").groupBy("name").agg(F.first("bag").alias("bag"))
 
 
+def _own(bags: DataFrame) -> DataFrame:
+    """``name, own``: the weight of the shingles that no other of these bags
+    holds. They are in no intersection, which bounds the similarity of a pair
+    from above."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, raw in zip(batch.column("name").to_pylist(), batch.column("bag").to_pylist()):
+                e, n = bag(np.frombuffer(raw, np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(e), pa.binary()), pa.array(e.view(np.int64)), pa.array(n)],
+                                                 ["name", "shingle", "n"])
+
+    each = map_batches(bags, run, "name binary, shingle long, n long")
+    alone = each.groupBy("shingle").agg(F.count("*").alias("bags"), F.first("name").alias("name"), F.first("n").alias("n")).where("bags = 1")
+    return alone.groupBy("name").agg(F.sum("n").alias("own"))
+
+
+def _rooted(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """The members of the buckets with the root of their class."""
+    joined = shared.join(classes, shared["name"] == classes["node"], "left")
+    return stage(joined.select(*shared.columns, F.coalesce("root", "name").alias("root")), "dart-rooted")
+
+
+def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    if links.isEmpty():
+        return classes
+    return components(classes.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
+
+
 def word_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(sketches, classes): ``name, least, copies`` of every word sequence, and
     ``name, root`` of those that are linked to another one (roots have no row).
 
-    In each band bucket all members are first compared with its least member.
-    Buckets whose members then still lie in several classes are gone through
-    again: every pair of members of different classes that was not compared
-    before is. So two similar documents that share a bucket always end in one
-    class, and the pairs within a large group of copies are never listed."""
+    Every two similar documents that share a bucket end in one class, but the
+    pairs within a large group of copies are never listed: first all members of
+    a bucket are compared with its least member; then, where they still lie in
+    several classes, those of other classes with each of a few members that have
+    few shingles of their own; then, where they still do, every pair of members of different classes
+    that sizes and own shingles do not rule out."""
     sketches = stage(_sketches(docs), "dart-sketches")
     members = sketches.select("name", "size", F.explode("keys").alias("key"))
     buckets = members.groupBy("key").agg(F.min("name").alias("a"), F.max("name").alias("z")).where("a <> z").select("key", "a")
     buckets = stage(buckets, "dart-shared")  # as a table, so that a large bucket's side of the join can be split
-    shared = stage(members.join(buckets, "key"), "dart-buckets")  # key, name, size, a
-    stars = shared.where("name <> a").select("a", F.col("name").alias("b")).distinct()
-    links, tried = _compare(stars, sketches, docs)
-    classes = components(links)
-    rooted = shared.join(classes, shared["name"] == classes["node"], "left").select(
-        "key", "name", "size", "a", F.coalesce("root", "name").alias("root"))
-    rooted = stage(rooted, "dart-rooted")
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    # in a bucket the class of most members is not paired with itself
-    main = (rooted.join(mixed, "key").groupBy("key", "root").agg(F.count("*").alias("n"))
+    shared = stage(members.join(buckets, "key"), "dart-buckets")
+    classes = components(_compare(shared.where("name <> a").select("a", F.col("name").alias("b")).distinct(), sketches, docs))
+    shared = shared.drop("a")
+
+    rooted = _rooted(shared, classes)
+    mixed = stage(_mixed(rooted), "dart-mixed")
+    rooted = stage(rooted.join(mixed, "key", "left_semi"), "dart-mixed-rows")
+    bags = stage(_bags(docs, sketches, rooted.select("name").distinct()), "dart-bags")
+    own = stage(_own(bags), "dart-own")
+    shared = stage(rooted.drop("root").join(own, "name", "left").select("key", "name", "size", F.coalesce("own", F.lit(0)).alias("own")), "dart-owned")
+    rooted = _rooted(shared, classes)
+    # members with few shingles of their own are like the most others
+    drawn = [F.min(F.struct(F.floor(F.col("own") / F.lit(2**s)).alias("o"), F.xxhash64("name", F.lit(s)).alias("h"), F.col("name").alias("c"),
+                            F.col("root").alias("rc"), F.col("size").alias("sc"), F.col("own").alias("oc"))) for s in range(CENTRES)]
+    centres = rooted.groupBy("key").agg(F.array(*drawn).alias("drawn")).select("key", F.explode("drawn").alias("d"))
+    centres = stage(centres.select("key", "d.c", "d.rc", "d.sc", "d.oc").distinct(), "dart-centres")
+    near = rooted.join(centres, "key").where((F.col("root") != F.col("rc")) & _may_reach("size", "own", "sc", "oc"))
+    pairs = near.select(F.least("name", "c").alias("a"), F.greatest("name", "c").alias("b")).distinct()
+    classes = _merged(classes, _compare(pairs, sketches, docs, bags))
+
+    rooted = _rooted(shared, classes)
+    mixed = stage(_mixed(rooted), "dart-mixed")
+    rooted = stage(rooted.join(mixed, "key", "left_semi"), "dart-mixed-rows")
+    # in a bucket the members of its largest class are not paired with each other
+    main = (rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
             .groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main")))
-    left = rooted.join(main, "key").where("root <> main").select("key", F.col("name").alias("x"), F.col("root").alias("rx"), F.col("size").alias("sx"))
-    right = rooted.join(mixed, "key", "left_semi").select("key", F.col("name").alias("y"), F.col("root").alias("ry"), F.col("size").alias("sy"), F.col("a").alias("first"))
-    rest = (left.join(right, "key")
-            .where((F.col("rx") != F.col("ry")) & (F.col("x") != F.col("first")) & (F.col("y") != F.col("first"))
-                   & (F.least("sx", "sy") >= F.lit(SIMILARITY) * F.greatest("sx", "sy")))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    more, _ = _compare(rest, sketches, docs)
-    if more.isEmpty():
-        return sketches, classes
-    return sketches, components(classes.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
-
-
-def _compare(pairs: DataFrame, sketches: DataFrame, docs: DataFrame) -> tuple[DataFrame, int]:
-    """The pairs that are similar, written; how many were compared exactly."""
+    rooted = rooted.join(main, "key").join(sketches.select("name", "sig", "keys"), "name")
+    rooted = stage(rooted, "dart-rest")
+    sides = ("name", "size", "root", "own", "sig", "keys")
+    x = rooted.where("root <> main").select("key", *[F.col(c).alias(f"{c}_x") for c in sides])
+    y = rooted.select("key", *[F.col(c).alias(f"{c}_y") for c in sides])
+    same = lambda c: F.zip_with(f"{c}_x", f"{c}_y", lambda p, q: p == q)
+    rest = x.join(y, "key").where(
+        (F.col("root_x") != F.col("root_y")) & _may_reach("size_x", "own_x", "size_y", "own_y")
+        & (F.get("keys_x", F.array_position(same("keys"), True).cast("int") - 1) == F.col("key"))  # in the first bucket shared only
+        & (F.size(F.filter(same("sig"), lambda e: e)) >= F.lit(math.ceil(ESTIMATE * K))))
+    rest = rest.select(F.least("name_x", "name_y").alias("a"), F.greatest("name_x", "name_y").alias("b")).distinct()
+    return sketches, _merged(classes, _compare(rest, sketches, docs, bags))
+
+
+def _mixed(rooted: DataFrame) -> DataFrame:
+    """The buckets with members of several classes."""
+    return rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+
+
+def _may_reach(size_x: str, own_x: str, size_y: str, own_y: str) -> Column:
+    """Whether sizes and own shingles leave the similarity possible."""
+    low = F.least(F.col(size_x) - F.col(own_x), F.col(size_y) - F.col(own_y))  # the intersection weighs no more
+    return low >= F.lit(SIMILARITY) * (F.col(size_x) + F.col(size_y) - low)
+
+
+def _sizes_allow(x: Column, y: Column) -> Column:
+    return F.least(x, y) >= F.lit(SIMILARITY) * F.greatest(x, y)
+
+
+def _compare(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, bags: DataFrame | None = None) -> DataFrame:
+    """The pairs (a, b) that are similar, written."""
     near = stage(_agreeing(pairs, sketches), "dart-pairs")
-    n = near.count()
-    if not n:
-        return near, 0
-    return stage(_confirmed(near, stage(_bags(docs, sketches, near), "dart-bags")), "dart-links"), n
+    if near.isEmpty():
+        return near
+    if bags is None:
+        bags = stage(_bags(docs, sketches, near.select(F.explode(F.array("a", "b")).alias("name")).distinct()), "dart-bags")
+    return stage(_confirmed(near, bags), "dart-links")
 
 
 def _picked(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
