@@ -48,11 +48,12 @@ def test_strict_hash_separates_null_from_empty(spark):
     assert len(loose) == 1 and len(strict) == 2
 
 
-ALERT_SCHEMA = "event_id string, vehicle_id string, harsh_braking boolean, geofence_id string, speed_kph double"
+ALERT_SCHEMA = ("event_id string, vehicle_id string, harsh_braking boolean, geofence_id string, speed_kph double, "
+                "driver_id string, latitude double, longitude double")
 
 
 def _alerts(spark, rows):
-    df = spark.createDataFrame(rows, ALERT_SCHEMA).withColumn("event_ts", F.current_timestamp()).withColumn(
+    df = spark.createDataFrame([(*r, "d", 1.0, 2.0) for r in rows], ALERT_SCHEMA).withColumn("event_ts", F.current_timestamp()).withColumn(
         "acceleration_ms2", F.lit(None).cast("double"))
     return tm.detect_alerts(df)
 

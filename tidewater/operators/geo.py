@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.sizing import bounded_broadcast
 
 DEFAULT_CELL = 1.0
 
@@ -31,7 +30,6 @@ def tag_points(
     lon: str,
     zone_id: str = "zone_id",
     cell_size: float | None = None,
-    max_broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """Left join: one output row per (point, containing zone); NULL zone if none.
 
@@ -59,5 +57,5 @@ def tag_points(
         & (F.col("_p_lon") == F.col("_cell_lon"))
         & _inside(lat, lon)
     )
-    out = p.join(bounded_broadcast(cells, max_broadcast_rows), cond, "left")
+    out = p.join(cells, cond, "left")
     return out.select(*points.columns, zone_id)

@@ -1,7 +1,4 @@
-"""Stable surrogate keys (C2) without a global window on large data.
-
-A key set proven (by a bounded count) to hold at most ``small_rows`` rows is
-numbered with ``row_number`` over one ordered window. Larger sets:
+"""Stable surrogate keys (C2) without a global window.
 
 Rows are range-partitioned and sorted by the business order, tagged with
 their partition id and position, and staged as Parquet in the shared
@@ -18,13 +15,8 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.sizing import has_at_most
 from tidewater.session import stage
 
-# Up to this many rows are numbered in one ordered window (a bounded sort in
-# one task); above it, the range-partitioned path below.
-SMALL_KEYSET_ROWS = 1_000_000
-
 
 def assign_surrogate_keys(
     df: DataFrame,
@@ -32,15 +24,8 @@ def assign_surrogate_keys(
     sk_col: str,
     start: int = 0,
     num_partitions: int | None = None,
-    small_rows: int = SMALL_KEYSET_ROWS,
 ) -> DataFrame:
     others = [c for c in df.columns if c != sk_col]
-    if small_rows and has_at_most(df, small_rows):
-        from pyspark.sql import Window
-
-        w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-        sk = (F.lit(start).cast("long") + F.row_number().over(w)).alias(sk_col)
-        return df.select(sk, *others)
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     staged = stage(
@@ -53,14 +38,11 @@ def assign_surrogate_keys(
     counts = {r["_sk_pid"]: r["count"] for r in staged.groupBy("_sk_pid").count().collect()}
     pids = sorted(counts)
     before = [0] + list(accumulate(counts[p] for p in pids))[:-1]
-    if pids:
-        offsets = F.create_map(*[x for p, b in zip(pids, before) for x in (F.lit(p), F.lit(b))])
-        offset = offsets[F.col("_sk_pid")]
-    else:
-        offset = F.lit(0)
+    # one row per partition
+    offsets = F.broadcast(spark.createDataFrame(list(zip(pids, before)), "_sk_pid int, _sk_before long"))
     local_pos = F.col("_sk_mid") - F.shiftleft(F.col("_sk_pid").cast("long"), 33)
-    sk = (F.lit(start).cast("long") + offset.cast("long") + local_pos + 1).alias(sk_col)
-    return staged.select(sk, *others)
+    sk = (F.lit(start).cast("long") + F.col("_sk_before") + local_pos + 1).alias(sk_col)
+    return staged.join(offsets, "_sk_pid").select(sk, *others)
 
 
 def max_key(df: DataFrame, sk_col: str) -> int:

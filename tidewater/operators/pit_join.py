@@ -17,11 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.time import OPEN_END
-from tidewater.operators.sizing import has_at_most
-
-# A dimension's PIT projection is ~4 narrow columns; 2M rows stay well under
-# 100 MB per executor copy. Larger dimensions take the shuffle join.
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
 
 def pit_join(
@@ -35,13 +30,12 @@ def pit_join(
     valid_to: str = "valid_to",
     how: str = "left",
     salt_buckets: int = 1,
-    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Attach ``take`` (dim column -> output name) as of ``fact_ts``.
 
-    When the dimension has at most ``broadcast_max_rows`` rows (checked with
-    a bounded count), it is broadcast: the fact is never shuffled, so a hot
-    key costs nothing extra. Otherwise a shuffle join on the key (AQE splits
+    Spark broadcasts a dimension whose bytes are under its threshold (they are
+    known for staged tables): the fact is then never shuffled, so a hot key
+    costs nothing extra. Otherwise a shuffle join on the key (AQE splits
     skewed partitions; ``salt_buckets`` spreads hot keys explicitly).
     """
     d = dim.select(
@@ -64,8 +58,4 @@ def pit_join(
         )
         d = d.withColumn("_pit_dsalt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
         cond = cond & (F.col("_pit_salt") == F.col("_pit_dsalt"))
-    if salt_buckets <= 1 and broadcast_max_rows and has_at_most(dim, broadcast_max_rows):
-        out = f.join(F.broadcast(d), cond, how)
-    else:
-        out = f.join(d, cond, how)
-    return out.select(*fact.columns, *take.values())
+    return f.join(d, cond, how).select(*fact.columns, *take.values())

@@ -13,11 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.latest import latest_per_key
-from tidewater.operators.sizing import bounded_broadcast
-
-# An incremental batch's key set up to this size is broadcast to the anti
-# join, so the (large) target is scanned in place instead of shuffled.
-SOURCE_KEYS_BROADCAST_MAX_ROWS = 2_000_000
+from tidewater.session import stage
 
 
 class DuplicateKeyError(ValueError):
@@ -44,11 +40,15 @@ def upsert(
     null_safe: bool = True,
     check_unique: bool = True,
 ) -> DataFrame:
-    """Matched keys take the source row, unmatched source rows are inserted."""
+    """Matched keys take the source row, unmatched source rows are inserted.
+
+    A source that is the outcome of a long plan should be staged by the caller:
+    it is read for the check, the anti join and the union, and a staged table's
+    size tells Spark whether to broadcast its keys."""
     if check_unique:
         assert_unique(source, keys)
     t = target.alias("_t")
-    s = bounded_broadcast(source.select(*keys), SOURCE_KEYS_BROADCAST_MAX_ROWS).alias("_s")
+    s = source.select(*keys).alias("_s")
     cond = _key_condition(t, s, keys, null_safe)
     kept = t.join(s, cond, "left_anti")
     return kept.unionByName(source, allowMissingColumns=True)
@@ -68,9 +68,9 @@ def cdc_apply(
     The latest change per key wins; deletes remove the key, inserts and
     updates replace or add the row. Payload columns are the target's columns.
     """
-    latest = latest_per_key(changes, keys, [ts_col], tie_breakers)
+    latest = stage(latest_per_key(changes, keys, [ts_col], tie_breakers), "cdc-latest")
     t = target.alias("_t")
-    touched = bounded_broadcast(latest.select(*keys), SOURCE_KEYS_BROADCAST_MAX_ROWS).alias("_c")
+    touched = latest.select(*keys).alias("_c")
     kept = t.join(touched, _key_condition(t, touched, keys, True), "left_anti")
     upserts = latest.where(~F.col(op_col).isin(*delete_ops)).select(*target.columns)
     return kept.unionByName(upserts)
@@ -86,13 +86,18 @@ def upsert_partitioned_table(
 ) -> None:
     """Upsert ``source`` into a Parquet table partitioned by ``partition_col``.
 
-    Only partitions the source touches are read and rewritten. The merged
+    Only partitions the source touches are read and rewritten: the source is
+    staged once, its distinct partition values (no more than the table has
+    partitions) become literals of the target's scan. The merged
     rows are staged first (the target path is being overwritten, so its
     lineage must be cut), then written with dynamic partition overwrite.
     """
     target = spark.read.parquet(path)
-    touched = source.select(partition_col).distinct()
-    affected = target.join(touched, partition_col, "left_semi")
+    source = stage(source, "upsert-source")
+    touched = [r[0] for r in source.select(partition_col).distinct().collect()]
+    known = [v for v in touched if v is not None]
+    here = F.col(partition_col).isin(known) if known else F.lit(False)
+    affected = target.where(here | F.col(partition_col).isNull() if None in touched else here)
     merged = upsert(affected, source, keys)
     merged.write.mode("overwrite").parquet(staging_path)
     (

@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from tidewater.functions.hashing import salted_sha256, token_of
 from tidewater.functions.regex import full_match_pattern
-from tidewater.operators.sizing import bounded_broadcast
 from tidewater.session import stage
 
 # --------------------------------------------------------------------------
@@ -56,8 +55,10 @@ PII_CATEGORIES = [
 ]
 NAME_HIT_CONFIDENCE = 0.95
 
-# Search forms of the value rules for free text (G11): the same patterns
-# without anchors, counted as non-overlapping matches.
+# Patterns for free text (G11), counted as non-overlapping matches. They are
+# narrower than the value rules where a rule alone would match much ordinary
+# text: an ssn needs its hyphens, an iban 11 signs and more after its check
+# digits, a phone ends in a digit.
 TEXT_SCAN_PATTERNS = {
     "email": r"[^@\s]+@[^@\s]+\.[^@\s]+",
     "ssn": r"\d{3}-\d{2}-\d{4}",
@@ -164,12 +165,15 @@ def value_match_counts(df: DataFrame, table_fqn: str, columns: list[str] | None
     if sample_fraction is not None:
         src = src.sample(fraction=sample_fraction, seed=seed)
     rules = _value_rules(categories)
+    built_in = {tag: rule["regex"] for tag, _, rule in _value_rules(PII_CATEGORIES)}
     aggs, cells = [], []
     for j, c in enumerate(cols):
         nonblank = F.col(c).isNotNull() & (F.length(F.trim(F.col(c), F.lit(BLANK_CHARS))) > 0)
         aggs.append(F.sum(F.when(nonblank, 1).otherwise(0)).cast("long").alias(f"n{j}"))
         for k, (tag, sens, rule) in enumerate(rules):
-            hit = nonblank & _rule_guard(tag, c) & F.col(c).rlike(full_match_pattern(rule["regex"]))
+            # a guard belongs to one regex; a caller's own rule has none
+            guard = _rule_guard(tag, c) if rule["regex"] == built_in.get(tag) else F.lit(True)
+            hit = nonblank & guard & F.col(c).rlike(full_match_pattern(rule["regex"]))
             aggs.append(F.sum(F.when(hit, 1).otherwise(0)).cast("long").alias(f"m{j}_{k}"))
     for label, c in emit:
         j = cols.index(c)
@@ -215,7 +219,7 @@ def text_pii_scan(df: DataFrame, id_col: str, text_col: str, patterns=TEXT_SCAN_
     """Per row, match counts of each category in a free-text column
     (whole texts); rows without any hit are dropped."""
     counts = [
-        F.when(_text_guard(k, text_col), F.regexp_count(F.col(text_col), F.lit(p))).otherwise(F.lit(0))
+        F.when(_text_guard(k, text_col) if p == TEXT_SCAN_PATTERNS.get(k) else F.lit(True), F.regexp_count(F.col(text_col), F.lit(p))).otherwise(F.lit(0))
         .cast("long").alias(f"{k}_hits")
         for k, p in patterns.items()
     ]
@@ -312,11 +316,36 @@ def bind_session(condition: str, session: dict[str, object] | None) -> str:
     """Replace session functions such as ``current_user_dept()`` by literals."""
     out = condition
     for fn, value in (session or {}).items():
-        lit = f"'{value}'" if isinstance(value, str) else str(value)
-        out = out.replace(f"{fn}()", lit)
+        out = out.replace(f"{fn}()", _sql_literal(value))
     return out
 
 
+def _sql_literal(value: object) -> str:
+    """A value as SQL text that cannot end its own literal."""
+    if isinstance(value, str):
+        # by code points, so that neither quotes nor backslashes are ever parsed
+        return "''" if not value else "concat(" + ", ".join(f"chr({ord(c)})" if ord(c) < 128 else f"'{c}'" for c in value) + ")"
+    if value is None:
+        return "NULL"
+    if isinstance(value, (bool, int, float)):
+        return str(value)
+    raise TypeError(f"session value of type {type(value).__name__}")
+
+
+def _named(df: DataFrame, names) -> set[str]:
+    """The columns of ``df`` that ``names`` means, compared as the session
+    resolves names; a name that is no column raises."""
+    strict = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    fold = (lambda c: c) if strict else str.lower
+    here: dict[str, list[str]] = {}
+    for c in df.columns:
+        here.setdefault(fold(c), []).append(c)
+    absent = [n for n in names if fold(n) not in here]
+    if absent:
+        raise ValueError(f"no such columns: {absent}")
+    return {c for n in names for c in here[fold(n)]}
+
+
 def mask_column(col: str, masking: str, salt: str = "") -> Column:
     if masking == "hash":
         return salted_sha256(col, salt)
@@ -335,8 +364,9 @@ def apply_policy(df: DataFrame, policy: DatasetPolicy, role: str, salt: str = ""
     out = df
     if rule.condition:
         out = out.where(F.expr(bind_session(rule.condition, session)))
+    private = _named(df, policy.pii_columns)
     cols = [
-        mask_column(c, rule.masking, salt).alias(c) if c in policy.pii_columns else F.col(c)
+        mask_column(c, rule.masking, salt).alias(c) if c in private else F.col(c)
         for c in df.columns
     ]
     return out.select(*cols)
@@ -352,12 +382,15 @@ def token_vault(df: DataFrame, columns: list[str], salt: str = "") -> DataFrame:
 
 
 def detokenize(masked: DataFrame, vault: DataFrame, columns: list[str]) -> DataFrame:
-    """Reverse tokenization for authorised callers (one join per column)."""
+    """Reverse tokenization for authorised callers (one join per column). NULLs
+    are spread over many keys that no vault has, else one task would get them all."""
     out = masked
     for c in columns:
         v = vault.select(F.col("token").alias(f"_tok_{c}"), F.col("value").alias(f"_val_{c}"))
-        out = out.join(v, out[c] == F.col(f"_tok_{c}"), "left").withColumn(c, F.col(f"_val_{c}")).drop(
-            f"_tok_{c}", f"_val_{c}"
+        spread = F.concat(F.lit("null "), F.pmod(F.xxhash64(*masked.columns, F.monotonically_increasing_id()), F.lit(1024)).cast("string"))
+        out = out.withColumn("_tok_key", F.coalesce(F.col(c), spread))
+        out = out.join(v, F.col("_tok_key") == F.col(f"_tok_{c}"), "left").withColumn(c, F.col(f"_val_{c}")).drop(
+            f"_tok_{c}", f"_val_{c}", "_tok_key"
         )
     return out
 
@@ -365,6 +398,7 @@ def detokenize(masked: DataFrame, vault: DataFrame, columns: list[str]) -> DataF
 def deidentify(df: DataFrame, identifiers: list[str], dates: list[str], salt: str = "") -> DataFrame:
     """Identifiers hashed, dates truncated to the year."""
     cols = []
+    identifiers, dates = _named(df, identifiers), _named(df, dates)
     for c in df.columns:
         if c in identifiers:
             cols.append(salted_sha256(c, salt).alias(c))
@@ -399,43 +433,41 @@ def retain(df: DataFrame, ts_col: str, retention_days: int, as_of) -> DataFrame:
     return df.where(F.col(ts_col) >= edge)
 
 
-def erase(df: DataFrame, key: str, subjects: DataFrame, subject_key: str,
-          max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Drop rows of the given subjects (size-checked broadcast anti join)."""
-    s = bounded_broadcast(subjects.select(F.col(subject_key).alias("_erase_key")).distinct(), max_broadcast_rows)
+def erase(df: DataFrame, key: str, subjects: DataFrame, subject_key: str) -> DataFrame:
+    """Drop rows of the given subjects (anti join)."""
+    s = subjects.select(F.col(subject_key).alias("_erase_key")).distinct()
     return df.join(s, F.col(key) == F.col("_erase_key"), "left_anti")
 
 
-def reachable(edges: DataFrame, starts: DataFrame, max_depth: int = 64,
-              max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def reachable(edges: DataFrame, starts: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Nodes reachable from ``starts`` over ``edges(src, dst)`` with the
     first depth they are reached at.
 
-    Frontier loop: join, drop nodes already seen, union. Each new frontier is
-    staged as Parquet in the shared checkpoint folder, so ``seen`` is a union
-    of staged parts (short lineage; a lost executor repeats one round at
-    most). One bounded count per round both ends the loop and decides
-    whether the next frontier may be broadcast, in which case the (large)
-    edge list is filtered in place instead of shuffled.
+    Frontier loop: join, drop nodes already seen, union, until the frontier is
+    empty. Each new frontier is staged as Parquet in the shared checkpoint
+    folder, so ``seen`` is a union of staged parts (short lineage; a lost
+    executor repeats one round at most), and its bytes tell Spark whether to
+    broadcast it and filter the (large) edge list in place. A given
+    ``max_depth`` that does not suffice raises: nothing is left out silently.
     """
     edges = stage(edges.select("src", "dst"), "reach-edges")  # built once, scanned every round
     frontier = stage(starts.select(F.col("node"), F.lit(0).alias("depth")).distinct(), "reach-0")
-    seen = frontier
-    size = frontier.limit(max_broadcast_rows + 1).count()
-    for depth in range(1, max_depth + 1):
-        if size == 0:
-            break
-        f = F.broadcast(frontier.select("node")) if size <= max_broadcast_rows else frontier.select("node")
-        nxt = stage(
-            edges.join(f, F.col("src") == F.col("node")).select(F.col("dst").alias("node")).distinct()
+    seen, depth = frontier, 0
+    while not frontier.isEmpty():
+        depth += 1
+        frontier = stage(
+            edges.join(frontier.select("node"), F.col("src") == F.col("node")).select(F.col("dst").alias("node")).distinct()
             .join(seen.select("node"), "node", "left_anti")
             .withColumn("depth", F.lit(depth)),
             f"reach-{depth}",
         )
-        size = nxt.limit(max_broadcast_rows + 1).count()
-        if size:
-            seen = seen.unionByName(nxt)
-        frontier = nxt
+        if frontier.isEmpty():
+            break
+        if max_depth is not None and depth > max_depth:
+            raise ValueError(f"nodes beyond depth {max_depth} are reachable")
+        seen = seen.unionByName(frontier)
+        if depth % 16 == 0:  # a union of many parts plans slowly
+            seen = stage(seen, "reach-seen")
     return seen
 
 
@@ -482,12 +514,17 @@ def access_anomalies(log: DataFrame, user: str, ts: str, role: str, baseline_day
     day = F.to_date(ts)
     daily = log.groupBy(F.col(user).alias("user_id"), day.alias("day")).agg(F.count(F.lit(1)).alias("events"))
     w = Window.partitionBy("user_id").orderBy("day").rowsBetween(-trailing_days, -1)
-    n, s, q = F.count("events").over(w), F.sum("events").over(w), F.sum(F.col("events") * F.col("events")).over(w)
+    n, s, q = F.count("events").over(w), F.sum("events").over(w), F.sum((F.col("events").cast("decimal(14,0)") * F.col("events").cast("decimal(14,0)")).cast("decimal(28,0)")).over(w)
     stats = daily.select("user_id", "day", "events", n.alias("n"), s.alias("s"), q.alias("q"))
-    d = F.col("n") * F.col("events") - F.col("s")
+    # counts and sums as decimals: their products pass the range of a long
+    wide = lambda c: F.col(c).cast("decimal(20,0)")
+    n_, e_, s_ = wide("n"), wide("events"), wide("s")
+    d = (n_ * e_ - s_).cast("decimal(24,0)")
     volume = stats.where(
         (F.col("n") >= min_history) & (d > 0)
-        & (d * d * (F.col("n") - 1) > sigmas * sigmas * F.col("n") * (F.col("n") * F.col("q") - F.col("s") * F.col("s")))
+        & ((d * d).cast("decimal(34,0)") * (F.col("n") - 1).cast("decimal(3,0)")
+           > (F.lit(sigmas * sigmas).cast("decimal(3,0)") * F.col("n").cast("decimal(3,0)")
+              * (F.col("n").cast("decimal(3,0)") * F.col("q").cast("decimal(30,0)") - (s_ * s_).cast("decimal(31,0)")).cast("decimal(32,0)")))
     ).select("user_id", "day", F.lit("volume").alias("kind"), "events")
 
     start = log.agg(F.min(day).alias("d0")).first()["d0"]
@@ -573,7 +610,7 @@ def catalog_flat(columns: DataFrame, tables: DataFrame) -> DataFrame:
     """M1 + M2: join USING the three name parts, drop the system schema, map types."""
     m = F.create_map(*[x for k, v in CATALOG_TYPE_MAP.items() for x in (F.lit(k), F.lit(v))])
     base = F.upper(F.split_part(F.col("data_type"), F.lit("("), F.lit(1)))
-    j = columns.join(bounded_broadcast(tables, 1_000_000), ["table_catalog", "table_schema", "table_name"],
+    j = columns.join(tables, ["table_catalog", "table_schema", "table_name"],
                      "inner").where(
         F.col("table_schema") != "INFORMATION_SCHEMA"
     )

@@ -69,6 +69,9 @@ def telemetry_from_events(events: DataFrame) -> DataFrame:
         F.col("value").alias("speed_kph"),
         (F.col("event_type") == "error").alias("harsh_braking"),
         (F.get_json_object("props", "$.k").cast("double") / 10.0).alias("acceleration_ms2"),
+        F.concat(F.lit("D"), (F.col("user_id") % 97).cast("string")).alias("driver_id"),
+        (F.col("user_id") % 90).cast("double").alias("latitude"),
+        (F.col("event_id") % 180).cast("double").alias("longitude"),
     )
 
 
@@ -76,7 +79,8 @@ def telemetry_from_events(events: DataFrame) -> DataFrame:
 # Alerts
 # --------------------------------------------------------------------------
 
-ALERT_COLUMNS = ["event_id", "vehicle_id", "event_ts", "alert_type", "acceleration_ms2", "speed_kph"]
+ALERT_COLUMNS = ["event_id", "vehicle_id", "driver_id", "event_ts", "alert_type", "acceleration_ms2", "speed_kph",
+                 "latitude", "longitude"]
 
 
 def detect_alerts(telemetry: DataFrame, speed_limit: float = SPEED_LIMIT_KPH) -> DataFrame:
@@ -108,27 +112,6 @@ def alert_messages(alerts: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
-def exact_avg(col: str, in_scale: int = 2, out_scale: int = 6) -> Column:
-    """Mean of a fixed-point column, rounded half-up at ``out_scale`` digits.
-
-    The sum is taken over integers (order-independent) and rounded with an
-    integer division, so re-runs and other engines give the same double bit
-    for bit (one correctly rounded IEEE division at the end).
-    """
-    units = (F.col(col).cast(f"decimal(18,{in_scale})") * (10 ** in_scale)).cast("long")
-    s, n = F.sum(units), F.count(F.col(col))
-    num = s * (2 * 10 ** (out_scale - in_scale)) + n
-    q = (num - F.pmod(num, 2 * n)) / (2 * n)
-    return F.when(n > 0, q.cast("long").cast("double") / float(10 ** out_scale))
-
-
-def exact_avg_sql(col: str, in_scale: int = 2, out_scale: int = 6) -> str:
-    units = f"CAST(CAST({col} AS DECIMAL(18,{in_scale})) * {10 ** in_scale} AS BIGINT)"
-    m = 2 * 10 ** (out_scale - in_scale)
-    return (f"CAST((sum({units}) * {m} + count({col})) // (2 * count({col})) AS DOUBLE)"
-            f" / {float(10 ** out_scale)}")
-
-
 def minute_kpis(telemetry: DataFrame, exact_distinct: bool = True, width: str = "1 minute",
                 ts_col: str = "event_ts") -> DataFrame:
     """KPIs per (tumbling window, geofence); NULL geofence grouped as ``__none__``."""
@@ -140,7 +123,7 @@ def minute_kpis(telemetry: DataFrame, exact_distinct: bool = True, width: str =
         .groupBy(F.window(ts_col, width).alias("window"), "geofence_id")
         .agg(
             distinct.alias("active_vehicles"),
-            exact_avg("speed_kph").alias("avg_speed_kph"),
+            F.avg("speed_kph").alias("avg_speed_kph"),
             F.max("speed_kph").alias("max_speed_kph"),
             F.sum(F.col("harsh_braking").cast("int")).cast("long").alias("harsh_braking_events"),
             F.count(F.lit(1)).alias("total_events"),

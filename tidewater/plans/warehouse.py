@@ -17,12 +17,10 @@ from tidewater.operators.keys import assign_surrogate_keys, max_key
 from tidewater.operators.latest import dedupe_ordered, latest_per_key
 from tidewater.operators.nested import explode_array
 from tidewater.operators.pit_join import pit_join
-from tidewater.operators.sizing import bounded_broadcast
-from tidewater.operators.upsert import upsert
+from tidewater.operators.upsert import assert_unique, upsert
 from tidewater.session import stage
 
 SCD2_META = ["_attr_hash", "valid_from", "valid_to", "is_current"]
-LOOKUP_BROADCAST_MAX_ROWS = 100_000  # geography lookups (nation, region)
 
 
 # --------------------------------------------------------------------------
@@ -47,13 +45,20 @@ def scd2_apply(
     closed at ``effective_ts`` and a new current row opened at the same
     instant (no gap, no overlap); new key -> new current row; key absent from
     the snapshot -> untouched. Historical rows pass through without a join.
-    Applying the same snapshot twice is a no-op. New rows get dense surrogate
+    Applying the same snapshot twice is a no-op. A NULL key is a key like any
+    other (keys compare null-safe). A snapshot with a key twice raises, unless
+    ``source_ts`` says which row is the latest; so does one dated before a
+    version that it changes. The result is staged. New rows get dense surrogate
     keys after the current maximum, in natural-key order. On the first load
     ``initial_valid_from`` (e.g. '1900-01-01') lets facts older than the load
     still find a version.
     """
     eff = ntz_literal(effective_ts)
-    src = latest_per_key(source, key, [source_ts]) if source_ts else source
+    if source_ts:
+        src = latest_per_key(source, key, [source_ts])
+    else:
+        assert_unique(source, [key])
+        src = source
     src = src.select(key, *tracked).withColumn("_attr_hash", attribute_hash_col(tracked, hash_mode))
     out_cols = [sk_col, key, *tracked, *SCD2_META]
 
@@ -67,18 +72,19 @@ def scd2_apply(
             F.lit(None).cast("timestamp_ntz").alias("valid_to"),
             F.lit(True).alias("is_current"),
         )
-        return assign_surrogate_keys(fresh, [key, "valid_from"], sk_col, 0).select(*out_cols)
+        return stage(assign_surrogate_keys(fresh, [key, "valid_from"], sk_col, 0).select(*out_cols), "scd2")
 
     start = max_key(target, sk_col)
     history = target.where(~F.col("is_current")).select(*out_cols)
     cur = target.where(F.col("is_current")).select(
         *[F.col(c).alias(f"t_{c}") for c in out_cols]
     )
-    s = src.select(*[F.col(c).alias(f"s_{c}") for c in src.columns])
-    j = cur.join(s, F.col(f"t_{key}") == F.col(f"s_{key}"), "full_outer")
+    cur = cur.withColumn("_t_here", F.lit(True))
+    s = src.select(*[F.col(c).alias(f"s_{c}") for c in src.columns], F.lit(True).alias("_s_here"))
+    j = cur.join(s, F.col(f"t_{key}").eqNullSafe(F.col(f"s_{key}")), "full_outer")
 
-    t_here = F.col(f"t_{key}").isNotNull()
-    s_here = F.col(f"s_{key}").isNotNull()
+    t_here = F.col("_t_here").isNotNull()
+    s_here = F.col("_s_here").isNotNull()
     changed = t_here & s_here & ~F.col("t__attr_hash").eqNullSafe(F.col("s__attr_hash"))
     old_row = F.struct(
         F.col(f"t_{sk_col}").alias(sk_col),
@@ -102,11 +108,13 @@ def scd2_apply(
         F.array(F.when(t_here, old_row), F.when((~t_here) | changed, new_row))
     )
     merged = stage(j.select(F.explode(rows).alias("r")).select("r.*"), "scd2-merged")
+    if not merged.where(F.col("valid_to") < F.col("valid_from")).isEmpty():
+        raise ValueError(f"snapshot of {effective_ts} is older than a version that it would close")
     keyed = merged.where(F.col(sk_col).isNotNull())
     fresh = assign_surrogate_keys(
         merged.where(F.col(sk_col).isNull()), [key, "valid_from"], sk_col, start
     )
-    return history.unionByName(keyed).unionByName(fresh.select(*out_cols))
+    return stage(history.unionByName(keyed).unionByName(fresh.select(*out_cols)), "scd2")
 
 
 # --------------------------------------------------------------------------
@@ -124,8 +132,7 @@ SECOND_LOAD = "1998-01-01 00:00:00"
 def customer_snapshot(customer: DataFrame, nation: DataFrame, version: int) -> DataFrame:
     """v1 lacks keys ending in 9; v2 moves every fifth customer to another segment."""
     base = customer.join(
-        bounded_broadcast(nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")),
-                          LOOKUP_BROADCAST_MAX_ROWS),
+        nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")),
         "c_nationkey",
         "left",
     ).select(
@@ -279,18 +286,11 @@ def daily_sales(fact: DataFrame) -> DataFrame:
     )
 
 
-DIM_BROADCAST_MAX_ROWS = 2_000_000
-
-
 def enrich_daily(daily: DataFrame, dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """Attributes by surrogate key (dims broadcast when proven small)."""
-    c = bounded_broadcast(dim_customer.select(
-        "dim_customer_sk", F.col("c_mktsegment").alias("customer_segment"), "country"
-    ), DIM_BROADCAST_MAX_ROWS)
-    p = bounded_broadcast(
-        dim_product.select("dim_product_sk", F.col("p_type").alias("category"), F.col("p_brand").alias("brand")),
-        DIM_BROADCAST_MAX_ROWS,
-    )
+    """Attributes by surrogate key (the dimensions are staged tables, so
+    Spark knows their bytes and broadcasts the small ones)."""
+    c = dim_customer.select("dim_customer_sk", F.col("c_mktsegment").alias("customer_segment"), "country")
+    p = dim_product.select("dim_product_sk", F.col("p_type").alias("category"), F.col("p_brand").alias("brand"))
     return daily.join(c, "dim_customer_sk", "left").join(p, "dim_product_sk", "left").select(
         *daily.columns, "customer_segment", "country", "category", "brand"
     )
@@ -325,7 +325,7 @@ def incremental_daily(target: DataFrame, fact: DataFrame, dim_customer: DataFram
                       dim_product: DataFrame, lookback_days: int = 0,
                       affected_dates: DataFrame | None = None) -> DataFrame:
     """Recompute the selected days and upsert them on the full grain."""
-    src = incremental_source(target, fact, dim_customer, dim_product, lookback_days, affected_dates)
+    src = stage(incremental_source(target, fact, dim_customer, dim_product, lookback_days, affected_dates), "mart-rows")
     return upsert(target, src, MART_GRAIN, null_safe=True, check_unique=False)
 
 
@@ -351,8 +351,8 @@ def dim_date(orders: DataFrame, ts_col: str = "o_orderdate", fiscal_offset_month
 def dim_store(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     stores = (
         supplier.select(F.col("s_suppkey").alias("store_id"), "s_nationkey")
-        .join(bounded_broadcast(nation, LOOKUP_BROADCAST_MAX_ROWS), F.col("s_nationkey") == F.col("n_nationkey"), "left")
-        .join(bounded_broadcast(region, LOOKUP_BROADCAST_MAX_ROWS), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
         .select("store_id", F.col("n_name").alias("nation"), F.col("r_name").alias("region"))
         .distinct()
     )
@@ -360,5 +360,5 @@ def dim_store(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> Data
 
 
 def resolve_store(df: DataFrame, stores: DataFrame) -> DataFrame:
-    s = bounded_broadcast(stores.select("store_id", "dim_store_sk", "region"), DIM_BROADCAST_MAX_ROWS)
+    s = stores.select("store_id", "dim_store_sk", "region")
     return df.join(s, "store_id", "left")

@@ -18,17 +18,9 @@ ORACLE: dict[str, str] = {}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a table. A scan that yields fewer splits than the cluster has
-    cores (a single small file, one row group) is spread round-robin so the
-    work after it is not single-task; large inputs already have thousands of
-    splits and are left alone. Filters and projections still reach the scan."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the scan as is
-        return df
-    return df.repartition(cores) if splits < cores else df
+    """Read a table. Filters and projections reach the scan; how many splits it
+    has is up to ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 class Tables:

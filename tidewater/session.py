@@ -13,6 +13,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 ROCKSDB_PROVIDER = (
@@ -25,6 +26,9 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # RocksDB state: upload change logs per micro-batch, snapshots in the background
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 # Dynamic partition overwrite is requested per write (``write_table(...,
 # dynamic=True)``, ``upsert_partitioned_table``), never switched on for the
@@ -46,9 +50,6 @@ def build_session(
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-        # RocksDB state: upload change logs per micro-batch, snapshots in the background
-        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for k, v in RUNTIME_DEFAULTS.items():
@@ -73,8 +74,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
     Read from ``spark.checkpoint.dir`` (or an already-set SparkContext
-    checkpoint dir). Only when neither is set do we create a local folder —
-    that is the unit-test / single-machine case.
+    checkpoint dir). Only when neither is set and the master is local (unit
+    tests, a laptop) do we create a folder; on a cluster a folder of one machine
+    would be unseen by the others, so that raises.
     """
     try:
         sc = spark.sparkContext
@@ -82,17 +84,18 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = None
     if sc is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        return configured or tempfile.mkdtemp(prefix="tidewater-ckpt-")
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        return configured
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return configured or os.path.dirname(current.rstrip("/"))
-    if configured:
-        sc.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="tidewater-ckpt-")
-    sc.setCheckpointDir(local)
-    return local
+    if not configured and not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = configured or tempfile.mkdtemp(prefix="tidewater-ckpt-")
+    sc.setCheckpointDir(folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -111,3 +114,15 @@ def stage(df, label: str):
     path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def read_if_there(spark: SparkSession, path: str, fmt: str = "parquet"):
+    """The table at ``path``, or None if there is none yet (no such path, or no
+    data file in it). Every other failure is raised: a storage error is no
+    empty table."""
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise

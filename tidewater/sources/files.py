@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.session import read_if_there
+
 AUDIT_COLUMNS = ["_ingest_ts", "_source_file"]
 
 
@@ -29,10 +31,8 @@ AUDIT_COLUMNS = ["_ingest_ts", "_source_file"]
 
 
 def read_persisted_schema(spark: SparkSession, location: str) -> T.StructType | None:
-    try:
-        row = spark.read.text(location).first()
-    except Exception:  # noqa: BLE001 - nothing persisted yet
-        return None
+    stored = read_if_there(spark, location, "text")
+    row = None if stored is None else stored.first()
     return T.StructType.fromJson(json.loads(row[0])) if row else None
 
 

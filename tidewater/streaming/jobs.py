@@ -15,10 +15,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tidewater.operators.latest import dedupe_ordered
 from tidewater.operators.upsert import upsert
 from tidewater.plans import telemetry as tm
+from tidewater.session import read_if_there
 from tidewater.sources import wire
 
 WATERMARK = "30 seconds"
@@ -73,9 +75,35 @@ def run_available_now(writer):
     return q
 
 
+class DroppedRows(StreamingQueryListener):
+    """Late rows that stateful operators discarded, summed over every
+    progress report while the listener is on (a query itself keeps only its last
+    reports). ``by_query`` has the sums by the run's id. Counted after partial
+    aggregation, as Spark reports."""
+
+    def __init__(self):
+        super().__init__()
+        self.by_query: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        self.by_query.setdefault(str(event.runId), 0)
+
+    def onQueryProgress(self, event):
+        run = str(event.progress.runId)
+        dropped = sum(int(op.numRowsDroppedByWatermark or 0) for op in event.progress.stateOperators)
+        self.by_query[run] = self.by_query.get(run, 0) + dropped
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
 def rows_dropped_by_watermark(query) -> int:
-    """Late rows the stateful operators discarded, from the query's own
-    progress reports (counted after partial aggregation, as Spark reports)."""
+    """The same from the reports that a query still holds; for a stream
+    longer than ``spark.sql.streaming.numRecentProgressUpdates`` batches add a
+    ``DroppedRows`` listener before it starts."""
     total = 0
     for p in query.recentProgress:
         for op in p.get("stateOperators", []) if isinstance(p, dict) else getattr(p, "stateOperators", []):
@@ -151,9 +179,8 @@ class KeyedUpsertSink:
         self.path, self.keys = path.rstrip("/"), keys
 
     def _last_commit(self, spark: SparkSession, below: int | None = None):
-        try:
-            commits = spark.read.parquet(f"{self.path}/_commits")
-        except Exception:  # noqa: BLE001 - nothing committed yet
+        commits = read_if_there(spark, f"{self.path}/_commits")
+        if commits is None:
             return None
         if below is not None:
             commits = commits.where(F.col("batch_id") < below)
@@ -169,8 +196,12 @@ class KeyedUpsertSink:
         prior = self._last_commit(spark, below=batch_id)
         base = None if prior is None else spark.read.parquet(f"{self.path}/slot={prior[1]}")
         target_slot = 0 if prior is None else 1 - prior[1]
-        merged = batch if base is None else upsert(base, batch, self.keys, null_safe=True)
-        merged.write.mode("overwrite").parquet(f"{self.path}/slot={target_slot}")
+        batch = batch.persist()  # the stateful plan runs once, for the check and the merge
+        try:
+            merged = batch if base is None else upsert(base, batch, self.keys, null_safe=True)
+            merged.write.mode("overwrite").parquet(f"{self.path}/slot={target_slot}")
+        finally:
+            batch.unpersist()
         spark.createDataFrame([(batch_id, target_slot)], "batch_id long, slot int").write.mode(
             "overwrite"
         ).parquet(f"{self.path}/_commits/b={batch_id}")
@@ -186,11 +217,13 @@ class DeadLetterRouter:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         decoded = wire.decode(batch, self.schema, keep=["offset"]).withColumn("batch_id", F.lit(batch_id))
         decoded = decoded.persist()
-        good, bad = wire.split_dead_letters(decoded, self.required)
-        # overwrite this batch's slice only: replays of a batch id are no-ops
-        good.write.mode("overwrite").parquet(f"{self.good_path}/batch={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{self.bad_path}/batch={batch_id}")
-        decoded.unpersist()
+        try:
+            good, bad = wire.split_dead_letters(decoded, self.required)
+            # overwrite this batch's slice only: replays of a batch id are no-ops
+            good.write.mode("overwrite").parquet(f"{self.good_path}/batch={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{self.bad_path}/batch={batch_id}")
+        finally:
+            decoded.unpersist()
 
 
 class LateRowTagger:
@@ -208,11 +241,8 @@ class LateRowTagger:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            prior = spark.read.parquet(self.progress_path).where(F.col("batch_id") < batch_id)
-            wm = prior.agg(F.max("max_ts").alias("m")).first()["m"]
-        except Exception:  # noqa: BLE001 - first batch
-            wm = None
+        prior = read_if_there(spark, self.progress_path)
+        wm = None if prior is None else prior.where(F.col("batch_id") < batch_id).agg(F.max("max_ts").alias("m")).first()["m"]
         batch = batch.persist()
         if wm is not None:
             edge = F.lit(wm).cast("timestamp_ntz") - F.expr(f"INTERVAL {self.delay} SECONDS")
@@ -248,19 +278,21 @@ class BatchDedupeSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = dedupe_ordered(batch, self.keys).withColumn("_event_date", F.to_date(F.col(self.ts_col)))
-        fresh = fresh.persist()
-        lo = fresh.agg(F.min("_event_date").alias("d")).first()["d"]
-        if lo is not None:
-            try:
-                seen = spark.read.parquet(self.seen_path).where(
-                    (F.col("batch") < batch_id) & (F.col("_event_date") >= F.date_sub(F.lit(lo), self.horizon))
-                ).select(*self.keys)
-                fresh = fresh.join(seen, self.keys, "left_anti")
-            except Exception:  # noqa: BLE001 - nothing seen yet
-                pass
-            fresh.drop("_event_date").write.mode("overwrite").parquet(f"{self.out_path}/batch={batch_id}")
-            fresh.select(*self.keys, "_event_date").write.mode("overwrite").partitionBy("_event_date").parquet(
-                f"{self.seen_path}/batch={batch_id}"
-            )
-        fresh.unpersist()
+        fresh = dedupe_ordered(batch, self.keys).withColumn("_event_date", F.to_date(F.col(self.ts_col))).persist()
+        try:
+            lo = fresh.agg(F.min("_event_date").alias("d")).first()["d"]
+            new = fresh
+            seen = read_if_there(spark, self.seen_path)
+            if seen is not None and lo is not None:
+                near = seen.where((F.col("_event_date") >= F.date_sub(F.lit(lo), self.horizon)) & (F.col("batch") < batch_id))
+                new = fresh.join(near.select(*self.keys), self.keys, "left_anti")
+            out = f"{self.out_path}/batch={batch_id}"
+            new.drop("_event_date").write.mode("overwrite").parquet(out)
+            # what was written is what is remembered, so the anti join runs once;
+            # by date first, so that only dates near the batch are listed
+            keys = spark.read.schema(new.schema).parquet(out).select(
+                *self.keys, F.to_date(F.col(self.ts_col)).alias("_event_date"), F.lit(batch_id).cast("long").alias("batch"))
+            (keys.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("_event_date", "batch").parquet(self.seen_path))
+        finally:
+            fresh.unpersist()
