@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -204,6 +205,12 @@ class EditableText:
         return [t for c in self.codes for t in c]
 
 
+@lru_cache(maxsize=1)
+def worker_bpe(ranks_path: str, pattern: str) -> PrefixBpe:
+    """One encoder per Python worker, kept for its later tasks."""
+    return PrefixBpe(load_ranks(ranks_path), pattern)
+
+
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False,
                   doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` and, if asked, ``ids``
@@ -214,7 +221,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool
     read. The work is row by row, without a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = PrefixBpe(load_ranks(ranks_path), pattern)
+        bpe = worker_bpe(ranks_path, pattern)
         for batch in batches:
             n, a, b, all_ids = [], [], [], []
             for t in texts_of(batch):

@@ -12,6 +12,7 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -35,6 +36,7 @@ class CachedEncoder:
     single stop after a letter is a piece of its own and is encoded apart."""
 
     STOPS = frozenset(".,;:!?")
+    LAST_LATIN = "\u024f"
 
     def __init__(self, path: str, limit: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -43,10 +45,21 @@ class CachedEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known = BoundedCache(self._one, limit)
+        self.signs = byte_signs()
 
     def _one(self, part: str) -> bytes:
         return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _is_word(self, part: str) -> bool:
+        """A blank and Latin letters, or letters alone: one piece of the split."""
+        word = part[1:] if part[0] == " " else part
+        return word.isalpha() and max(word) <= self.LAST_LATIN
+
+    def _word(self, part: str) -> bytes:
+        """The library's model on one piece, without its splitting."""
+        ids = [t.id for t in self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(self.signs))]
+        return np.array(ids, dtype="<u4").tobytes()
+
     def _pieces(self, part: str) -> tuple[str, ...]:
         return (part[:-1], part[-1]) if len(part) > 1 and part[-1] in self.STOPS and part[-2].isalpha() else (part,)
 
@@ -54,7 +67,8 @@ class CachedEncoder:
         parts, known = [chunks(t) for t in texts], self.known
         new = {c: self._pieces(c) for c in set(chain.from_iterable(parts)) if c not in known and c not in known.old}
         todo = [p for p in set(chain.from_iterable(new.values())) if p not in known and p not in known.old]
-        fresh = {}
+        fresh = {p: self._word(p) for p in todo if self._is_word(p)}
+        todo = [p for p in todo if p not in fresh]
         for at in range(0, len(todo), 4096):
             some = todo[at : at + 4096]
             for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
@@ -67,6 +81,21 @@ class CachedEncoder:
         return out
 
 
+def byte_signs() -> dict[int, str]:
+    """The sign that stands for each byte in a byte-level vocabulary: itself if
+    it is printable, else the next one from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return {b: chr(b) if b in own else chr(next(rest)) for b in range(256)}
+
+
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> CachedEncoder:
+    """One encoder per Python worker, so that later tasks find the parts that
+    earlier ones met."""
+    return CachedEncoder(path)
+
+
 def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int = 2, id_bytes: int = 2,
                       n_files: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Write ids of all texts under ``out_dir`` (any store that pyarrow opens)
@@ -85,7 +114,7 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id
         task, out, total = TaskContext.get(), None, 0
         part = task.partitionId()
         uri = f"{out_dir.rstrip('/')}/{run}-{part:06d}-{task.taskAttemptId()}.tok"
-        encoder = CachedEncoder(tokenizer_path)
+        encoder = worker_encoder(tokenizer_path)
         for batch in batches:
             out = out or TokenFileWriter(uri, id_bytes)
             for d, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts_of(batch))):
