@@ -38,7 +38,7 @@ class CachedEncoder:
     STOPS = frozenset(".,;:!?")
     LAST_LATIN = "\u024f"
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
