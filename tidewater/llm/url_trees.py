@@ -11,6 +11,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.session import stage
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FEATURES = ["url_length", "host_length", "path_length", "depth", "labels", "digit_ratio", "hyphens", "entropy",
             "parameters", "parameter_length", "has_fragment", "has_extension", "suffix_length", "suffix_share",
@@ -19,6 +21,7 @@ FEATURES = ["url_length", "host_length", "path_length", "depth", "labels", "digi
 MAX_RULES = 1000
 #: About how many labelled URLs the trees are fitted on at most.
 MAX_TRAIN_URLS = 200_000
+SAMPLE_PARTITIONS = 6
 
 
 @dataclass(frozen=True)
@@ -114,7 +117,7 @@ def _assembled(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=FEATURES, outputCol="__tw_x", handleInvalid="keep").transform(df)
 
 
-def train(labelled: DataFrame, label: str, max_urls: int = MAX_TRAIN_URLS, trees: int = 20, depth: int = 4,
+def train(labelled: DataFrame, label: str, max_urls: int = MAX_TRAIN_URLS, trees: int = 10, depth: int = 4,
           seed: int = 7) -> GBTClassificationModel | float:
     """Trees for rows with features and a 0/1 column ``label`` (1: block), from
     about ``max_urls`` of them, chosen by a hash of their features. With labels
@@ -126,7 +129,9 @@ def train(labelled: DataFrame, label: str, max_urls: int = MAX_TRAIN_URLS, trees
     share = min(1.0, max_urls / n)
     some = labelled if share == 1 else labelled.where(F.pmod(F.xxhash64("host", "path", *FEATURES), F.lit(1 << 20)) < int(share * (1 << 20)))
     gbt = GBTClassifier(featuresCol="__tw_x", labelCol="__tw_y", maxIter=trees, maxDepth=depth, seed=seed, stepSize=0.2, cacheNodeIds=False)
-    return gbt.fit(_assembled(some.withColumn("__tw_y", F.col(label).cast("double"))).select("__tw_x", "__tw_y"))
+    # a bounded sample that each of the many small jobs reads again: staged, in few partitions
+    sample = stage(some.select(F.col(label).cast("double").alias("__tw_y"), *FEATURES), "url-sample").coalesce(SAMPLE_PARTITIONS)
+    return gbt.fit(_assembled(sample).select("__tw_x", "__tw_y"))
 
 
 def judge(pages: DataFrame, rules: list[Rule], url: str = "url", page_id: str = "page_id", threshold: float = 0.5) -> DataFrame:
