@@ -29,10 +29,13 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+LAST_LATIN = "\u024f"
+
+
 class PrefixBpe:
     """Encoder and decoder over a rank table and a split pattern."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, cache: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cache: int = 400_000):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for t, i in ranks.items():
@@ -110,6 +113,9 @@ class PrefixBpe:
     # -- texts ----------------------------------------------------------------
     def _encode_part(self, part: str) -> bytes:
         pieces = self.pieces
+        word = part[1:] if part[0] == " " else part
+        if word.isalpha() and max(word) <= LAST_LATIN:  # a blank and letters are one piece
+            return np.array(pieces[part.encode()], dtype="<u4").tobytes()
         ids = [t for p in self.pattern.findall(part) for t in pieces[p.encode()]]
         return np.array(ids, dtype="<u4").tobytes()
 
