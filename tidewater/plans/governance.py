@@ -147,6 +147,18 @@ def _value_rules(categories=PII_CATEGORIES):
     return [(c["name"], c["sensitivity"], c["sample_rule"]) for c in categories if c.get("sample_rule")]
 
 
+def string_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+
+
+def filled_counts(df: DataFrame, table_fqn: str) -> DataFrame:
+    """(table_fqn, column, filled_rows): the rows with a value, per column, in one pass."""
+    counts = [F.count(F.col(f"`{c}`")).alias(f"n{j}") for j, c in enumerate(df.columns)]
+    cells = [F.struct(F.lit(table_fqn).alias("table_fqn"), F.lit(c).alias("column"), F.col(f"n{j}").alias("filled_rows"))
+             for j, c in enumerate(df.columns)]
+    return df.agg(*counts).select(F.inline(F.array(*cells)))
+
+
 def value_match_counts(df: DataFrame, table_fqn: str, columns: list[str] | None = None,
                        categories=PII_CATEGORIES, sample_fraction: float | None = None,
                        seed: int = 42, emit: list[tuple[str, str]] | None = None) -> DataFrame:
@@ -158,7 +170,7 @@ def value_match_counts(df: DataFrame, table_fqn: str, columns: list[str] | None
     result rows when one scan serves several logical tables (e.g. a table and
     a view derived from it); each column is still counted once.
     """
-    cols = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    cols = columns or string_columns(df)
     emit = emit or [(table_fqn, c) for c in cols]
     cols = list(dict.fromkeys(cols + [c for _, c in emit]))
     src = df.select(*cols)

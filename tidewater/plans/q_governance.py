@@ -12,12 +12,20 @@ ALL_TABLES = ("region nation customer supplier part orders lineitem events docum
               "pages benchmark labels conversations").split()
 SALT = "tw-salt-1"
 
-# String columns whose values are classified (the SQL oracle lists them; the
-# Spark side reads them off the schema and must agree).
-VALUE_TABLES = {
+# The string columns of every table, as the SQL oracle lists them. The Spark side
+# reads them off the schemas and must agree.
+ORACLE_STRING_COLUMNS = {
+    "region": ["r_name"],
+    "nation": ["n_name"],
     "customer": ["c_name", "c_mktsegment"],
+    "supplier": ["s_name"],
+    "part": ["p_name", "p_brand", "p_type"],
+    "orders": ["o_orderstatus", "o_orderpriority"],
+    "lineitem": ["l_returnflag", "l_linestatus"],
+    "events": ["event_type", "props"],
     "documents": ["text", "lang", "source"],
     "pages": ["url", "html"],
+    "benchmark": ["text"],
     "conversations": ["role", "text"],
     "contacts": ["contact_email", "contact_phone", "card_number", "lang", "source"],
 }
@@ -76,7 +84,7 @@ name_hits AS (
 
 def _value_counts_sql() -> str:
     parts = []
-    for table, cols in VALUE_TABLES.items():
+    for table, cols in ORACLE_STRING_COLUMNS.items():
         for c in cols:
             nonblank = f"{c} IS NOT NULL AND NOT regexp_full_match({c}, '{gv.BLANK}')"
             for cat in gv.PII_CATEGORIES:
@@ -110,13 +118,15 @@ def _name_hits(spark, t):
 
 
 def _value_counts(spark, t):
-    """One aggregate pass per base table; the contacts view is derived from
-    documents, so its columns are counted in the same documents scan."""
-    frames = _frames(t, [n for n in VALUE_TABLES if n != "contacts"])
-    parts = [gv.value_match_counts(frames[name], name, cols)
-             for name, cols in VALUE_TABLES.items() if name not in ("documents", "contacts")]
-    emit = [("documents", c) for c in VALUE_TABLES["documents"]] + [("contacts", c) for c in VALUE_TABLES["contacts"]]
-    parts.append(gv.value_match_counts(_documents_with_contacts(frames["documents"]), "documents", emit=emit))
+    """One aggregate pass per base table over all its string columns; the
+    contacts view is derived from documents, so its columns are counted in the
+    same documents scan."""
+    frames = _frames(t, ALL_TABLES)
+    documents = frames.pop("documents")
+    parts = [gv.value_match_counts(df, name) for name, df in frames.items() if gv.string_columns(df)]
+    emit = [(name, c) for name, df in (("documents", documents), ("contacts", contacts(documents)))
+            for c in gv.string_columns(df)]
+    parts.append(gv.value_match_counts(_documents_with_contacts(documents), "documents", emit=emit))
     return union_by_name(parts)
 
 
@@ -132,10 +142,22 @@ def _documents_with_contacts(documents):
     )
 
 
-@query("classify_names", f"WITH {NAME_HITS_SQL}\nSELECT * FROM name_hits")
+FILLED_SQL = "filled AS (" + " UNION ALL ".join(
+    f"SELECT '{x}' AS table_fqn, \"column\", filled_rows FROM (UNPIVOT (SELECT count(COLUMNS('.*')) AS '\\0' FROM {x}) "
+    "ON COLUMNS(*) INTO NAME \"column\" VALUE filled_rows)"
+    for x in [*ALL_TABLES, "contacts"]) + ")"
+
+
+@query(
+    "classify_names",
+    f"""WITH {CONTACTS_SQL}, {FILLED_SQL}, {NAME_HITS_SQL}
+SELECT h.*, f.filled_rows FROM name_hits h JOIN filled f USING (table_fqn, "column")""",
+)
 def q_classify_names(spark, t):
-    """Column-name rules over every table's columns (incl. the contacts view)."""
-    return _name_hits(spark, t)
+    """Column-name rules over every table's columns (incl. the contacts
+    view), with the rows in which a tagged column holds a value."""
+    filled = union_by_name([gv.filled_counts(df, name) for name, df in _frames(t).items()])
+    return _name_hits(spark, t).join(filled, ["table_fqn", "column"])
 
 
 @query("classify_value_counts", f"WITH {VALUE_HITS_SQL}\nSELECT * FROM value_counts")
@@ -373,31 +395,38 @@ WITH cols AS (
   FROM information_schema.columns
   WHERE table_name IN ({", ".join(f"'{x}'" for x in ALL_TABLES)})),
 tabs AS (SELECT DISTINCT table_catalog, table_schema, table_name, 'BASE TABLE' AS table_type,
-                CAST(NULL AS VARCHAR) AS table_comment FROM cols)
+                CAST(NULL AS VARCHAR) AS table_comment FROM cols),
+sizes AS ({" UNION ALL ".join(f"SELECT '{x.upper()}' AS table_name, count(*) AS row_count FROM {x}" for x in ALL_TABLES)})
 SELECT table_catalog, table_schema, table_name, table_type, coalesce(table_comment, '') AS table_description,
        column_name AS name,
        CASE upper(split_part(data_type, '(', 1))
          {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in gv.CATALOG_TYPE_MAP.items())}
          ELSE 'VARCHAR' END AS "dataType",
        is_nullable = 'YES' AS nullable, coalesce(column_comment, '') AS description,
-       ordinal_position AS "ordinalPosition"
-FROM cols JOIN tabs USING (table_catalog, table_schema, table_name)
+       ordinal_position AS "ordinalPosition", row_count
+FROM cols JOIN tabs USING (table_catalog, table_schema, table_name) JOIN sizes USING (table_name)
 WHERE table_schema <> 'INFORMATION_SCHEMA'"""
 
 
 def _catalog_flat(spark, t):
-    frames = {name: getattr(t, name) for name in ALL_TABLES}
-    cols, tabs = gv.information_schema(spark, frames)
+    cols, tabs = gv.information_schema(spark, _frames(t, ALL_TABLES))
     return gv.catalog_flat(cols, tabs)
 
 
+def _with_row_counts(t, catalog):
+    """The catalog with the measured size of each table."""
+    sizes = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name.upper()).alias("table_name"), "row_count")
+             for name, df in _frames(t, ALL_TABLES).items()]
+    return catalog.join(union_by_name(sizes), "table_name")
+
+
 @query("catalog_flat", CATALOG_SQL)
 def q_catalog_flat(spark, t):
-    """Column rows joined to table rows, type names mapped, ordered."""
-    return _catalog_flat(spark, t)
+    """Column rows joined to table rows and table sizes, type names mapped, ordered."""
+    return _with_row_counts(t, _catalog_flat(spark, t)).orderBy("table_catalog", "table_schema", "table_name", "ordinalPosition")
 
 
 @query("catalog_nested")
 def q_catalog_nested(spark, t):
     """One record per table with its ordered nested column list."""
-    return gv.catalog_nested(_catalog_flat(spark, t))
+    return _with_row_counts(t, gv.catalog_nested(_catalog_flat(spark, t)))
