@@ -309,7 +309,8 @@ def word_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         & (F.get("keys_x", F.array_position(same("keys"), True).cast("int") - 1) == F.col("key"))  # in the first bucket shared only
         & (F.size(F.filter(same("sig"), lambda e: e)) >= F.lit(math.ceil(ESTIMATE * K))))
     rest = rest.select(F.least("name_x", "name_y").alias("a"), F.greatest("name_x", "name_y").alias("b")).distinct()
-    return sketches, _merged(classes, _compare(rest, sketches, docs, bags))
+    rest = stage(rest, "dart-pairs")  # sizes and signatures are compared by the join above
+    return sketches, _merged(classes, stage(_confirmed(rest, bags), "dart-links"))
 
 
 def _mixed(rooted: DataFrame) -> DataFrame:
