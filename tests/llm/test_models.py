@@ -231,3 +231,20 @@ def test_op8_probabilities_sum_to_one():
     assert np.allclose((10 ** tree.logp).reshape(-1, suffix_tree.SYMBOLS).sum(1), 1)
     legal = np.array([not (b < 10 or 11 <= b < 14 or 65 <= b < 91) for b in range(256)])
     assert np.allclose(np.bincount(suffix_tree.CLASSES[legal], 10 ** tree.share[legal]), 1)
+
+
+def test_op8_contexts_are_bytes_and_grow_with_the_text(spark, monkeypatch):
+    """Other scripts get contexts of their own, of more than three symbols, and
+    the joined way gives what the broadcast one does."""
+    rows = [(i, "мама мыла раму жук ест лук" if i % 2 else "кот спит + a<=b (c) [d]") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    train = [plain_words(t) for d, t in rows if crc32(str(d).encode()) % 5 != 1]
+    got = {r["doc_id"]: r["score"] for r in suffix_tree.score(docs).collect()}
+    for d, t in rows[:2]:
+        assert abs(got[d] - plain_tree_score(train, plain_words(t))) < 1e-6 * abs(got[d])
+        assert got[d] > -0.25 * len(t.encode())  # the contexts nearly fix the next byte
+    monkeypatch.setattr(suffix_tree, "HEAD_CODES", 3)
+    few = {r["doc_id"]: r["score"] for r in suffix_tree.score(docs).collect()}
+    assert all(abs(few[d] - got[d]) < 1e-9 * abs(got[d]) for d in got)
+    stats = suffix_tree.gather(docs.selectExpr("doc_id % 2 = 0 as held_out", "cast(text as binary) text")).where("code is not null")
+    assert stats.count() > 40 and stats.where("n = 0").count() > 0
