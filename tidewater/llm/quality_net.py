@@ -134,9 +134,11 @@ def constant_model(y: np.ndarray) -> Model:
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS, doc_id: str = "doc_id",
           text: str = "text", label: str = "quality") -> Model:
-    """Fit on labelled documents. Labels that are null, or whose id is null, are
-    not used; an id with several labels counts with their mean, 1 from a half
-    up. With labels of one class, or none, every document gets the same score."""
+    """Word vectors from the texts of all of ``docs``, the network and its
+    temperature from the labelled sample. Labels that are null, or whose id is
+    null, are not used; an id with several labels counts with their mean, 1 from
+    a half up. With labels of one class, or none, every document gets the same
+    score."""
     spark = docs.sparkSession
     y = (labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull())
          .groupBy(F.col(doc_id).cast("long").alias("__tw_id"))
@@ -151,24 +153,35 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS, do
     shared_base = spark.sparkContext.broadcast(base)
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, rows_of, total = shared_base.value, Rows(), np.zeros((ROWS, DIM), np.int64)
+        # one more row, without an index vector, stands between texts
+        base, rows_of, total = np.vstack((shared_base.value, np.zeros((1, DIM)))).astype(np.int8), Rows(), np.zeros((ROWS + 1, DIM), np.int64)
+        gap = np.full(REACH, ROWS, np.int32)
+
+        def add(parts: list[np.ndarray]) -> None:
+            rows = np.concatenate(parts)
+            own = base[rows]
+            near = np.zeros_like(own)  # sums of 2 * REACH numbers of -1 to 1
+            for k in range(1, REACH + 1):
+                near[k:] += own[:-k]
+                near[:-k] += own[k:]
+            order = np.argsort(rows.astype(np.int16), kind="stable")
+            edges = np.flatnonzero(np.diff(rows[order], prepend=-1))
+            total[rows[order][edges]] += np.add.reduceat(near[order], edges, axis=0, dtype=np.int64)
+
+        parts, size = [gap], 0
         for batch in batches:
             for t in texts_of(batch):
-                rows = rows_of(t)
-                if len(rows) < 2:
-                    continue
-                near = np.zeros((len(rows), DIM), np.int32)
-                for k in range(1, REACH + 1):
-                    near[k:] += base[rows[:-k]] if k < len(rows) else 0
-                    near[:-k] += base[rows[k:]] if k < len(rows) else 0
-                order = np.argsort(rows, kind="stable")
-                edges = np.flatnonzero(np.diff(rows[order], prepend=-1))
-                total[rows[order][edges]] += np.add.reduceat(near[order], edges, axis=0, dtype=np.int64)
-        used = np.flatnonzero(np.abs(total).sum(axis=1))
+                parts += [rows_of(t), gap]
+                size += len(parts[-2])
+                if size > 1 << 17:
+                    add(parts)
+                    parts, size = [gap], 0
+        add(parts)
+        used = np.flatnonzero(np.abs(total[:ROWS]).sum(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(used, pa.int32()), pa.array(list(total[used]), pa.list_(pa.int64()))], ["row", "sums"])
 
-    sums = map_batches(picked, contexts, "row int, sums array<long>").groupBy("row").agg(
+    sums = map_batches(docs.select(F.col(text).alias("text")), contexts, "row int, sums array<long>").groupBy("row").agg(
         F.array(*[F.sum(F.col("sums")[k]) for k in range(DIM)]).alias("sums"))
     context = np.zeros((ROWS, DIM), np.float64)
     for r in sums.collect():  # at most ROWS rows
