@@ -18,3 +18,10 @@ def test_op7_word_vectors_cover_texts_without_a_label(spark):
     assert np.abs(want[rows_of("glyphs")]).sum() > 0
     norm = np.linalg.norm(want, axis=1, keepdims=True)
     assert np.allclose(model.vectors, want / np.where(norm > 0, norm, 1) + base / quality_net.NONZERO**0.5, atol=1e-5)
+
+
+def test_op7_a_repeated_document_counts_once(spark):
+    x = [[float(k)] * quality_net.DIM for k in range(3)]
+    rows = spark.createDataFrame([(1, 1, x[0]), (1, 1, x[1]), (1, 1, x[2]), (2, 0, x[2])], "id long, y int, x array<double>")
+    got = {r["id"]: (r["y"], r["x"]) for r in quality_net.by_id(rows).collect()}
+    assert got == {1: (1, x[1]), 2: (0, x[2])}

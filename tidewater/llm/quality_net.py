@@ -132,12 +132,19 @@ def constant_model(y: np.ndarray) -> Model:
     return Model(np.zeros((ROWS, DIM), np.float32), np.zeros(DIM), np.ones(DIM), layers, 1.0)
 
 
+def by_id(rows: DataFrame) -> DataFrame:
+    """One row of each id: the mean of its vectors ``x``, added up before the
+    shuffle."""
+    return rows.groupBy("id", "y").agg(F.array(*[F.avg(F.col("x")[k]) for k in range(DIM)]).alias("x"))
+
+
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS, doc_id: str = "doc_id",
           text: str = "text", label: str = "quality") -> Model:
     """Word vectors from the texts of all of ``docs``, the network and its
     temperature from the labelled sample. Labels that are null, or whose id is
     null, are not used; an id with several labels counts with their mean, 1 from
-    a half up. With labels of one class, or none, every document gets the same
+    a half up. A document id of several rows counts once, with the mean of their
+    vectors. With labels of one class, or none, every document gets the same
     score."""
     spark = docs.sparkSession
     y = (labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull())
@@ -197,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS, do
             yield pa.RecordBatch.from_arrays(
                 [batch.column("__tw_id"), batch.column("y"), pa.array(list(x), pa.list_(pa.float64()))], ["id", "y", "x"])
 
-    got = sorted(map_batches(picked, features, "id long, y int, x array<double>").collect())  # about max_docs rows
+    got = sorted(by_id(map_batches(picked, features, "id long, y int, x array<double>")).collect())  # about max_docs rows
     labels_y = np.array([r["y"] for r in got], np.float64)
     if len(got) < 10 or labels_y.min() == labels_y.max():
         return constant_model(labels_y)
