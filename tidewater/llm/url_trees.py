@@ -21,6 +21,7 @@ FEATURES = ["url_length", "host_length", "path_length", "depth", "labels", "digi
 MAX_RULES = 1000
 #: About how many labelled URLs the trees are fitted on at most.
 MAX_TRAIN_URLS = 200_000
+LEAST_OF_LABEL = 1000
 SAMPLE_PARTITIONS = 6
 
 
@@ -117,17 +118,30 @@ def _assembled(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=FEATURES, outputCol="__tw_x", handleInvalid="keep").transform(df)
 
 
-def train(labelled: DataFrame, label: str, max_urls: int = MAX_TRAIN_URLS, trees: int = 10, depth: int = 4,
-          seed: int = 7) -> GBTClassificationModel | float:
+def sampled(labelled: DataFrame, label: str, found: dict[int, int], max_urls: int, key: str = "page_id") -> DataFrame:
+    """About ``max_urls`` of the rows, each label (``found``: its rows) by the
+    same share, but at least about ``LEAST_OF_LABEL`` of it or all. Rows are
+    drawn by a hash of ``key`` too, so copies of a URL are not in or out
+    together."""
+    total = sum(found.values())
+    draw = F.pmod(F.xxhash64(key, "host", "path", *FEATURES), F.lit(1 << 20))
+    keep = F.lit(False)
+    for value, n in found.items():
+        share = min(1.0, max(max_urls / total, LEAST_OF_LABEL / n))
+        keep = keep | ((F.col(label) == value) & (draw < int(share * (1 << 20))))
+    return labelled.where(keep)
+
+
+def train(labelled: DataFrame, label: str, max_urls: int = MAX_TRAIN_URLS, trees: int = 20, depth: int = 4,
+          seed: int = 7, key: str = "page_id") -> GBTClassificationModel | float:
     """Trees for rows with features and a 0/1 column ``label`` (1: block), from
-    about ``max_urls`` of them, chosen by a hash of their features. With labels
+    about ``max_urls`` of them, chosen row by row (see ``sampled``). With labels
     of one class, or none, the share of label 1 (0 for none) instead."""
     found = {r[0]: r[1] for r in labelled.groupBy(label).count().collect()}
     n = sum(found.values())
     if len(found) < 2:
         return float(next(iter(found), 0))
-    share = min(1.0, max_urls / n)
-    some = labelled if share == 1 else labelled.where(F.pmod(F.xxhash64("host", "path", *FEATURES), F.lit(1 << 20)) < int(share * (1 << 20)))
+    some = labelled if n <= max_urls else sampled(labelled, label, found, max_urls, key)
     gbt = GBTClassifier(featuresCol="__tw_x", labelCol="__tw_y", maxIter=trees, maxDepth=depth, seed=seed, stepSize=0.2, cacheNodeIds=False)
     # a bounded sample that each of the many small jobs reads again: staged, in few partitions
     sample = stage(some.select(F.col(label).cast("double").alias("__tw_y"), *FEATURES), "url-sample").coalesce(SAMPLE_PARTITIONS)
