@@ -16,9 +16,6 @@ from tidewater.llm.common import let
 BUCKETS = 1 << 14
 #: Mean log ratio (natural) under which a document goes.
 THRESHOLD = -0.25
-#: About how many trusted documents the target is counted on at most (a sample
-#: by a hash of the id; all of them if there are fewer). Their ids are broadcast.
-MAX_TRUSTED = 100_000
 SPACE = "[\\x20\\x09-\\x0D]+"
 
 
@@ -67,18 +64,15 @@ def with_buckets(df: DataFrame, text: str, out: str, buckets: int = BUCKETS) ->
 
 
 def fit_ratio(docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", text: str = "text",
-              buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED) -> list[float]:
+              buckets: int = BUCKETS) -> list[float]:
     """The log ratio of each bucket: its add-one share among the n-grams of the
     trusted rows over that among those of all rows. The raw counts cover all
-    documents, the trusted ones about ``max_trusted`` ids of ``trusted_ids``.
-    Both are added up before the shuffle; what comes back is a number per
-    bucket."""
+    documents, the trusted ones all ids of ``trusted_ids``, which are joined by
+    Spark's own choice. Both are added up before the shuffle; what comes back is
+    a number per bucket."""
     marked = trusted_ids.select(F.col(doc_id).alias("__tw_id")).where("__tw_id is not null").distinct()
-    share = min(1.0, max_trusted / max(1, marked.count()))
-    if share < 1:
-        marked = marked.where(F.pmod(F.xxhash64("__tw_id", F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20)))
     rows = docs.select(F.col(doc_id).alias("__tw_id"), F.coalesce(F.col(text), F.lit("")).alias("__tw_text"))
-    rows = rows.join(F.broadcast(marked.withColumn("__tw_good", F.lit(1))), "__tw_id", "left")
+    rows = rows.join(marked.withColumn("__tw_good", F.lit(1)), "__tw_id", "left")
     grams = with_buckets(rows, "__tw_text", "__tw_b", buckets).select("__tw_good", F.explode_outer("__tw_b").alias("b")).where("b is not null")
     counts = grams.groupBy("b").agg(F.count("*").alias("raw"), F.count("__tw_good").alias("good"))
     return ratio_of({r["b"]: (r["good"], r["raw"]) for r in counts.collect()}, buckets)
