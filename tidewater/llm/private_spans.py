@@ -40,12 +40,36 @@ class Kind:
 # without overlap; possessive loops and the look behind (a match starts a run of
 # its characters, or where the last match ended) keep them linear on long texts.
 _LOCAL = "A-Za-z0-9._%+-"
+#: Countries and the signs of their IBANs, blanks not counted.
+IBAN_LENGTHS = (
+    "AD24 AE23 AL28 AO25 AT20 AZ28 BA20 BE16 BF28 BG22 BH22 BI27 BJ28 BR29 BY28 CF27 CG27 CH21 CI28 CM27 "
+    "CR22 CV25 CY28 CZ24 DE22 DJ27 DK18 DO28 DZ26 EE20 EG29 ES24 FI18 FK18 FO18 FR27 GA27 GB22 GE22 GI23 "
+    "GL18 GQ27 GR27 GT28 GW25 HN28 HR21 HU28 IE22 IL23 IQ23 IR26 IS26 IT27 JO30 KM27 KW30 KZ20 LB28 LC32 "
+    "LI21 LT20 LU20 LV21 LY25 MA28 MC27 MD24 ME22 MG27 MK19 ML28 MN20 MR27 MT31 MU30 MZ25 NE28 NI28 NL18 "
+    "NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SN28 SO23 ST25 "
+    "SV28 TD27 TG28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30 "
+)
+
+
+def _iban_pattern() -> str:
+    """An IBAN of a listed country ends at that country's length, whatever words
+    follow. Other codes go as far as capitals and digits do, but not into an
+    IBAN of a listed country."""
+    by_length: dict[int, list[str]] = {}
+    for x in IBAN_LENGTHS.split():
+        by_length.setdefault(int(x[2:]), []).append(x[:2])
+    listed = "|".join(x[:2] for x in IBAN_LENGTHS.split())
+    own = [rf"(?:{'|'.join(c)})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])" for n, c in sorted(by_length.items())]
+    other = rf"(?!{listed})[A-Z]{{2}}[0-9]{{2}}(?:(?: (?!(?:{listed})[0-9]{{2}}))?[A-Z0-9]){{11,30}}(?![A-Za-z0-9])"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join([*own, other])})"
+
+
 KINDS = [
     Kind("email", rf"(?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", guard="@"),
     Kind("ip", r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}", guard=".", check="ip"),
     Kind("card", r"[0-9](?:[ -]?[0-9])++", check="card"),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", guard="+", check="phone"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])", check="iban", prior=0.3, proof=0.6,
+    Kind("iban", _iban_pattern(), check="iban", prior=0.3, proof=0.6,
          near=r"(?i)iban|bank|account|konto|compte|cuenta|bic|swift", raises=0.1),
     Kind("ssn", r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])", guard="-", prior=0.5,
          near=r"(?i)\bssn\b|social|security|insurance|taxpayer", raises=0.4,
