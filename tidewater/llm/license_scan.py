@@ -71,6 +71,30 @@ TEMPLATES = [
     Template("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
              "this work."),
     Template("Unlicense", "This is free and unencumbered software released into the public domain."),
+    # bodies whose usual layout has several paragraphs, by paragraph
+    Template("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+             "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the "
+             "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+             "persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    Template("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+             "the Software."),
+    Template("MIT", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO "
+             "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+             "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+             "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    Template("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+             "compliance with the License. You may obtain a copy of the License at"),
+    Template("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+             "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the "
+             "License for the specific language governing permissions and limitations under the License."),
+    Template("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+             "promote products derived from this software without specific prior written permission."),
+    Template("LGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+             "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+             "option) any later version."),
+    Template("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+             "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+             "option) any later version."),
 ]
 
 
