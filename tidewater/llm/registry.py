@@ -16,6 +16,7 @@ from tidewater.llm import (
     prefix_bpe,
     private_spans,
     quality_net,
+    stream_bpe,
     suffix_tree,
     tiling,
     token_output,
@@ -82,9 +83,13 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op12_stream_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stream_bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_token_files, op2_ngram_ratio, op3_private_spans, op4_prefix_bpe, op5_url_trees, op6_tiling,
-             op7_quality_net, op8_suffix_tree, op9_dart_minhash, op10_license_scan]
+             op7_quality_net, op8_suffix_tree, op9_dart_minhash, op10_license_scan, op12_stream_bpe]
 
     def prepared(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
