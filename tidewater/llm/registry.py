@@ -13,6 +13,8 @@ from tidewater.llm import (
     dart_minhash,
     license_scan,
     ngram_ratio,
+    oracles,
+    phrase_mining,
     prefix_bpe,
     private_spans,
     quality_net,
@@ -87,9 +89,13 @@ def op12_stream_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.mine(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_token_files, op2_ngram_ratio, op3_private_spans, op4_prefix_bpe, op5_url_trees, op6_tiling,
-             op7_quality_net, op8_suffix_tree, op9_dart_minhash, op10_license_scan, op12_stream_bpe]
+             op7_quality_net, op8_suffix_tree, op9_dart_minhash, op10_license_scan, op12_stream_bpe, op13_phrase_mining]
 
     def prepared(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,4 +109,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op13_phrase_mining": oracles.PHRASE_MINING}
