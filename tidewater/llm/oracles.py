@@ -4,6 +4,28 @@ from __future__ import annotations
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+SLICED_SEARCH = f"""
+WITH occ AS (
+  SELECT row, doc_id, unnest(regexp_extract_all(translate(text, '{CAPITALS}', '{SMALL}'), '{_TERMS}')) AS term
+  FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)),
+tf AS (SELECT row, doc_id, term, count(*) AS tf FROM occ GROUP BY ALL),
+lens AS (SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY row),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lens),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM tf, totals GROUP BY term, docs),
+asked AS (
+  SELECT item, item_id, term, count(*) AS q FROM (
+    SELECT item, item_id, unnest(regexp_extract_all(translate(text, '{CAPITALS}', '{SMALL}'), '{_TERMS}')) AS term
+    FROM (SELECT row_number() OVER () AS item, item_id, text FROM benchmark)) GROUP BY ALL),
+scores AS (
+  SELECT item, item_id, tf.row, doc_id,
+         CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN lens USING (row), totals GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20"""
+
 PHRASE_MINING = rf"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,

@@ -18,6 +18,7 @@ from tidewater.llm import (
     prefix_bpe,
     private_spans,
     quality_net,
+    sliced_search,
     stream_bpe,
     suffix_tree,
     tiling,
@@ -85,6 +86,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_sliced_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = sliced_search.Index(table(spark, sf_dir, "documents"))
+    return sliced_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
 def op12_stream_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -95,7 +101,7 @@ def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_token_files, op2_ngram_ratio, op3_private_spans, op4_prefix_bpe, op5_url_trees, op6_tiling,
-             op7_quality_net, op8_suffix_tree, op9_dart_minhash, op10_license_scan, op12_stream_bpe, op13_phrase_mining]
+             op7_quality_net, op8_suffix_tree, op9_dart_minhash, op10_license_scan, op11_sliced_search, op12_stream_bpe, op13_phrase_mining]
 
     def prepared(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,4 +115,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op13_phrase_mining": oracles.PHRASE_MINING}
+    return {"op11_sliced_search": oracles.SLICED_SEARCH, "op13_phrase_mining": oracles.PHRASE_MINING}
