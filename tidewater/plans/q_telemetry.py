@@ -222,9 +222,10 @@ def q_kpi_stream(spark, t):
 
 @query("kpi_sink_upsert", KPI_SQL)
 def q_kpi_sink_upsert(spark, t):
-    """KPIs in update mode into an idempotent keyed-upsert sink."""
+    """KPIs in update mode into a keyed, versioned table: a batch
+    rewrites the dates it touches."""
     stream = _telemetry_stream(spark, t, "kpiu")
-    sink = jobs.KeyedUpsertSink(scratch_path(spark, "kpiu-table"), tm.KPI_KEYS)
+    sink = jobs.KeyedUpsertSink(scratch_path(spark, "kpiu-table"), tm.KPI_KEYS, F.to_date("window_start"))
     w = (
         jobs.kpi_stream(stream).writeStream.outputMode("update")
         .option("checkpointLocation", scratch_path(spark, "kpiu-ckpt")).foreachBatch(sink)

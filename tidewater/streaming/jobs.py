@@ -18,10 +18,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
 from tidewater.operators.latest import dedupe_ordered
-from tidewater.operators.upsert import upsert
 from tidewater.plans import telemetry as tm
 from tidewater.session import read_if_there
 from tidewater.sources import wire
+from tidewater.streaming.versioned import KeyedUpsertSink  # noqa: F401
 
 WATERMARK = "30 seconds"
 
@@ -162,51 +162,6 @@ def dedupe_events(stream: DataFrame, keys: list[str], delay: str = WATERMARK) ->
 # --------------------------------------------------------------------------
 
 
-class KeyedUpsertSink:
-    """Idempotent keyed upsert into a Parquet table (S11, T9), bounded storage.
-
-    The table lives in two slots (``slot=0``/``slot=1``). Batch ``b`` merges
-    its rows into the last committed slot and writes the result to the other
-    slot, then appends a tiny commit record ``(batch_id, slot)`` under
-    ``_commits`` (records are never overwritten, so a crash cannot lose the
-    pointer). A re-delivered batch id finds its own commit, rebuilds from the
-    other slot and rewrites the same content, so replays are no-ops. A crash
-    between the slot write and the commit leaves the previous commit in force.
-    Readers take the slot of the highest commit.
-    """
-
-    def __init__(self, path: str, keys: list[str]):
-        self.path, self.keys = path.rstrip("/"), keys
-
-    def _last_commit(self, spark: SparkSession, below: int | None = None):
-        commits = read_if_there(spark, f"{self.path}/_commits")
-        if commits is None:
-            return None
-        if below is not None:
-            commits = commits.where(F.col("batch_id") < below)
-        row = commits.orderBy(F.col("batch_id").desc()).select("batch_id", "slot").first()
-        return None if row is None else (int(row["batch_id"]), int(row["slot"]))
-
-    def current(self, spark: SparkSession) -> DataFrame | None:
-        last = self._last_commit(spark)
-        return None if last is None else spark.read.parquet(f"{self.path}/slot={last[1]}")
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prior = self._last_commit(spark, below=batch_id)
-        base = None if prior is None else spark.read.parquet(f"{self.path}/slot={prior[1]}")
-        target_slot = 0 if prior is None else 1 - prior[1]
-        batch = batch.persist()  # the stateful plan runs once, for the check and the merge
-        try:
-            merged = batch if base is None else upsert(base, batch, self.keys, null_safe=True)
-            merged.write.mode("overwrite").parquet(f"{self.path}/slot={target_slot}")
-        finally:
-            batch.unpersist()
-        spark.createDataFrame([(batch_id, target_slot)], "batch_id long, slot int").write.mode(
-            "overwrite"
-        ).parquet(f"{self.path}/_commits/b={batch_id}")
-
-
 class DeadLetterRouter:
     """Decode framed messages; good rows and dead letters go to two tables."""
 
