@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.dedup import find_duplicates
 from tidewater.operators.geo import tag_points
+from tidewater.plans import kpi_state as ks
 from tidewater.plans import telemetry as tm
 from tidewater.registry import query
 from tidewater.session import read_if_there, scratch_path
 from tidewater.sources import wire
 from tidewater.streaming import jobs
+from tidewater.streaming.archive import Archive, gaps, merge_ranges
+from tidewater.streaming.versioned import VersionedTable
 
 TELEMETRY_SQL = """
 t AS (
@@ -291,15 +294,95 @@ def q_archive_replay(spark, t):
     return _rounded(tm.minute_kpis(tm.telemetry_from_events(arch)))
 
 
+def _telemetry_rows(rows):
+    """Archived events as telemetry."""
+    return tm.telemetry_from_events(rows)
+
+
+def _state_table(spark, t, label, frame=None):
+    """A versioned table of KPI states, filled by a stream (append mode)."""
+    stream = _telemetry_stream(spark, t, label, frame)
+    sink = jobs.KeyedUpsertSink(scratch_path(spark, f"{label}-table"), tm.KPI_KEYS, F.to_date("window_start"))
+    jobs.run_available_now(
+        jobs.state_stream(stream).writeStream.outputMode("append")
+        .option("checkpointLocation", scratch_path(spark, f"{label}-ckpt")).foreachBatch(sink))
+    return sink.table
+
+
+def _record_archive(spark, t, label):
+    """Bus records streamed through the decoder into the archive, with the
+    coordinates they came with."""
+    ev = t.events
+    records = wire.as_bus_records(ev, "user_id", "event_id", ts_col="ts", partition=F.col("user_id") % 8)
+    path, schema = _staged_events(spark, t, label, records)
+    archive = Archive(spark, scratch_path(spark, f"{label}-archive"), _telemetry_rows, "ts")
+    good, _ = wire.split_dead_letters(wire.decode_bus_records(jobs.file_stream(spark, path, schema, max_files_per_trigger=2), ev.schema),
+                                      ["event_id"])
+    jobs.run_available_now(
+        good.writeStream.option("checkpointLocation", scratch_path(spark, f"{label}-ckpt")).foreachBatch(archive))
+    return archive
+
+
+@query(
+    "archive_records",
+    """
+SELECT CAST(user_id AS VARCHAR) AS msg_key, 'events' AS topic, CAST(user_id % 8 AS INTEGER) AS "partition", event_id AS "offset",
+       ts AS kafka_ts, event_id, ts, user_id, event_type, value, props, CAST(ts AS DATE) AS event_date,
+       CAST(hour(ts) AS INTEGER) AS event_hour FROM events""",
+)
+def q_archive_records(spark, t):
+    """Decoded bus records archived with topic, partition, offset and
+    broker time."""
+    return _record_archive(spark, t, "arec").rows().withColumn("kafka_ts", F.col("kafka_ts").cast("timestamp_ntz"))
+
+
+@query(
+    "archive_gaps",
+    """
+WITH o AS (SELECT user_id % 8 AS p, event_id AS o, lag(event_id) OVER (PARTITION BY user_id % 8 ORDER BY event_id) AS before FROM events)
+SELECT 'events' AS topic, CAST(p AS INTEGER) AS "partition", before + 1 AS gap_start, o - 1 AS gap_end, o - before - 1 AS missing
+FROM o WHERE o > before + 1""",
+)
+def q_archive_gaps(spark, t):
+    """Offsets between the first and last of each topic partition that the
+    archive never received, from the batches' runs of offsets."""
+    return gaps(merge_ranges(_record_archive(spark, t, "agap").ranges()))
+
+
 @query("kpi_reconciled", KPI_SQL)
 def q_kpi_reconciled(spark, t):
-    """T5: streamed KPIs + windows recomputed from the archive where they differ."""
-    stream = _telemetry_stream(spark, t, "rec")
-    out, ckpt = scratch_path(spark, "rec-out"), scratch_path(spark, "rec-ckpt")
-    jobs.run_available_now(jobs.write_parquet(jobs.kpi_stream(stream), out, ckpt))
-    emitted = spark.read.parquet(out)
-    arch = _archive(spark, t).drop("event_date", "event_hour")
-    return _rounded(tm.reconcile_kpis(emitted, tm.telemetry_from_events(arch)))
+    """Windows whose archived events differ from the streamed states are
+    recomputed from their archive partitions and upserted by date."""
+    table = _state_table(spark, t, "rec")
+    archive = _record_archive(spark, t, "recarch")
+    ks.reconcile(table, archive, _telemetry_rows, run_id=1)
+    return _rounded(ks.kpis(table.read(spark)))
+
+
+@query(
+    "kpi_hourly",
+    f"""WITH {TELEMETRY_SQL}
+SELECT time_bucket(INTERVAL 1 HOUR, event_ts) AS window_start, coalesce(geofence_id, '__none__') AS geofence_id,
+       round(avg(speed_kph), 6) AS avg_speed_kph, max(speed_kph) AS max_speed_kph,
+       CAST(sum(CAST(harsh_braking AS INTEGER)) AS BIGINT) AS harsh_braking_events, count(*) AS total_events,
+       count(DISTINCT vehicle_id) AS exact_vehicles, TRUE AS within_bound
+FROM t GROUP BY 1, 2""",
+)
+def q_kpi_hourly(spark, t):
+    """A3: hours rolled up from the stored minute states, late half of the month
+    merged in; the sketch's estimate against the exact count of each hour."""
+    ev = t.events
+    late = F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    table = VersionedTable(scratch_path(spark, "hourly"), tm.KPI_KEYS, F.to_date("window_start"))
+    table.commit(ks.minute_states(tm.telemetry_from_events(ev.where(~late | (F.col("event_id") % 3 == 0)))), 0)
+    ks.add_late(table, tm.telemetry_from_events(ev.where(late & (F.col("event_id") % 3 != 0))), 1)
+    hours = ks.kpis(ks.roll_up(table.read(spark), "1 hour"))
+    exact = (_telemetry(t).groupBy(F.window("event_ts", "1 hour").start.alias("window_start"),
+                                   F.coalesce("geofence_id", F.lit(tm.NO_GEOFENCE)).alias("geofence_id"))
+             .agg(F.count_distinct("vehicle_id").alias("exact_vehicles")))
+    both = _rounded(hours).join(exact, tm.KPI_KEYS)
+    return both.select(*tm.KPI_KEYS, "avg_speed_kph", "max_speed_kph", "harsh_braking_events", "total_events", "exact_vehicles",
+                       ks.within_bound(F.col("active_vehicles"), F.col("exact_vehicles")).alias("within_bound"))
 
 
 @query(

@@ -18,6 +18,7 @@ from tidewater.functions.time import epoch_millis_to_ts
 from tidewater.sources.wire import JSON_TIME_OPTIONS
 
 from tidewater.operators.upsert import upsert
+from tidewater.session import stage
 
 SPEED_LIMIT_KPH = 50.0
 NO_GEOFENCE = "__none__"
@@ -26,7 +27,7 @@ GEOFENCE_SPEED = "GEOFENCE_SPEED"
 KPI_KEYS = ["window_start", "geofence_id"]
 
 
-# Vehicle telemetry payload (the wire schema of the event stream).
+# Vehicle telemetry payload (the wire schema of the event stream).
 VEHICLE_SCHEMA = T.StructType([
     T.StructField("event_id", T.StringType(), False),
     T.StructField("vehicle_id", T.StringType(), False),
@@ -184,8 +185,10 @@ def affected_windows(archive_kpis: DataFrame, emitted: DataFrame) -> DataFrame:
 
 
 def reconcile_kpis(emitted: DataFrame, archive_telemetry: DataFrame) -> DataFrame:
-    """Recompute the affected windows from the archive and upsert them."""
-    archive_kpis = minute_kpis(archive_telemetry)
+    """Recompute the affected windows from the archive and upsert them. This
+    reads all of the archive once; ``plans/kpi_state.py`` reconciles a stored
+    table from the archive partitions that differ."""
+    archive_kpis = stage(minute_kpis(archive_telemetry), "reconcile-kpis")
     fixes = archive_kpis.join(affected_windows(archive_kpis, emitted), KPI_KEYS, "left_semi")
     return upsert(emitted, fixes, KPI_KEYS, null_safe=True, check_unique=False)
 

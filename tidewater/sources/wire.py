@@ -77,14 +77,16 @@ def decode_bus_records(df: DataFrame, schema: T.StructType, avro_schema_json: st
 
 
 def as_bus_records(df: DataFrame, key_col: str, offset_col: str, topic: str = "events",
-                   partitions: int = 8, ts_col: str | None = None) -> DataFrame:
+                   partitions: int = 8, ts_col: str | None = None, partition: Column | None = None) -> DataFrame:
     """Frame rows the way the bus delivers them (for replay and tests):
-    key bytes, framed JSON value, topic, partition (by key hash), offset."""
+    key bytes, framed JSON value, topic, partition (by key hash unless an
+    expression is given), offset."""
+    dealt = F.pmod(F.xxhash64(F.col(key_col)), F.lit(partitions)) if partition is None else partition
     return df.select(
         F.col(key_col).cast("string").cast("binary").alias("key"),
         frame(F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_TIME_OPTIONS)).alias("value"),
         F.lit(topic).alias("topic"),
-        F.pmod(F.xxhash64(F.col(key_col)), F.lit(partitions)).cast("int").alias("partition"),
+        dealt.cast("int").alias("partition"),
         F.col(offset_col).cast("long").alias("offset"),
         (F.col(ts_col).cast("timestamp") if ts_col else F.current_timestamp()).alias("timestamp"),
     )

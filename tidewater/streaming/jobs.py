@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
 from tidewater.operators.latest import dedupe_ordered
+from tidewater.plans import kpi_state as ks
 from tidewater.plans import telemetry as tm
 from tidewater.session import read_if_there
 from tidewater.sources import wire
@@ -129,6 +130,11 @@ def kpi_stream(telemetry_stream: DataFrame, delay: str = WATERMARK) -> DataFrame
     return _ntz(kpis, ["window_start", "window_end"])
 
 
+def state_stream(telemetry_stream: DataFrame, delay: str = WATERMARK) -> DataFrame:
+    """The same as mergeable states (see ``plans/kpi_state.py``)."""
+    return _ntz(ks.minute_states(with_event_time(telemetry_stream, delay)), ["window_start", "window_end"])
+
+
 def alert_stream(telemetry_stream: DataFrame) -> DataFrame:
     """Hot path: keyed alert messages (stateless; no watermark needed)."""
     return tm.alert_messages(tm.detect_alerts(telemetry_stream))

@@ -11,8 +11,9 @@ reading its own directories until they are retired.
 
 Every ``FULL_EVERY`` versions the log row lists all partitions, so that a
 version is read from few rows and older ones can go. One writer at a time: a
-stream's ``foreachBatch``. A batch id that is in the log is not applied again;
-a crash before the log row leaves directories that no version names, and the
+stream's ``foreachBatch``, or a nightly run while no batch is under way; one that
+finds a newer version than it read raises. A batch id that its writer has in the
+log is not applied again; a crash before the log row leaves directories that no version names, and the
 repeated batch overwrites them.
 """
 
@@ -29,10 +30,14 @@ from tidewater.operators.upsert import upsert
 from tidewater.session import read_if_there
 
 FULL_EVERY = 10
-LOG_SCHEMA = "version long, batch_id long, full boolean, schema string, parts array<struct<part:string,dir:string>>"
+LOG_SCHEMA = "version long, writer string, batch_id long, full boolean, schema string, parts array<struct<part:string,dir:string>>"
 NO_PART = "none"
 
 
+class ConcurrentCommitError(RuntimeError):
+    """Another writer has committed since this one read the table."""
+
+
 @dataclass(frozen=True)
 class Version:
     """A snapshot: the directory of every partition."""
@@ -60,7 +65,7 @@ class VersionedTable:
         """Log rows, oldest first: at most ``keep + FULL_EVERY`` after a
         retirement, and no more entries than partitions and recent changes."""
         log = read_if_there(spark, f"{self.path}/_log")
-        return [] if log is None else sorted(log.select("version", "batch_id", "full", "schema", "parts").collect())
+        return [] if log is None else sorted(log.select("version", "writer", "batch_id", "full", "schema", "parts").collect())
 
     @staticmethod
     def _snapshots(log: list) -> dict[int, Version]:
@@ -102,13 +107,13 @@ class VersionedTable:
             raise TypeError(f"a partition is a date or a whole number, not {kind.simpleString()}")
         return df.withColumn("_part", F.coalesce(self.partition.cast("string"), F.lit(NO_PART)))
 
-    def commit(self, batch: DataFrame, batch_id: int) -> int:
+    def commit(self, batch: DataFrame, batch_id: int, writer: str = "stream") -> int:
         """Upsert ``batch`` and return the version it is in. Keys that are twice
         in the batch raise; a batch that is in the log already changes nothing;
         an empty one is logged and writes no data."""
         spark = batch.sparkSession
         log = self._log(spark)
-        done = [row["version"] for row in log if row["batch_id"] == batch_id]
+        done = [row["version"] for row in log if (row["writer"], row["batch_id"]) == (writer, batch_id)]
         if done:
             return done[-1]
         last = self._snapshots(log)
@@ -130,7 +135,9 @@ class VersionedTable:
         changed = {p: f"v={version}/_part={p}" for p in touched}
         full = version % FULL_EVERY == 0
         parts = ((last.parts if last else {}) | changed) if full else changed
-        row = (version, batch_id, full, merged.drop("_part").schema.json(), sorted(parts.items()))
+        row = (version, writer, batch_id, full, merged.drop("_part").schema.json(), sorted(parts.items()))
+        if any(r["version"] >= version for r in self._log(spark)):
+            raise ConcurrentCommitError(f"{self.path}: version {version} was committed meanwhile")
         (spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_log/v={version}"))
         if full:
             self.retire(spark)
