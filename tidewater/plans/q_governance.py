@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.dedup import union_by_name
 from tidewater.plans import governance as gv
+from tidewater.plans.erasure import KeyEdge, KeyGraph, erase_cascade
 from tidewater.registry import Tables, query
 
 ALL_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -290,21 +291,32 @@ SUBJECTS_SQL = "(SELECT c_custkey FROM customer WHERE c_acctbal < 0)"
 ERASED_ORDERS_SQL = f"(SELECT o_orderkey FROM orders WHERE o_custkey IN {SUBJECTS_SQL})"
 
 
+#: What refers to what; a further copy of customer data is a further line.
+WAREHOUSE_KEYS = KeyGraph(
+    keys={"customer": ["c_custkey"], "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"]},
+    edges=[KeyEdge("customer", "c_custkey", "orders", "o_custkey"), KeyEdge("orders", "o_orderkey", "lineitem", "l_orderkey")],
+)
+
+
 def _subjects(t):
     return t.customer.where(F.col("c_acctbal") < 0).select("c_custkey")
 
 
+def _erased(t):
+    tables = {name: getattr(t, name) for name in WAREHOUSE_KEYS.keys}
+    return erase_cascade(tables, WAREHOUSE_KEYS, "customer", _subjects(t), "c_custkey")
+
+
 @query("erasure", f"SELECT * FROM orders WHERE o_custkey NOT IN {SUBJECTS_SQL}")
 def q_erasure(spark, t):
     """Orders of erased subjects removed."""
-    return gv.erase(t.orders, "o_custkey", _subjects(t), "c_custkey")
+    return _erased(t)[0]["orders"]
 
 
 @query("erasure_lines", f"SELECT * FROM lineitem WHERE l_orderkey NOT IN {ERASED_ORDERS_SQL}")
 def q_erasure_lines(spark, t):
     """Downstream copy — lines of erased orders removed."""
-    erased = t.orders.join(_subjects(t), F.col("o_custkey") == F.col("c_custkey"), "left_semi")
-    return gv.erase(t.lineitem, "l_orderkey", erased, "o_orderkey")
+    return _erased(t)[0]["lineitem"]
 
 
 @query(
@@ -315,16 +327,8 @@ UNION ALL SELECT 'orders', count(*) FROM orders WHERE o_custkey IN {SUBJECTS_SQL
 UNION ALL SELECT 'lineitem', count(*) FROM lineitem WHERE l_orderkey IN {ERASED_ORDERS_SQL}""",
 )
 def q_erasure_log(spark, t):
-    """Erased row counts per table (a distributed count each)."""
-    subj = _subjects(t)
-    orders = t.orders.join(subj, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
-    lines = t.lineitem.join(orders.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
-
-    def counted(df, name):
-        return df.agg(F.count(F.lit(1)).alias("erased_rows")).select(F.lit(name).alias("table_name"), "erased_rows")
-
-    custs = t.customer.join(subj.withColumnRenamed("c_custkey", "_k"), F.col("c_custkey") == F.col("_k"), "left_semi")
-    return union_by_name([counted(custs, "customer"), counted(orders, "orders"), counted(lines, "lineitem")])
+    """Erased rows of every table that the key graph reaches."""
+    return _erased(t)[1]
 
 
 @query(

@@ -316,7 +316,7 @@ def _record_archive(spark, t, label):
     records = wire.as_bus_records(ev, "user_id", "event_id", ts_col="ts", partition=F.col("user_id") % 8)
     path, schema = _staged_events(spark, t, label, records)
     archive = Archive(spark, scratch_path(spark, f"{label}-archive"), _telemetry_rows, "ts")
-    good, _ = wire.split_dead_letters(wire.decode_bus_records(jobs.file_stream(spark, path, schema, max_files_per_trigger=2), ev.schema),
+    good, _ = wire.split_dead_letters(wire.decode_bus_records(jobs.file_stream(spark, path, schema), ev.schema),
                                       ["event_id"])
     jobs.run_available_now(
         good.writeStream.option("checkpointLocation", scratch_path(spark, f"{label}-ckpt")).foreachBatch(archive))
