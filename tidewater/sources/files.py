@@ -6,21 +6,19 @@ goes through the Parquet file sink (its ``_spark_metadata`` log makes the
 output exactly-once), and a restart resumes where it stopped. Audit columns
 record when and from which file each row came.
 
-Schema: explicit, else inferred once and persisted at ``schema_location``
-(reused by later runs), else an error. When newly landed files carry new
-columns the persisted schema is widened (old rows read back as NULL through
-``mergeSchema``).
+Schema: explicit, else inferred from the files that no run has seen and kept in
+a ledger at ``schema_location`` (``sources/ledger.py``), else an error. When newly
+landed files carry new columns or wider types the stored schema follows; older
+rows read back as NULL, by the stored schema, without looking at footers.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.session import read_if_there
+from tidewater.sources.ledger import SchemaLedger
 
 AUDIT_COLUMNS = ["_ingest_ts", "_source_file"]
 
@@ -30,17 +28,7 @@ AUDIT_COLUMNS = ["_ingest_ts", "_source_file"]
 # --------------------------------------------------------------------------
 
 
-def read_persisted_schema(spark: SparkSession, location: str) -> T.StructType | None:
-    stored = read_if_there(spark, location, "text")
-    row = None if stored is None else stored.first()
-    return T.StructType.fromJson(json.loads(row[0])) if row else None
-
-
-def persist_schema(spark: SparkSession, schema: T.StructType, location: str) -> None:
-    spark.createDataFrame([(schema.json(),)], "s string").coalesce(1).write.mode("overwrite").text(location)
-
-
-def infer_schema(spark: SparkSession, path: str, fmt: str, sampling_ratio: float = 1.0,
+def infer_schema(spark: SparkSession, path: str | list[str], fmt: str, sampling_ratio: float = 1.0,
                  options: dict | None = None) -> T.StructType:
     reader = spark.read.format(fmt).options(**(options or {}))
     if fmt == "json":
@@ -63,12 +51,8 @@ def resolve_schema(spark: SparkSession, source_path: str, fmt: str, schema: T.St
         return schema
     if schema_location is None:
         raise ValueError("either an explicit schema or a schema_location is required")
-    persisted = read_persisted_schema(spark, schema_location)
-    inferred = infer_schema(spark, source_path, fmt, sampling_ratio, options)
-    resolved = inferred if persisted is None else widen(persisted, inferred)
-    if persisted is None or resolved != persisted:
-        persist_schema(spark, resolved, schema_location)
-    return resolved
+    ledger = SchemaLedger(spark, schema_location)
+    return ledger.update(source_path, lambda paths: infer_schema(spark, paths, fmt, sampling_ratio, options))
 
 
 # --------------------------------------------------------------------------
@@ -124,9 +108,17 @@ def ingest_to_bronze(
     return writer.trigger(processingTime=trigger_interval).start()
 
 
-def read_bronze(spark: SparkSession, target_path: str) -> DataFrame:
-    """Bronze with every column ever ingested (older files give NULL)."""
-    return spark.read.option("mergeSchema", "true").parquet(target_path)
+def read_bronze(spark: SparkSession, target_path: str, schema: T.StructType | None = None,
+                schema_location: str | None = None) -> DataFrame:
+    """Bronze with every column ever ingested (older files give NULL), by the
+    given schema or the one in the ledger: no footer is read to plan it. Without
+    either the footers are merged."""
+    if schema is None and schema_location is not None:
+        schema = SchemaLedger(spark, schema_location).schema()
+    if schema is None:
+        return spark.read.option("mergeSchema", "true").parquet(target_path)
+    audit = [T.StructField("_ingest_ts", T.TimestampType()), T.StructField("_source_file", T.StringType())]
+    return spark.read.schema(T.StructType(schema.fields + audit)).parquet(target_path)
 
 
 # --------------------------------------------------------------------------
