@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tidewater.operators.upsert import DuplicateKeyError
 from tidewater.session import scratch_path
 from tidewater.streaming import versioned
-from tidewater.streaming.versioned import KeyedUpsertSink, VersionedTable
+from tidewater.streaming.jobs import KeyedUpsertSink
+from tidewater.streaming.versioned import VersionedTable
 
 SCHEMA = "day date, k int, v string"
 

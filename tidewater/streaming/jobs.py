@@ -12,7 +12,7 @@ back to TIMESTAMP_NTZ.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
@@ -22,7 +22,8 @@ from tidewater.plans import kpi_state as ks
 from tidewater.plans import telemetry as tm
 from tidewater.session import read_if_there
 from tidewater.sources import wire
-from tidewater.streaming.versioned import KeyedUpsertSink  # noqa: F401
+from tidewater.streaming.seen import SeenKeys
+from tidewater.streaming.versioned import VersionedTable, delete
 
 WATERMARK = "30 seconds"
 
@@ -168,6 +169,20 @@ def dedupe_events(stream: DataFrame, keys: list[str], delay: str = WATERMARK) ->
 # --------------------------------------------------------------------------
 
 
+class KeyedUpsertSink:
+    """``foreachBatch`` sink into a ``VersionedTable`` (S11, T9): a batch rewrites
+    the partitions that it touches, a repeated one changes nothing."""
+
+    def __init__(self, path: str, keys: list[str], partition: Column | None = None, keep: int = 16):
+        self.table = VersionedTable(path, keys, partition, keep, lambda spark, where: read_if_there(spark, where))
+
+    def current(self, spark: SparkSession) -> DataFrame | None:
+        return self.table.read(spark)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.table.commit(batch, batch_id)
+
+
 class DeadLetterRouter:
     """Decode framed messages; good rows and dead letters go to two tables."""
 
@@ -205,17 +220,19 @@ class LateRowTagger:
         prior = read_if_there(spark, self.progress_path)
         wm = None if prior is None else prior.where(F.col("batch_id") < batch_id).agg(F.max("max_ts").alias("m")).first()["m"]
         batch = batch.persist()
-        if wm is not None:
-            edge = F.lit(wm).cast("timestamp_ntz") - F.expr(f"INTERVAL {self.delay} SECONDS")
-            late = batch.where(F.col(self.ts_col).cast("timestamp_ntz") < edge)
-            late.write.mode("overwrite").parquet(f"{self.late_path}/batch={batch_id}")
-        (
-            batch.agg(F.max(F.col(self.ts_col).cast("timestamp_ntz")).alias("max_ts"))
-            .withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite")
-            .parquet(f"{self.progress_path}/b={batch_id}")
-        )
-        batch.unpersist()
+        try:
+            if wm is not None:
+                edge = F.lit(wm).cast("timestamp_ntz") - F.expr(f"INTERVAL {self.delay} SECONDS")
+                late = batch.where(F.col(self.ts_col).cast("timestamp_ntz") < edge)
+                late.write.mode("overwrite").parquet(f"{self.late_path}/batch={batch_id}")
+            top = batch.agg(F.max(F.col(self.ts_col).cast("timestamp_ntz")).alias("max_ts"))
+            if prior is not None:  # the furthest so far, so that one row tells it and older ones can go
+                top = top.unionByName(prior.where(F.col("batch_id") < batch_id).select("max_ts")).agg(F.max("max_ts").alias("max_ts"))
+            top = spark.createDataFrame(top.collect(), "max_ts timestamp_ntz")
+            top.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{self.progress_path}/b={batch_id}")
+            delete(spark, f"{self.progress_path}/b={batch_id - 2}")  # the one before is for a repeated batch
+        finally:
+            batch.unpersist()
 
 
 class BatchDedupeSink:
@@ -224,36 +241,32 @@ class BatchDedupeSink:
     ``dropDuplicatesWithinWatermark`` routes every copy of a key to one state
     partition; when one group of copies holds a large share of the stream,
     that task does all the work. Here each micro-batch is first de-duplicated
-    by an aggregate (copies collapse map-side before any shuffle), then
-    anti-joined with the keys already seen (a table in the shared folder,
-    partitioned by event date; only dates within ``horizon_days`` of the
-    batch are compared — the watermark), and the new rows and keys are
-    written as this batch's slices. A replayed batch id sees exactly the
-    same earlier slices and overwrites its own, so replays are no-ops.
+    by an aggregate (copies collapse map-side before any shuffle), then its keys
+    are looked up in a ``SeenKeys`` store: bitmaps first, key files only for keys
+    whose bit is set, and only dates within ``horizon_days`` of the batch. The new
+    rows are written as this batch's slice and their keys are remembered. A
+    replayed batch id starts from the same store and overwrites its own slices.
     """
 
     def __init__(self, out_path: str, seen_path: str, keys: list[str], ts_col: str,
                  horizon_days: int = 1):
-        self.out_path, self.seen_path = out_path.rstrip("/"), seen_path.rstrip("/")
-        self.keys, self.ts_col, self.horizon = keys, ts_col, horizon_days
+        self.out_path, self.keys, self.ts_col = out_path.rstrip("/"), keys, ts_col
+        self.seen = SeenKeys(seen_path, keys, horizon_days)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = dedupe_ordered(batch, self.keys).withColumn("_event_date", F.to_date(F.col(self.ts_col))).persist()
+        date = F.to_date(F.col(self.ts_col))
+        fresh = self.seen.hashed(dedupe_ordered(batch, self.keys), date).persist()
         try:
-            lo = fresh.agg(F.min("_event_date").alias("d")).first()["d"]
-            new = fresh
-            seen = read_if_there(spark, self.seen_path)
-            if seen is not None and lo is not None:
-                near = seen.where((F.col("_event_date") >= F.date_sub(F.lit(lo), self.horizon)) & (F.col("batch") < batch_id))
-                new = fresh.join(near.select(*self.keys), self.keys, "left_anti")
+            states = self.seen.states(spark)
+            prior = max((b for b in states if b < batch_id), default=None)
+            state = states[prior] if prior is not None else {}
+            earliest = fresh.agg(F.min(date).alias("d")).first()["d"]
+            new = self.seen.unseen(fresh, state, self.seen.near(state, earliest)).drop("_date", "_h", "_b")
             out = f"{self.out_path}/batch={batch_id}"
-            new.drop("_event_date").write.mode("overwrite").parquet(out)
-            # what was written is what is remembered, so the anti join runs once;
-            # by date first, so that only dates near the batch are listed
-            keys = spark.read.schema(new.schema).parquet(out).select(
-                *self.keys, F.to_date(F.col(self.ts_col)).alias("_event_date"), F.lit(batch_id).cast("long").alias("batch"))
-            (keys.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("_event_date", "batch").parquet(self.seen_path))
+            new.write.mode("overwrite").parquet(out)
+            # what was written is what is remembered, so the lookup runs once
+            written = spark.read.schema(new.schema).parquet(out)
+            self.seen.add(self.seen.hashed(written, date), batch_id, states, prior)
         finally:
             fresh.unpersist()

@@ -52,19 +52,20 @@ class VersionedTable:
     """Rows with unique ``keys``. ``partition`` (an expression over key columns
     of type date or int; without it the table is one partition) decides which
     partition a key lives in, so an upsert needs only the batch's partitions.
-    The last ``keep`` versions stay readable."""
+    The last ``keep`` versions stay readable. ``read`` opens the log: the frame
+    at a path, or None if there is none."""
 
-    def __init__(self, path: str, keys: list[str], partition: Column | None = None, keep: int = 16):
+    def __init__(self, path: str, keys: list[str], partition: Column | None = None, keep: int = 16, read=read_if_there):
         if keep < 1:
             raise ValueError("at least the last version is kept")
-        self.path, self.keys, self.keep = path.rstrip("/"), keys, keep
+        self.path, self.keys, self.keep, self._read_log = path.rstrip("/"), keys, keep, read
         self.partition = F.lit(None).cast("int") if partition is None else partition
 
     # -- reading --------------------------------------------------------------
     def _log(self, spark: SparkSession) -> list:
         """Log rows, oldest first: at most ``keep + FULL_EVERY`` after a
         retirement, and no more entries than partitions and recent changes."""
-        log = read_if_there(spark, f"{self.path}/_log")
+        log = self._read_log(spark, f"{self.path}/_log")
         return [] if log is None else sorted(log.select("version", "writer", "batch_id", "full", "schema", "parts").collect())
 
     @staticmethod
@@ -168,16 +169,3 @@ def delete(spark: SparkSession, path: str) -> None:
     """Delete a directory in whatever store it is in; none is no error."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-class KeyedUpsertSink:
-    """``foreachBatch`` sink into a ``VersionedTable``."""
-
-    def __init__(self, path: str, keys: list[str], partition: Column | None = None, keep: int = 16):
-        self.table = VersionedTable(path, keys, partition, keep)
-
-    def current(self, spark: SparkSession) -> DataFrame | None:
-        return self.table.read(spark)
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.table.commit(batch, batch_id)
