@@ -439,10 +439,15 @@ def register_mask_functions(spark: SparkSession) -> None:
 # --------------------------------------------------------------------------
 
 
-def retain(df: DataFrame, ts_col: str, retention_days: int, as_of) -> DataFrame:
-    """Keep rows newer than ``as_of - retention_days``."""
+def retain(df: DataFrame, ts_col: str, retention_days: int, as_of, nulls: str = "keep") -> DataFrame:
+    """Keep rows newer than ``as_of - retention_days``. A row without a time
+    cannot be judged: it stays, or goes with ``nulls="drop"``. A stored table is
+    trimmed by ``plans/retention.py``."""
+    if nulls not in ("keep", "drop"):
+        raise ValueError(f"nulls are kept or dropped, not {nulls!r}")
     edge = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(retention_days)} DAYS")
-    return df.where(F.col(ts_col) >= edge)
+    new = F.col(ts_col) >= edge
+    return df.where(new | F.col(ts_col).isNull() if nulls == "keep" else new)
 
 
 def erase(df: DataFrame, key: str, subjects: DataFrame, subject_key: str) -> DataFrame:

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from tidewater.operators.dedup import union_by_name
 from tidewater.plans import governance as gv
 from tidewater.plans.erasure import KeyEdge, KeyGraph, erase_cascade
+from tidewater.plans.retention import retain_table
 from tidewater.registry import Tables, query
+from tidewater.session import scratch_path
+from tidewater.sources.files import write_table
 
 ALL_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
               "pages benchmark labels conversations").split()
@@ -287,6 +290,25 @@ def q_retention(spark, t):
     return gv.retain(o, "o_orderdate", CUSTOMER_POLICY.retention_days, as_of)
 
 
+@query(
+    "retention_partitions",
+    """
+WITH o AS (SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderdate END AS o_orderdate FROM orders)
+SELECT * FROM o WHERE o_orderdate IS NULL OR o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL 1095 DAY""",
+)
+def q_retention_partitions(spark, t):
+    """The orders stored by month, some without a date, trimmed in place: old
+    months deleted unread, the month that the edge cuts rewritten, rows without a
+    date kept."""
+    o = t.orders.withColumn("o_orderdate", F.when(F.col("o_orderkey") % 13 != 0, F.col("o_orderdate")))
+    o = o.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", F.trunc("o_orderdate", "month").alias("order_month"))
+    path = scratch_path(spark, "orders-by-month")
+    write_table(o, path, partition_by=["order_month"])
+    as_of = t.orders.agg(F.max("o_orderdate").alias("m")).first()["m"]
+    retain_table(spark, path, "order_month", "o_orderdate", CUSTOMER_POLICY.retention_days, as_of, period="month")
+    return spark.read.parquet(path).drop("order_month")
+
+
 SUBJECTS_SQL = "(SELECT c_custkey FROM customer WHERE c_acctbal < 0)"
 ERASED_ORDERS_SQL = f"(SELECT o_orderkey FROM orders WHERE o_custkey IN {SUBJECTS_SQL})"
 

@@ -126,3 +126,20 @@ def read_if_there(spark: SparkSession, path: str, fmt: str = "parquet"):
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
+
+
+def _store(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a directory in whatever store it is in; none is no error."""
+    where, store = _store(spark, path)
+    store.delete(where, True)
+
+
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the directories right under ``path``."""
+    where, store = _store(spark, path)
+    return sorted(s.getPath().getName() for s in store.listStatus(where) if s.isDirectory())

@@ -20,10 +20,10 @@ from pyspark.sql.streaming import StreamingQueryListener
 from tidewater.operators.latest import dedupe_ordered
 from tidewater.plans import kpi_state as ks
 from tidewater.plans import telemetry as tm
-from tidewater.session import read_if_there
+from tidewater.session import delete, read_if_there
 from tidewater.sources import wire
 from tidewater.streaming.seen import SeenKeys
-from tidewater.streaming.versioned import VersionedTable, delete
+from tidewater.streaming.versioned import VersionedTable
 
 WATERMARK = "30 seconds"
 

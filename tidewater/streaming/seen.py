@@ -26,8 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.session import read_if_there
-from tidewater.streaming.versioned import delete
+from tidewater.session import delete, read_if_there
 
 FANOUT = 8
 NO_DATE = "none"

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.operators.upsert import upsert
-from tidewater.session import read_if_there
+from tidewater.session import delete, read_if_there
 
 FULL_EVERY = 10
 LOG_SCHEMA = "version long, writer string, batch_id long, full boolean, schema string, parts array<struct<part:string,dir:string>>"
@@ -163,9 +163,3 @@ class VersionedTable:
             if row["version"] < base:
                 delete(spark, f"{self.path}/_log/v={row['version']}")
         return gone
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    """Delete a directory in whatever store it is in; none is no error."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
