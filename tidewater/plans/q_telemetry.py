@@ -13,6 +13,7 @@ from tidewater.session import read_if_there, scratch_path
 from tidewater.sources import wire
 from tidewater.streaming import jobs
 from tidewater.streaming.archive import Archive, gaps, merge_ranges
+from tidewater.streaming.runner import ALERT_INTERVAL, ARCHIVE_INTERVAL, KPI_INTERVAL, Job, JobRunner, Sink
 from tidewater.streaming.versioned import VersionedTable
 
 TELEMETRY_SQL = """
@@ -197,6 +198,31 @@ def q_geofence_tag(spark, t):
     return tag_points(pts, zones, "lat", "lon")
 
 
+@query(
+    "geofence_tag_sizes",
+    """
+WITH p AS (SELECT c_custkey, c_acctbal AS lat, CAST(c_custkey AS DOUBLE) / 10.0 AS lon FROM customer),
+zones AS (
+  SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS zone_id, s_acctbal AS min_lat, s_acctbal + 0.25 * (1 + s_nationkey) AS max_lat,
+         CAST(s_suppkey AS DOUBLE) AS min_lon, CAST(s_suppkey AS DOUBLE) + 20.0 AS max_lon FROM supplier
+  UNION ALL SELECT 'R' || CAST(r_regionkey AS VARCHAR), -1000.0 * r_regionkey, 250000.0 * r_regionkey, 0.0, 1000000.0 FROM region)
+SELECT p.c_custkey, p.lat, p.lon, z.zone_id
+FROM p LEFT JOIN zones z ON p.lat BETWEEN z.min_lat AND z.max_lat AND p.lon BETWEEN z.min_lon AND z.max_lon""",
+)
+def q_geofence_tag_sizes(spark, t):
+    """Zones from a quarter of a unit to a million units wide, each at most
+    nine cells of the grids that suit it."""
+    pts = t.customer.select("c_custkey", F.col("c_acctbal").alias("lat"), (F.col("c_custkey").cast("double") / 10.0).alias("lon"))
+    side = F.lit(0.25) * (F.lit(1) + F.col("s_nationkey"))
+    key = F.col("s_suppkey").cast("double")
+    small = t.supplier.select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("zone_id"), F.col("s_acctbal").alias("min_lat"),
+                              (F.col("s_acctbal") + side).alias("max_lat"), key.alias("min_lon"), (key + 20.0).alias("max_lon"))
+    r = F.col("r_regionkey")
+    large = t.region.select(F.concat(F.lit("R"), r.cast("string")).alias("zone_id"), (r * F.lit(-1000.0)).alias("min_lat"),
+                            (r * F.lit(250000.0)).alias("max_lat"), F.lit(0.0).alias("min_lon"), F.lit(1000000.0).alias("max_lon"))
+    return tag_points(pts, small.unionByName(large), "lat", "lon", cell_size=0.25)
+
+
 # --------------------------------------------------------------------------
 # Streaming (file source, availableNow)
 # --------------------------------------------------------------------------
@@ -385,6 +411,41 @@ def q_kpi_hourly(spark, t):
                        ks.within_bound(F.col("active_vehicles"), F.col("exact_vehicles")).alias("within_bound"))
 
 
+def _paths_of(spark, label, src, schema, intervals=(ALERT_INTERVAL, KPI_INTERVAL, ARCHIVE_INTERVAL)):
+    """The three paths over one landing zone: alerts, KPI states, archive."""
+    records = jobs.file_stream(spark, src, schema)
+    telemetry = tm.telemetry_from_events(records)
+    at = {name: scratch_path(spark, f"{label}-{name}") for name in ("alerts", "states", "archive", "root")}
+    states = jobs.KeyedUpsertSink(at["states"], tm.KPI_KEYS, F.to_date("window_start"))
+    archive = Archive(spark, at["archive"], _telemetry_rows, "ts")
+
+    def runner():
+        return (JobRunner(spark, at["root"])
+                .add(Job("alerts", jobs.alert_stream(telemetry), Sink("parquet", at["alerts"]), intervals[0]))
+                .add(Job("kpis", jobs.state_stream(telemetry), Sink("batches", batches=states), intervals[1]))
+                .add(Job("archive", records, Sink("batches", batches=archive), intervals[2])))
+
+    return runner, at
+
+
+@query(
+    "alert_stream_restarted",
+    f"""{ALERTS_SQL}
+SELECT CAST(vehicle_id AS VARCHAR) || '|' || alert_type || '|' || CAST(event_id AS VARCHAR) AS key FROM alerts""",
+)
+def q_alert_stream_restarted(spark, t):
+    """Alerts, KPIs and archive run together on processing-time triggers
+    (short ones: draining waits for a trigger without data), are stopped after the first half of the month and started again for the rest."""
+    ev, src = t.events, scratch_path(spark, "jobs-src")
+    runner, at = _paths_of(spark, "jobs", f"{src}/*", ev.schema, ("1 second",) * 3)
+    early = F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    for part, rows in (("a", ev.where(early)), ("b", ev.where(~early | F.col("ts").isNull()))):
+        rows.write.parquet(f"{src}/{part}")
+        with runner() as running:
+            running.drain()
+    return spark.read.parquet(at["alerts"]).select("key")
+
+
 @query(
     "dlq_stream",
     """
