@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidewater.operators.dedup import union_by_name
 from tidewater.plans import governance as gv
 from tidewater.plans.erasure import KeyEdge, KeyGraph, erase_cascade
+from tidewater.plans.exposure import ClassificationRegister, RoleRule, exposed_view
 from tidewater.plans.retention import retain_table
 from tidewater.registry import Tables, query
 from tidewater.session import scratch_path
@@ -227,6 +228,29 @@ def q_masked_view(spark, t):
     return gv.apply_policy(t.customer, CUSTOMER_POLICY, "marketing_analyst", SALT)
 
 
+EXPOSURE_RULES = [RoleRule("marketing_analyst", {"PII": "hash"}),
+                  RoleRule("auditor", {"PII": "none", "PCI": "tokenize"}, "lang = current_user_lang()")]
+
+
+@query(
+    "classified_view",
+    f"""
+WITH {CONTACTS_SQL}
+SELECT doc_id, sha256('{SALT}' || contact_email) AS contact_email, sha256('{SALT}' || contact_phone) AS contact_phone,
+       '<masked>' AS card_number, lang, source, '<masked>' AS next_of_kin FROM contacts""",
+)
+def q_classified_view(spark, t):
+    """Contact fields are shown as their classification allows the
+    analyst: PII hashed, PCI masked, and a column that came after the last run
+    masked until it is classified."""
+    frames = _frames(t)
+    register = ClassificationRegister(spark, scratch_path(spark, "register"))
+    hits = gv.best_per_tag(_name_hits(spark, t), gv.classify_by_values(_value_counts(spark, t)))
+    register.record(frames, hits, run_id=1)
+    later = frames["contacts"].withColumn("next_of_kin", F.col("contact_email"))
+    return exposed_view(later, "contacts", register, EXPOSURE_RULES, "marketing_analyst", SALT)
+
+
 @query("row_policy", "SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'")
 def q_row_policy(spark, t):
     """The campaign role sees raw values, only rows of its own segment."""

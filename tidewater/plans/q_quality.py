@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from tidewater.operators.latest import dedupe_ordered
 from tidewater.plans import quality as qa
 from tidewater.plans import warehouse as wh
 from tidewater.plans.q_warehouse import WITH_FACT, _daily_sql, _fact
+from tidewater.plans import range_digest as rd
 from tidewater.registry import query
+from tidewater.session import stage
 
 
 def _sql_lit(v) -> str:
@@ -148,3 +151,42 @@ def q_table_diff(spark, t):
     """Q11: row differences (with multiplicity) between lineitem and its de-duplicated copy."""
     li = t.lineitem
     return qa.table_diff(li, dedupe_ordered(li, ["l_orderkey", "l_linenumber"]))
+
+
+LEAF_KEYS = 512
+
+ORDERS_TEXT = "concat_ws(chr(31), CAST(o_custkey AS VARCHAR), strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f'), CAST(o_orderkey AS VARCHAR), " \
+              "o_orderpriority, o_orderstatus, CAST(CAST(round(CAST(o_totalprice AS DECIMAL(38,10)), 6) AS DECIMAL(38,6)) AS VARCHAR))"
+
+
+@query(
+    "table_range_digest",
+    f"""
+SELECT CAST(floor(o_orderkey / {LEAF_KEYS}) AS BIGINT) AS node, count(*) AS rows,
+       CAST(sum(CAST(CAST('0x' || substr(md5({ORDERS_TEXT}), 1, 15) AS BIGINT) AS DECIMAL(38,0))) AS DECIMAL(38,0)) AS digest
+FROM orders GROUP BY 1""",
+)
+def q_table_range_digest(spark, t):
+    """Q11: portable digests of the orders by range of keys."""
+    return rd.leaf_digests(t.orders, "o_orderkey", LEAF_KEYS)
+
+
+CHANGED_SQL = """
+c AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 1009 = 5 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+         o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 1013 <> 7)"""
+
+
+@query(
+    "table_range_diff",
+    f"""WITH {CHANGED_SQL}
+SELECT *, 'left_only' AS side FROM (SELECT * FROM orders EXCEPT ALL SELECT * FROM c)
+UNION ALL SELECT *, 'right_only' AS side FROM (SELECT * FROM c EXCEPT ALL SELECT * FROM orders)""",
+)
+def q_table_range_diff(spark, t):
+    """Q11: a copy with changed and missing rows; digests find the ranges, rows
+    are compared only there."""
+    o = t.orders
+    price = F.when(F.col("o_orderkey") % 1009 == 5, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    copy = stage(o.where(F.col("o_orderkey") % 1013 != 7).withColumn("o_totalprice", price), "orders-copy")
+    return rd.range_diff(o, copy, "o_orderkey", LEAF_KEYS)
