@@ -62,12 +62,17 @@ class MergeList:
     def merge(self, data: bytes) -> list[int]:
         """The encoding of ``data``: the lowest rank first, leftmost on ties."""
         out, get = [self.bytes[b] for b in data], self.pairs.get
-        if len(out) < 24:
-            while len(out) > 1:
-                best, at = min(((get(p) or (1 << 60, 0)), k) for k, p in enumerate(zip(out, out[1:])))
-                if best[0] == 1 << 60:
-                    break
-                out[at : at + 2] = [best[1]]
+        if len(out) < 48:
+            none = (1 << 60, 0)
+            ranks = [get(p, none) for p in zip(out, out[1:])]
+            while ranks and (best := min(ranks)) is not none:
+                k = ranks.index(best)
+                out[k : k + 2] = [best[1]]
+                del ranks[k]
+                if k < len(ranks):
+                    ranks[k] = get((out[k], out[k + 1]), none)
+                if k:
+                    ranks[k - 1] = get((out[k - 1], out[k]), none)
             return out
         after = list(range(1, len(out) + 1))
         before = list(range(-1, len(out) - 1))
@@ -199,7 +204,7 @@ class StreamEncoder:
         if not last:
             while pieces and (end == len(text) or end + DECIDES > len(text)):
                 end -= len(pieces.pop())
-        if any(len(p) > LONG for p in pieces):
+        if len(text) > LONG and max(map(len, pieces), default=0) > LONG:
             for p in pieces:
                 out.append(self._long(p) if len(p) > LONG else self.vocab.pieces[p])
         else:
