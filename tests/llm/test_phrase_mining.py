@@ -63,7 +63,8 @@ def test_equal_passages_give_equal_chunks():
 
 
 def test_pieces_follow_the_contract():
-    assert list(pieces("A b,\tC\td .\n\n;É a\x0bX")) == ["a b", "c d", "É a", "x"]
+    assert pieces("A b,\tC\td .\n\n;É a\x0bX") == ["a b", "c d", "É a", "x"]
+    assert pieces(" . , a ,, b\t\t") == ["a", "b"] and pieces("  ") == []
 
 
 @pytest.mark.parametrize("seed", [1, 2])

@@ -10,19 +10,21 @@ frequency. Chunks overlap by three words; an n-gram belongs to the chunk that
 owns its first word, and the shared words are owned by the later chunk alone, so
 each occurrence counts once.
 
-A phrase is frequent only if both phrases that lack one of its end words are, so
-the sizes are counted one after another, each among what a Bloom filter of the
-frequent phrases one word shorter lets pass. The filter has ``FILTER_BITS`` bits
-whatever the corpus; a false pass costs time and is sorted out by the count."""
+Longer phrases are counted by a 64-bit hash first: two words, then three and four
+where both two-word phrases at each end may be frequent. Hashes whose count
+reaches the least go into a Bloom filter of ``FILTER_BITS`` bits, and only the
+phrases it lets pass are counted as strings. Phrases that share a hash or pass by
+mistake cost time; what is reported are the counts of the strings."""
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,12 +40,12 @@ MAX_WORDS = OVERLAP + 1
 ONE_IN, WHOLE, LONGEST = 16, 16, 64
 FILTER_BITS = 1 << 26
 PROBES = 3
-#: Characters of new chunks, and words, that a task holds before it passes them on.
-HELD_CHARS, HELD_WORDS = 16_000_000, 1_000_000
+#: Characters of new chunks, and bytes of distinct ones, that a task holds before it passes them on.
+HELD_CHARS, HELD_BYTES = 16_000_000, 8_000_000
 #: Groups in which the best of a language are sought before they meet.
 RANK_GROUPS = 64
 
-_ENDS = re.compile(r"[.,;:!?\x0A-\x0D]")
+_ENDS = re.compile(r" ?[.,;:!?\x0A-\x0D] ?")
 _BLANKS = re.compile(r"[ \t]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -51,12 +53,12 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 # -- the parse ----------------------------------------------------------------
 
 
-def pieces(text: str) -> Iterator[str]:
+def pieces(text: str) -> list[str]:
     """The pieces that hold a word, A-Z lower-cased, words joined by a blank."""
     low = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
-    for piece in _ENDS.split(_BLANKS.sub(" ", low)):
-        if piece := piece.strip(" "):
-            yield piece
+    if "  " in low or "\t" in low:
+        low = _BLANKS.sub(" ", low)
+    return [p for p in _ENDS.split(low.strip(" ")) if p]
 
 
 def window_hash(words: list[str]) -> int:
@@ -82,26 +84,34 @@ def chunk_table(docs: DataFrame, lang: str, text: str) -> DataFrame:
     them. Copies are counted within a task before anything is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, held = Counter(), 0
+        whole, cut, held = defaultdict(Counter), Counter(), 0
         for batch in batches:
             for where, t in zip(batch.column("lang").to_pylist(), texts_of(batch)):
-                for piece in pieces(t):
-                    for chunk, last in parse(piece):
-                        found[where, chunk, last] += 1
+                found = pieces(t)
+                whole[where].update([p for p in found if p.count(" ") < WHOLE])
+                for piece in found:
+                    if piece.count(" ") >= WHOLE:
+                        cut.update([(where, *c) for c in parse(piece)])
                 held += len(t)
                 if held > HELD_CHARS:
-                    yield from packed(found)
-                    found, held = Counter(), 0
-        yield from packed(found)
-
-    def packed(found: Counter) -> Iterator[pa.RecordBatch]:
-        keys = list(found)
+                    yield from packed(whole, cut)
+                    whole, cut, held = defaultdict(Counter), Counter(), 0
+        yield from packed(whole, cut)
+
+    def packed(whole: dict[str, Counter], cut: Counter) -> Iterator[pa.RecordBatch]:
+        for where, found in whole.items():
+            chunks = list(found)
+            for at in range(0, len(chunks), 20_000):
+                some = chunks[at : at + 20_000]
+                yield row_batch([where] * len(some), some, [True] * len(some), [found[c] for c in some])
+        keys = list(cut)
         for at in range(0, len(keys), 20_000):
             some = keys[at : at + 20_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in some], pa.string()), pa.array([k[1] for k in some], pa.string()),
-                 pa.array([k[2] for k in some], pa.bool_()), pa.array([found[k] for k in some], pa.int64())],
-                ["lang", "chunk", "last", "n"])
+            yield row_batch(*map(list, zip(*some)), [cut[k] for k in some])
+
+    def row_batch(langs: list, chunks: list, last: list, n: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(chunks, pa.string()),
+                                           pa.array(last, pa.bool_()), pa.array(n, pa.int64())], ["lang", "chunk", "last", "n"])
 
     picked = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     parts = map_batches(picked, run, "lang string, chunk string, last boolean, n long")
@@ -132,25 +142,15 @@ def probes(hashes: np.ndarray) -> Iterator[np.ndarray]:
         yield (h >> np.uint64(20)) % np.uint64(FILTER_BITS)
 
 
-def word_hash(lang: str, word: str) -> int:
-    return xxhash.xxh64_intdigest(word, xxhash.xxh32_intdigest(lang))
-
-
-def phrase_filter(frequent: DataFrame) -> PhraseFilter:
-    """The filter of a table of ``lang, phrase``: each task sets bits in an array
-    of the filter's size, the 64-bit words with a bit are united in Spark and at
-    most ``FILTER_BITS / 64`` of them come to the driver."""
+def phrase_filter(hashes: DataFrame) -> PhraseFilter:
+    """The filter of a table of hashes: each task sets bits in an array of the
+    filter's size, the 64-bit words with a bit are united in Spark and at most
+    ``FILTER_BITS / 64`` of them come to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(FILTER_BITS // 8, np.uint8)
         for batch in batches:
-            hashes = np.zeros(batch.num_rows, np.uint64)
-            for k, (lang, phrase) in enumerate(zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist())):
-                h = 0
-                for word in phrase.split(" "):
-                    h = (h * int(_BASE) + word_hash(lang, word)) & 0xFFFFFFFFFFFFFFFF
-                hashes[k] = h
-            for at in probes(hashes):
+            for at in probes(batch.column(0).to_numpy().view(np.uint64)):
                 np.bitwise_or.at(bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
         words = bits.view("<i8")
         at = np.flatnonzero(words)
@@ -158,90 +158,128 @@ def phrase_filter(frequent: DataFrame) -> PhraseFilter:
             some = at[k : k + 50_000]
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(words[some], pa.int64())], ["at", "word"])
 
-    parts = frequent.select("lang", "phrase").mapInArrow(run, "at long, word long")
-    found = parts.groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+    found = hashes.select("h").mapInArrow(run, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
     words = np.zeros(FILTER_BITS // 64, "<i8")
     words[found.column("at").to_numpy()] = found.column("word").to_numpy()
     return PhraseFilter(words.view(np.uint8))
 
 
-def count_phrases(lang: str, rows: list[tuple[str, bool, int]], size: int, shorter: list[PhraseFilter]):
-    """(phrase, weight) of the phrases of ``size`` words in some chunks whose
-    shorter parts all pass the filters (one for each smaller size)."""
-    known: dict[str, int] = {}
-    ids, lengths, owned, weight = [], [], [], []
-    for chunk, last, n in rows:
-        words = chunk.split(" ")
-        ids += [known.setdefault(w, len(known)) for w in words]
-        lengths.append(len(words))
-        owned.append(len(words) if last else len(words) - OVERLAP)
-        weight.append(n)
-    ids, lengths = np.array(ids, np.int64), np.array(lengths)
-    first = np.repeat(np.cumsum(lengths) - lengths, lengths)
-    place = np.arange(len(ids)) - first
-    room = np.repeat(lengths, lengths) - place
-    own = place < np.repeat(np.array(owned), lengths)
-    weight = np.repeat(np.array(weight, np.int64), lengths)
-    names = list(known)
-    hashes = np.fromiter((word_hash(lang, w) for w in names), np.uint64, len(names))
-
-    # gram[i]: number of the phrase of k words at word i, or -1; at[g]: one place of it
-    gram, at, gram_hash = ids, None, hashes
-    for k in range(1, size):
-        if not len(gram_hash):
-            return
-        ok = shorter[k - 1].holds(gram_hash)
-        passed = np.where(gram >= 0, ok[np.maximum(gram, 0)], False)
-        here = np.flatnonzero(passed[:-1] & passed[1:] & (room[:-1] > k))
-        key = gram[here] * (len(names) + 1) + ids[here + k]
-        _, one, number = np.unique(key, return_index=True, return_inverse=True)
-        base = gram_hash[gram[here[one]]]
-        gram_hash = base * _BASE + hashes[ids[here[one] + k]]
-        gram, at = np.full(len(ids), -1), here[one]
-        gram[here] = number
-    mine = np.flatnonzero((gram >= 0) & own)
-    total = np.zeros(len(names) if size == 1 else len(at), np.int64)
-    np.add.at(total, gram[mine], weight[mine])
-    for g in np.flatnonzero(total).tolist():
-        yield (names[g] if size == 1 else " ".join([names[j] for j in ids[at[g] : at[g] + size].tolist()])), int(total[g])
-
-
-def phrase_counts(chunks: DataFrame, size: int, shorter: list[PhraseFilter]) -> DataFrame:
-    """``lang, phrase, f``: weighted counts inside the distinct chunks."""
-    shared = chunks.sparkSession.sparkContext.broadcast([f.bits for f in shorter])
+class Words:
+    """Some distinct chunks as flat arrays: for each word its number, the hash of
+    its language and itself, the words from it to the end of its chunk, whether
+    the chunk owns it, and the chunk's frequency."""
+
+    def __init__(self, table: pa.Table):
+        lists = pc.split_pattern(table.column("chunk").combine_chunks(), " ")
+        coded = lists.flatten().dictionary_encode()
+        self.ids, self.names = coded.indices.to_numpy(), coded.dictionary
+        lengths = pc.list_value_length(lists).to_numpy()
+        langs = table.column("lang").combine_chunks().dictionary_encode()
+        self.langs, self.lang_ids = langs.dictionary, np.repeat(langs.indices.to_numpy().astype(np.int64), lengths)
+        place = np.arange(len(self.ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        self.room = np.repeat(lengths, lengths) - place
+        last = table.column("last").to_numpy()
+        self.own = place < np.repeat(lengths - OVERLAP * ~last, lengths)
+        self.weight = np.repeat(table.column("n").to_numpy(), lengths)
+
+    def hashes(self, most: int) -> dict[int, np.ndarray]:
+        """By size from 1 to ``most``, the hash of the phrase at each word (what
+        runs over the end of a chunk means nothing)."""
+        code = lambda names: np.fromiter(map(xxhash.xxh64_intdigest, names.to_pylist()), np.uint64, len(names))
+        word = code(self.names)[self.ids]
+        out = {1: code(self.langs)[self.lang_ids] * _BASE + word}
+        for size in range(2, most + 1):
+            longer = np.zeros(len(word), np.uint64)
+            longer[: len(word) - size + 1] = out[size - 1][: len(word) - size + 1] * _BASE + word[size - 1 :]
+            out[size] = longer
+        return out
+
+    def phrases(self, at: np.ndarray, size: int) -> pa.Array:
+        parts = [self.names.take(pa.array(self.ids[at + k])) for k in range(size)]
+        return parts[0] if size == 1 else pc.binary_join_element_wise(*parts, " ")
+
+    def totals(self, keys: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(a place, the summed frequency) of each distinct key of the words
+        ``at``."""
+        _, first, number = np.unique(keys, return_index=True, return_inverse=True)
+        total = np.zeros(len(first), np.int64)
+        np.add.at(total, number, self.weight[at])
+        return at[first], total
+
+
+def over_chunks(chunks: DataFrame, fn, schema: str) -> DataFrame:
+    """``fn(Words)`` over some ``HELD_BYTES`` of chunks at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = [PhraseFilter(b) for b in shared.value]
-        held: dict[str, list] = {}
-        words = 0
+        held, size = [], 0
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("lang", "chunk", "last", "n")]
-            for lang, chunk, last, n in zip(*cols):
-                held.setdefault(lang, []).append((chunk, last, n))
-                words += chunk.count(" ") + 1
-            if words > HELD_WORDS:
-                yield from counted(held, filters)
-                held, words = {}, 0
-        yield from counted(held, filters)
-
-    def counted(held: dict[str, list], filters: list[PhraseFilter]) -> Iterator[pa.RecordBatch]:
-        for lang, rows in held.items():
-            some: list[tuple[str, int]] = []
-            for found in count_phrases(lang, rows, size, filters):
-                some.append(found)
-                if len(some) == 20_000:
-                    yield packed(lang, some)
-                    some = []
-            if some:
-                yield packed(lang, some)
-
-    def packed(lang: str, some: list[tuple[str, int]]) -> pa.RecordBatch:
-        phrases, f = zip(*some)
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(phrases, pa.string()),
-                                           pa.array(f, pa.int64())], ["lang", "phrase", "f"])
-
-    parts = chunks.select("lang", "chunk", "last", "n").mapInArrow(run, "lang string, phrase string, f long")
-    return parts.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+            held.append(batch)
+            size += batch.column("chunk").nbytes
+            if size > HELD_BYTES:
+                yield from fn(Words(pa.Table.from_batches(held)))
+                held, size = [], 0
+        if sum(b.num_rows for b in held):
+            yield from fn(Words(pa.Table.from_batches(held)))
+
+    return chunks.select("lang", "chunk", "last", "n").mapInArrow(run, schema)
+
+
+def sliced(names: list[str], *columns: pa.Array) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(columns[0]), 50_000):
+        yield pa.RecordBatch.from_arrays([c.slice(at, 50_000) for c in columns], names)
+
+
+def word_counts(chunks: DataFrame) -> DataFrame:
+    """``lang, phrase, f`` of single words."""
+
+    def count(w: Words) -> Iterator[pa.RecordBatch]:
+        at = np.flatnonzero(w.own)
+        first, total = w.totals(w.lang_ids[at] * len(w.names) + w.ids[at], at)
+        yield from sliced(["lang", "phrase", "f"], w.langs.take(pa.array(w.lang_ids[first])), w.phrases(first, 1), pa.array(total))
+
+    return over_chunks(chunks, count, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+
+
+def frequent_hashes(chunks: DataFrame, sizes: tuple[int, ...], min_count: int, pairs: PhraseFilter | None) -> DataFrame:
+    """``h``: hashes of phrases of the given sizes whose counts reach
+    ``min_count``, with ``pairs`` only of those made of pairs that pass it."""
+    shared = None if pairs is None else chunks.sparkSession.sparkContext.broadcast(pairs.bits)
+
+    def count(w: Words) -> Iterator[pa.RecordBatch]:
+        hashes = w.hashes(max(sizes))
+        ok = w.room > 1 if shared is None else (w.room > 1) & PhraseFilter(shared.value).holds(hashes[2])
+        for size in range(2, max(sizes) + 1):
+            if size > 2:  # the pair at the end of the phrase passes too
+                ok = ok & (w.room >= size) & np.append(pair[size - 2 :], np.zeros(size - 2, bool))[: len(ok)]
+            else:
+                pair = ok
+            if size in sizes:
+                at = np.flatnonzero(ok & w.own)
+                first, total = w.totals(hashes[size][at], at)
+                yield from sliced(["h", "f"], pa.array(hashes[size][first].view(np.int64)), pa.array(total))
+
+    found = over_chunks(chunks, count, "h long, f long").groupBy("h").agg(F.sum("f").alias("f"))
+    return found.where(F.col("f") >= min_count).select("h")
+
+
+def phrase_counts(chunks: DataFrame, most: int, passed: PhraseFilter) -> DataFrame:
+    """``lang, phrase, size, f`` of the phrases of two words and more that pass
+    the filter."""
+    shared = chunks.sparkSession.sparkContext.broadcast(passed.bits)
+
+    def count(w: Words) -> Iterator[pa.RecordBatch]:
+        hashes, passed = w.hashes(most), PhraseFilter(shared.value)
+        for size in range(2, most + 1):
+            at = np.flatnonzero(w.own & (w.room >= size))
+            at = at[passed.holds(hashes[size][at])]
+            names = w.phrases(at, size).dictionary_encode()
+            keys = w.lang_ids[at] * (len(names.dictionary) + 1) + names.indices.to_numpy()
+            first, total = w.totals(keys, at)
+            yield from sliced(["lang", "phrase", "size", "f"], w.langs.take(pa.array(w.lang_ids[first])), w.phrases(first, size),
+                              pa.array(np.full(len(first), size, np.int32)), pa.array(total))
+
+    parts = over_chunks(chunks, count, "lang string, phrase string, size int, f long")
+    return parts.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
 
 
 # -- candidates ---------------------------------------------------------------
@@ -303,17 +341,15 @@ def mine(docs: DataFrame, min_count: int = 30, max_words: int = MAX_WORDS, held_
     if not 2 <= max_words <= MAX_WORDS:
         raise ValueError(f"phrases have 2 to {MAX_WORDS} words")
     chunks = stage(chunk_table(docs, lang, text), "phrase-chunks")
-    words = stage(phrase_counts(chunks, 1, []), "phrase-words")
+    words = stage(word_counts(chunks), "phrase-words")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent = [words.where(F.col("f") >= min_count)]
-    filters: list[PhraseFilter] = []
-    for size in range(2, max_words + 1):
-        filters.append(phrase_filter(frequent[-1]))
-        counts = phrase_counts(chunks, size, filters)
-        frequent.append(stage(counts.where(F.col("f") >= min_count), f"phrase-{size}"))
-    table = frequent[0].withColumn("size", F.lit(1))
-    for size, part in enumerate(frequent[1:], 2):
-        table = table.unionByName(part.withColumn("size", F.lit(size)))
+    hashes = stage(frequent_hashes(chunks, (2,), min_count, None), "phrase-pairs")
+    if max_words > 2:
+        longer = frequent_hashes(chunks, tuple(range(3, max_words + 1)), min_count, phrase_filter(hashes))
+        hashes = hashes.unionByName(stage(longer, "phrase-hashes"))
+    phrases = phrase_counts(chunks, max_words, phrase_filter(hashes)).where(F.col("f") >= min_count)
+    singles = words.where(F.col("f") >= min_count).withColumn("size", F.lit(1))
+    table = stage(phrases, "phrase-counts").unionByName(singles)
     kept = scored(table).join(longest_share(table), ["lang", "phrase"], "left")
     hundred = F.col("most").cast("decimal(20,0)") * F.lit(100).cast("decimal(3,0)")
     kept = kept.where(F.col("most").isNull() | (hundred < F.col("a").cast("decimal(20,0)") * F.lit(held_share).cast("decimal(3,0)")))
