@@ -41,7 +41,7 @@ ONE_IN, WHOLE, LONGEST = 16, 16, 64
 FILTER_BITS = 1 << 26
 PROBES = 3
 #: Characters of new chunks, and bytes of distinct ones, that a task holds before it passes them on.
-HELD_CHARS, HELD_BYTES = 16_000_000, 8_000_000
+HELD_CHARS, HELD_BYTES = 16_000_000, 12_000_000
 #: Groups in which the best of a language are sought before they meet.
 RANK_GROUPS = 64
 
@@ -175,8 +175,8 @@ class Words:
         self.ids, self.names = coded.indices.to_numpy(), coded.dictionary
         lengths = pc.list_value_length(lists).to_numpy()
         langs = table.column("lang").combine_chunks().dictionary_encode()
-        self.langs, self.lang_ids = langs.dictionary, np.repeat(langs.indices.to_numpy().astype(np.int64), lengths)
-        place = np.arange(len(self.ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        self.langs, self.lang_ids = langs.dictionary, np.repeat(langs.indices.to_numpy(), lengths)
+        place = np.arange(len(self.ids), dtype=np.int32) - np.repeat((np.cumsum(lengths) - lengths).astype(np.int32), lengths)
         self.room = np.repeat(lengths, lengths) - place
         last = table.column("last").to_numpy()
         self.own = place < np.repeat(lengths - OVERLAP * ~last, lengths)
@@ -229,17 +229,6 @@ def sliced(names: list[str], *columns: pa.Array) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([c.slice(at, 50_000) for c in columns], names)
 
 
-def word_counts(chunks: DataFrame) -> DataFrame:
-    """``lang, phrase, f`` of single words."""
-
-    def count(w: Words) -> Iterator[pa.RecordBatch]:
-        at = np.flatnonzero(w.own)
-        first, total = w.totals(w.lang_ids[at] * len(w.names) + w.ids[at], at)
-        yield from sliced(["lang", "phrase", "f"], w.langs.take(pa.array(w.lang_ids[first])), w.phrases(first, 1), pa.array(total))
-
-    return over_chunks(chunks, count, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-
-
 def frequent_hashes(chunks: DataFrame, sizes: tuple[int, ...], min_count: int, pairs: PhraseFilter | None) -> DataFrame:
     """``h``: hashes of phrases of the given sizes whose counts reach
     ``min_count``, with ``pairs`` only of those made of pairs that pass it."""
@@ -263,18 +252,21 @@ def frequent_hashes(chunks: DataFrame, sizes: tuple[int, ...], min_count: int, p
 
 
 def phrase_counts(chunks: DataFrame, most: int, passed: PhraseFilter) -> DataFrame:
-    """``lang, phrase, size, f`` of the phrases of two words and more that pass
+    """``lang, phrase, size, f`` of all words and of the longer phrases that pass
     the filter."""
     shared = chunks.sparkSession.sparkContext.broadcast(passed.bits)
 
     def count(w: Words) -> Iterator[pa.RecordBatch]:
         hashes, passed = w.hashes(most), PhraseFilter(shared.value)
-        for size in range(2, most + 1):
+        for size in range(1, most + 1):
             at = np.flatnonzero(w.own & (w.room >= size))
-            at = at[passed.holds(hashes[size][at])]
-            names = w.phrases(at, size).dictionary_encode()
-            keys = w.lang_ids[at] * (len(names.dictionary) + 1) + names.indices.to_numpy()
-            first, total = w.totals(keys, at)
+            if size == 1:
+                code, names = w.ids[at], len(w.names)
+            else:
+                at = at[passed.holds(hashes[size][at])]
+                coded = w.phrases(at, size).dictionary_encode()
+                code, names = coded.indices.to_numpy(), len(coded.dictionary)
+            first, total = w.totals(w.lang_ids[at].astype(np.int64) * (names + 1) + code, at)
             yield from sliced(["lang", "phrase", "size", "f"], w.langs.take(pa.array(w.lang_ids[first])), w.phrases(first, size),
                               pa.array(np.full(len(first), size, np.int32)), pa.array(total))
 
@@ -341,15 +333,13 @@ def mine(docs: DataFrame, min_count: int = 30, max_words: int = MAX_WORDS, held_
     if not 2 <= max_words <= MAX_WORDS:
         raise ValueError(f"phrases have 2 to {MAX_WORDS} words")
     chunks = stage(chunk_table(docs, lang, text), "phrase-chunks")
-    words = stage(word_counts(chunks), "phrase-words")
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     hashes = stage(frequent_hashes(chunks, (2,), min_count, None), "phrase-pairs")
     if max_words > 2:
         longer = frequent_hashes(chunks, tuple(range(3, max_words + 1)), min_count, phrase_filter(hashes))
         hashes = hashes.unionByName(stage(longer, "phrase-hashes"))
-    phrases = phrase_counts(chunks, max_words, phrase_filter(hashes)).where(F.col("f") >= min_count)
-    singles = words.where(F.col("f") >= min_count).withColumn("size", F.lit(1))
-    table = stage(phrases, "phrase-counts").unionByName(singles)
+    counts = stage(phrase_counts(chunks, max_words, phrase_filter(hashes)), "phrase-counts")
+    totals = counts.where("size = 1").groupBy("lang").agg(F.sum("f").alias("n"))
+    table = counts.where(F.col("f") >= min_count)
     kept = scored(table).join(longest_share(table), ["lang", "phrase"], "left")
     hundred = F.col("most").cast("decimal(20,0)") * F.lit(100).cast("decimal(3,0)")
     kept = kept.where(F.col("most").isNull() | (hundred < F.col("a").cast("decimal(20,0)") * F.lit(held_share).cast("decimal(3,0)")))
