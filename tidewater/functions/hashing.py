@@ -36,8 +36,3 @@ def salted_sha256(col: Column | str, salt: str = "") -> Column:
 def token_of(col: Column | str, salt: str = "", length: int = 32) -> Column:
     """Deterministic vault token: a prefix of the salted SHA-256 (hex)."""
     return F.substring(salted_sha256(col, salt), 1, length)
-
-
-def row_fingerprint(df: DataFrame) -> Column:
-    """64-bit hash of a whole row (used for order-insensitive checksums)."""
-    return F.xxhash64(*[F.col(c) for c in df.columns])

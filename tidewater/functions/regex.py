@@ -23,8 +23,3 @@ def full_match(col: Column | str, pattern: str) -> Column:
 def search(col: Column | str, pattern: str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return c.rlike(pattern)
-
-
-def count_matches(col: Column | str, pattern: str) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_count(c, F.lit(pattern))

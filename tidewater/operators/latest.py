@@ -52,8 +52,3 @@ def dedupe_ordered(df: DataFrame, keys: str | list[str], order_cols=None) -> Dat
     keys = _as_list(keys)
     order_cols = _as_list(order_cols) or [c for c in df.columns if c not in keys]
     return latest_per_key(df, keys, order_cols)
-
-
-def dedupe_stream(df: DataFrame, keys: list[str], event_time: str, delay: str = "30 seconds") -> DataFrame:
-    """Streaming de-duplication with bounded state (U4)."""
-    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)

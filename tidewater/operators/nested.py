@@ -21,10 +21,3 @@ def explode_array(
     gen = F.explode_outer if outer else F.explode
     exploded = df.select(*keep, gen(array_col).alias("_elem"))
     return exploded.select(*keep, *[F.col(f"_elem.{f}").alias(o) for f, o in fields.items()])
-
-
-def flatten_struct(df: DataFrame, struct_col: str, keep: list[str] | None = None) -> DataFrame:
-    """``select(keep..., struct.*)``; payload fields win over kept names."""
-    inner = df.schema[struct_col].dataType.fieldNames()
-    keep = [c for c in (keep or []) if c not in inner]
-    return df.select(*keep, f"{struct_col}.*")

@@ -105,12 +105,6 @@ CLASSIFICATION_SCHEMA = (
 )
 
 
-def rules_frame(spark: SparkSession, categories=PII_CATEGORIES) -> DataFrame:
-    """The rule library as a table: one row per (category, name pattern)."""
-    rows = [(c["name"], c["sensitivity"], p) for c in categories for p in c["patterns"]]
-    return spark.createDataFrame(rows, "tag string, sensitivity string, pattern string")
-
-
 def column_inventory(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     """(table_fqn, column, data_type, ordinal) from the tables' schemas."""
     rows = [

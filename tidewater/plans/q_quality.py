@@ -126,6 +126,12 @@ def q_freshness(spark, t):
     return qa.freshness(t.orders, "o_orderdate", FRESH_AS_OF, table="orders")
 
 
+@query("suite_identifiers", suite_sql(qa.IDENTIFIER_SUITE, "customer"))
+def q_suite_identifiers(spark, t):
+    """Q7: values that must match a pattern; one of the patterns fails."""
+    return qa.validate(t.customer, qa.IDENTIFIER_SUITE)
+
+
 @query("table_checksum")
 def q_table_checksum(spark, t):
     """Q11: order-insensitive checksum of lineitem and of a re-partitioned copy."""

@@ -171,6 +171,28 @@ def q_decode_payload(spark, t):
     return good.drop("partition", "kafka_ts")
 
 
+@query(
+    "decode_vehicles",
+    """
+SELECT CAST(event_id AS VARCHAR) AS event_id, 'V' || CAST(user_id AS VARCHAR) AS vehicle_id, CAST(NULL AS VARCHAR) AS driver_id,
+       date_trunc('milliseconds', ts) AS event_ts, nullif(event_type, 'view') AS geofence_id,
+       event_type = 'error' AS harsh_braking FROM events""",
+)
+def q_decode_vehicles(spark, t):
+    """Framed vehicle payloads decoded; epoch millis become event times."""
+    zero = lambda name, kind: F.lit(0).cast(kind).alias(name)
+    payload = t.events.select(
+        F.col("event_id").cast("string").alias("event_id"), F.concat(F.lit("V"), F.col("user_id").cast("string")).alias("vehicle_id"),
+        F.lit(None).cast("string").alias("driver_id"), F.unix_millis(F.col("ts").cast("timestamp")).alias("event_ts_ms"),
+        zero("latitude", "double"), zero("longitude", "double"), F.col("value").cast("float").alias("speed_kph"), zero("heading_deg", "float"),
+        zero("acceleration_ms2", "float"), zero("engine_rpm", "int"), zero("fuel_level_pct", "float"), zero("odometer_km", "double"),
+        (F.col("event_type") == "error").alias("harsh_braking"), F.nullif("event_type", F.lit("view")).alias("geofence_id"), F.lit(1).alias("schema_version"))
+    records = wire.as_bus_records(payload, "vehicle_id", "event_ts_ms")
+    good, _ = wire.split_dead_letters(wire.decode_bus_records(records, tm.VEHICLE_SCHEMA), ["event_id", "event_ts_ms"])
+    tel = tm.telemetry_from_vehicles(good)
+    return tel.select("event_id", "vehicle_id", "driver_id", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"), "geofence_id", "harsh_braking")
+
+
 ZONES = [
     # zone_id, min_lat, max_lat, min_lon, max_lon  (a parameter of the query)
     ("Z1", 0.0, 20.0, 0.0, 5.0),

@@ -445,3 +445,24 @@ def q_cdc_apply(spark, t):
         .unionByName(tagged("D", "1998-03-01 00:00:00", F.col("c_custkey") % 7 == 3))
     )
     return cdc_apply(v1, changes, ["c_custkey"])
+
+
+@query(
+    "exploded_shipments",
+    """
+SELECT l_orderkey AS order_id, l_linenumber AS customer_id, l_shipdate AS order_ts, l_linestatus AS channel, 'USD' AS currency,
+       l_linenumber * 10 + i AS line_id, l_partkey AS sku, l_suppkey AS store_id, i AS qty,
+       CAST(i AS DECIMAL(12,2)) AS unit_price, CAST(i * i AS DECIMAL(12,2)) AS line_amount, l_returnflag AS return_flag
+FROM (SELECT *, unnest(range(1, l_linenumber % 4 + 1))::INTEGER AS i FROM lineitem)""",
+)
+def q_exploded_shipments(spark, t):
+    """Records whose arrays hold none to three lines, or are NULL."""
+    line = lambda i: F.struct(
+        (F.col("l_linenumber") * 10 + i).alias("line_id"), F.col("l_partkey").alias("sku"), F.col("l_suppkey").alias("store_id"), i.alias("qty"),
+        i.cast("decimal(12,2)").alias("unit_price"), (i * i).cast("decimal(12,2)").alias("line_amount"), F.col("l_returnflag").alias("return_flag"))
+    parts = F.col("l_linenumber") % 4
+    lines = F.transform(F.slice(F.array(F.lit(1), F.lit(2), F.lit(3)), F.lit(1), parts), line)
+    lines = F.when((parts > 0) | (F.col("l_orderkey") % 2 == 0), lines)  # none: an empty array or NULL
+    nested = t.lineitem.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("customer_id"), F.col("l_shipdate").alias("order_ts"),
+                               F.col("l_linestatus").alias("channel"), F.lit("USD").alias("currency"), lines.alias("lines"))
+    return wh.explode_order_lines(nested)

@@ -219,6 +219,17 @@ LINEITEM_SUITE = Suite(
 )
 
 
+IDENTIFIER_SUITE = Suite(
+    "identifier_suite",
+    [
+        {"expectation_type": "expect_column_values_to_match_regex", "kwargs": {"column": "c_name", "regex": r"^Customer#\d{9,}$"}},
+        {"expectation_type": "expect_column_values_to_match_regex", "kwargs": {"column": "c_name", "regex": r"^Customer#\d{8}[0-8]$"}},
+        {"expectation_type": "expect_column_values_to_match_regex", "kwargs": {"column": "c_mktsegment", "regex": "^[A-Z]+$"}},
+        {"expectation_type": "expect_column_values_to_be_unique", "kwargs": {"column": "c_name"}},
+    ],
+)
+
+
 def orders_for_suite(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Orders in the suite's vocabulary; subtotal = discounted line amounts."""
     net = (F.col("l_extendedprice").cast("decimal(12,2)") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")))

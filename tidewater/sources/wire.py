@@ -33,11 +33,6 @@ def strip_header(value: Column) -> Column:
     return F.substring(value, F.lit(HEADER_BYTES + 1), F.length(value) - HEADER_BYTES)
 
 
-def encode_json(df: DataFrame, cols: list[str] | None = None, schema_id: int = 1) -> DataFrame:
-    cols = cols or df.columns
-    return df.select(frame(F.to_json(F.struct(*[F.col(c) for c in cols]), JSON_TIME_OPTIONS), schema_id).alias("value"))
-
-
 def with_corrupt_field(schema: T.StructType) -> T.StructType:
     if CORRUPT_COL in schema.fieldNames():
         return schema
