@@ -481,3 +481,15 @@ def q_catalog_flat(spark, t):
 def q_catalog_nested(spark, t):
     """One record per table with its ordered nested column list."""
     return _with_row_counts(t, gv.catalog_nested(_catalog_flat(spark, t)))
+
+
+@query(
+    "catalog_nested_columns",
+    f"""SELECT table_name, row_count, string_agg(CAST("ordinalPosition" AS VARCHAR) || ':' || name || ':' || "dataType", ',' ORDER BY "ordinalPosition") AS columns
+FROM ({CATALOG_SQL}) GROUP BY 1, 2""",
+)
+def q_catalog_nested_columns(spark, t):
+    """The nested column lists, in their order, as text."""
+    nested = _with_row_counts(t, gv.catalog_nested(_catalog_flat(spark, t)))
+    one = lambda c: F.concat_ws(":", c["ordinalPosition"].cast("string"), c["name"], c["dataType"])
+    return nested.select("table_name", "row_count", F.array_join(F.transform("columns", one), ",").alias("columns"))
