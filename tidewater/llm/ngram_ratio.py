@@ -16,6 +16,8 @@ from tidewater.llm.common import let
 BUCKETS = 1 << 14
 #: Mean log ratio (natural) under which a document goes.
 THRESHOLD = -0.25
+#: Bits of the bitmap of trusted ids.
+ID_BITS = 1 << 26
 SPACE = "[\\x20\\x09-\\x0D]+"
 
 
@@ -67,15 +69,33 @@ def fit_ratio(docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", t
               buckets: int = BUCKETS) -> list[float]:
     """The log ratio of each bucket: its add-one share among the n-grams of the
     trusted rows over that among those of all rows. The raw counts cover all
-    documents, the trusted ones all ids of ``trusted_ids``, which are joined by
-    Spark's own choice. Both are added up before the shuffle; what comes back is
-    a number per bucket."""
+    documents and need no join; the trusted ones cover all ids of
+    ``trusted_ids``: rows whose id is in a bitmap of these (of ``ID_BITS`` bits
+    whatever their number) are joined with them, so that only trusted texts, and
+    a few that share a bit with one, are shuffled, by the same plan at every size.
+    Both are added up before the shuffle; what comes back is a number per bucket."""
     marked = trusted_ids.select(F.col(doc_id).alias("__tw_id")).where("__tw_id is not null").distinct()
     rows = docs.select(F.col(doc_id).alias("__tw_id"), F.coalesce(F.col(text), F.lit("")).alias("__tw_text"))
-    rows = rows.join(marked.withColumn("__tw_good", F.lit(1)), "__tw_id", "left")
-    grams = with_buckets(rows, "__tw_text", "__tw_b", buckets).select("__tw_good", F.explode_outer("__tw_b").alias("b")).where("b is not null")
-    counts = grams.groupBy("b").agg(F.count("*").alias("raw"), F.count("__tw_good").alias("good"))
-    return ratio_of({r["b"]: (r["good"], r["raw"]) for r in counts.collect()}, buckets)
+
+    def counted(texts: DataFrame) -> dict[int, int]:
+        grams = with_buckets(texts, "__tw_text", "__tw_b", buckets).select(F.explode("__tw_b").alias("b"))
+        return {r["b"]: r["count"] for r in grams.groupBy("b").count().collect()}
+
+    raw, good = counted(rows.select("__tw_text")), counted(_of_ids(rows, marked).select("__tw_text"))
+    return ratio_of({b: (good.get(b, 0), n) for b, n in raw.items()}, buckets)
+
+
+def _of_ids(rows: DataFrame, marked: DataFrame) -> DataFrame:
+    """The rows whose ``__tw_id`` is in ``marked`` (distinct, no null)."""
+    place = F.pmod(F.xxhash64(F.col("__tw_id").cast("string")), F.lit(ID_BITS))
+    maps = (marked.withColumn("__tw_h", place).groupBy(F.bitmap_bucket_number("__tw_h").alias("__tw_map"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("__tw_h")).alias("__tw_bits")))
+    # at most ID_BITS / 8 bytes: 8 MB
+    near = (rows.withColumn("__tw_h", place).withColumn("__tw_map", F.bitmap_bucket_number("__tw_h"))
+            .withColumn("__tw_at", F.bitmap_bit_position("__tw_h")).join(F.broadcast(maps), "__tw_map"))
+    byte = F.conv(F.hex(F.substring("__tw_bits", (F.col("__tw_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    near = near.withColumn("__tw_byte", byte).where(F.expr("shiftright(__tw_byte, cast(__tw_at % 8 as int)) & 1") == 1)
+    return near.select("__tw_id", "__tw_text").join(marked.hint("merge"), "__tw_id", "left_semi")
 
 
 def ratio_of(counts: dict[int, tuple[int, int]], buckets: int) -> list[float]:
