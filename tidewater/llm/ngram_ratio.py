@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import let
+from tidewater.session import stage
 
 BUCKETS = 1 << 14
 #: Mean log ratio (natural) under which a document goes.
@@ -68,34 +69,39 @@ def with_buckets(df: DataFrame, text: str, out: str, buckets: int = BUCKETS) ->
 def fit_ratio(docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", text: str = "text",
               buckets: int = BUCKETS) -> list[float]:
     """The log ratio of each bucket: its add-one share among the n-grams of the
-    trusted rows over that among those of all rows. The raw counts cover all
-    documents and need no join; the trusted ones cover all ids of
-    ``trusted_ids``: rows whose id is in a bitmap of these (of ``ID_BITS`` bits
-    whatever their number) are joined with them, so that only trusted texts, and
-    a few that share a bit with one, are shuffled, by the same plan at every size.
-    Both are added up before the shuffle; what comes back is a number per bucket."""
+    trusted rows over that among those of all rows, the same plan at every size.
+
+    All rows are counted in one pass without a join of texts: a row counts as
+    trusted if its id's bit is set in a bitmap of the trusted ids (``ID_BITS`` bits
+    whatever their number). Ids that only share a bit with a trusted one are then
+    found by a join of ids, and the counts of their rows, told by a bitmap of
+    theirs and an exact join, are taken off again: the counts are exact, and texts
+    are shuffled only where bits collide. Counts are added up before the shuffle;
+    what comes back is a number per bucket."""
     marked = trusted_ids.select(F.col(doc_id).alias("__tw_id")).where("__tw_id is not null").distinct()
     rows = docs.select(F.col(doc_id).alias("__tw_id"), F.coalesce(F.col(text), F.lit("")).alias("__tw_text"))
-
-    def counted(texts: DataFrame) -> dict[int, int]:
-        grams = with_buckets(texts, "__tw_text", "__tw_b", buckets).select(F.explode("__tw_b").alias("b"))
-        return {r["b"]: r["count"] for r in grams.groupBy("b").count().collect()}
-
-    raw, good = counted(rows.select("__tw_text")), counted(_of_ids(rows, marked).select("__tw_text"))
-    return ratio_of({b: (good.get(b, 0), n) for b, n in raw.items()}, buckets)
-
-
-def _of_ids(rows: DataFrame, marked: DataFrame) -> DataFrame:
-    """The rows whose ``__tw_id`` is in ``marked`` (distinct, no null)."""
+    grams = lambda df: with_buckets(df, "__tw_text", "__tw_b", buckets)
+    hit = grams(_with_hit(rows, marked)).select("__tw_hit", F.explode("__tw_b").alias("b"))
+    counts = hit.groupBy("b").agg(F.count("*").alias("raw"), F.count_if("__tw_hit").alias("good")).collect()
+    ids = rows.select("__tw_id").where("__tw_id is not null").distinct()
+    alike = _with_hit(ids, marked).where("__tw_hit").select("__tw_id").join(marked, "__tw_id", "left_anti")
+    alike = stage(alike, "ratio-collisions")
+    few = _with_hit(rows, alike).where("__tw_hit").select("__tw_id", "__tw_text").join(alike, "__tw_id", "left_semi")
+    off = {r["b"]: r["count"] for r in grams(few).select(F.explode("__tw_b").alias("b")).groupBy("b").count().collect()}
+    return ratio_of({r["b"]: (r["good"] - off.get(r["b"], 0), r["raw"]) for r in counts}, buckets)
+
+
+def _with_hit(rows: DataFrame, marked: DataFrame) -> DataFrame:
+    """``__tw_hit``: whether the bit of ``__tw_id`` is set in the bitmap of the ids
+    of ``marked`` (at most ``ID_BITS / 8`` bytes, 8 MB, are broadcast)."""
     place = F.pmod(F.xxhash64(F.col("__tw_id").cast("string")), F.lit(ID_BITS))
     maps = (marked.withColumn("__tw_h", place).groupBy(F.bitmap_bucket_number("__tw_h").alias("__tw_map"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("__tw_h")).alias("__tw_bits")))
-    # at most ID_BITS / 8 bytes: 8 MB
-    near = (rows.withColumn("__tw_h", place).withColumn("__tw_map", F.bitmap_bucket_number("__tw_h"))
-            .withColumn("__tw_at", F.bitmap_bit_position("__tw_h")).join(F.broadcast(maps), "__tw_map"))
+    asked = (rows.withColumn("__tw_h", place).withColumn("__tw_map", F.bitmap_bucket_number("__tw_h"))
+             .withColumn("__tw_at", F.bitmap_bit_position("__tw_h")).join(F.broadcast(maps), "__tw_map", "left"))
     byte = F.conv(F.hex(F.substring("__tw_bits", (F.col("__tw_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    near = near.withColumn("__tw_byte", byte).where(F.expr("shiftright(__tw_byte, cast(__tw_at % 8 as int)) & 1") == 1)
-    return near.select("__tw_id", "__tw_text").join(marked.hint("merge"), "__tw_id", "left_semi")
+    is_set = F.col("__tw_id").isNotNull() & (F.expr("shiftright(__tw_byte, cast(__tw_at % 8 as int)) & 1") == 1)
+    return asked.withColumn("__tw_byte", byte).withColumn("__tw_hit", F.coalesce(is_set, F.lit(False))).select(*rows.columns, "__tw_hit")
 
 
 def ratio_of(counts: dict[int, tuple[int, int]], buckets: int) -> list[float]:
