@@ -1,5 +1,7 @@
 """Operators 6 and 9, components, and the pipeline."""
 import random
+import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -49,6 +51,35 @@ def test_op6_tiles_equal_the_definition():
             assert got[0][:2] == (1, 7) and abs(got[0][2] - sum(t[0] for t in want) / len(a)) < 1e-9
 
 
+def test_op6_prints_give_the_same_tiles():
+    rng = random.Random(16)
+    for n in range(200):
+        a = [rng.choice("abc"[: 1 + n % 3]) for _ in range(rng.randint(1, 30))]
+        b = a[rng.randint(0, len(a)) :] + [rng.choice("abc"[: 1 + n % 3]) for _ in range(rng.randint(0, 40))]
+        x, y = (np.array([ord(w) - 97 for w in t], np.int64) for t in (a, b))
+        width = rng.randint(1, min(5, len(a)))
+        assert tiling.tile_by_prints(x, y, width) == plain_tiles(a, b, width)
+    assert tiling.tile_by_prints(np.array([-1, 0, 1]), np.array([], np.int64), 1) == []
+
+
+def test_op6_repeats_cost_no_pair_of_places():
+    """A word, a phrase and two words by chance, over and over, in 20,000 words."""
+    rng = random.Random(26)
+    cases = [("a " * 2000, "a " * 20000, [2000]), ("p q r s t u " * 400, "x " + "p q r s t u " * 3300, [2400]),
+             (" ".join(rng.choice("ab") for _ in range(2000)), " ".join(rng.choice("ab") for _ in range(20000)), None)]
+    for item, text, lengths in cases:
+        block = tiling.Block([(1, item)], 5)
+        ids = np.array([block.vocab.get(w, -1) for w in tiling.words_of(text)], np.int64)
+        tracemalloc.start()
+        start = time.process_time()
+        ((_, _, coverage, tiles),) = block.tilings([ids])
+        spent, peak = time.process_time() - start, tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert spent < 20 and peak < 100e6
+        assert lengths is None or [t[0] for t in tiles] == lengths
+        assert coverage == sum(t[0] for t in tiles) / len(item.split())
+
+
 def test_op6_query_finds_what_holds_a_text(spark):
     docs = {r["doc_id"]: " ".join(tiling.words_of(r["text"])) for r in spark.read.parquet(f"{SF_MID}/documents.parquet").collect()}
     items = {r["item_id"]: " ".join(tiling.words_of(r["text"])) for r in spark.read.parquet(f"{SF_MID}/benchmark.parquet").collect()}

@@ -4,7 +4,9 @@ Words are lower-cased runs of letters and digits. Windows of ``min_match``
 words are hashed by a rolling polynomial (Karp-Rabin); windows that a document
 shares with a benchmark text are seeds. Seeds in a row on one diagonal are one
 match; the longest match whose words are still unmarked is marked as a tile,
-again and again, until none of ``min_match`` words is left. Tiles do not
+again and again, until none of ``min_match`` words is left. Where repeats make
+more seed pairs than words, the longest matches are found by prints of growing
+windows instead of a list of seeds; the tiles are the same. Tiles do not
 overlap, in either text, but may come in any order, so passages that were
 reordered are caught. A document is contaminated by a benchmark text if the
 tiles cover at least ``min_coverage`` of its words."""
@@ -85,20 +87,95 @@ def tile(found: list[tuple[int, int, int]], n_a: int, n_b: int, width: int) -> l
     return tiles
 
 
+class Prints:
+    """Karp-Rabin prints of every window of any one length of a sequence of ids,
+    from prefix sums modulo two primes of 31 bits."""
+
+    PRIMES, BASES = (2147483647, 2147483629), (1103515245, 1664525)
+
+    def __init__(self, ids: np.ndarray, longest: int):
+        self.parts = []
+        self.n, self.longest = len(ids), longest
+        for prime, base in zip(self.PRIMES, self.BASES):
+            power = np.ones(longest + 1, np.uint64)
+            known = 1
+            while known <= longest:  # base^(known + i) = base^known * base^i
+                step = np.uint64(pow(base, known, prime))
+                more = power[: min(known, longest + 1 - known)] * step % np.uint64(prime)
+                power[known : known + len(more)] = more
+                known += len(more)
+            terms = (ids.astype(np.int64) + 2).astype(np.uint64) * power[: self.n] % np.uint64(prime)
+            self.parts.append((np.uint64(prime), power, np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms) % np.uint64(prime)))))
+
+    def of(self, width: int) -> np.ndarray:
+        n, out = self.n - width + 1, np.zeros(max(0, self.n - width + 1), np.uint64)
+        for prime, power, sums in self.parts:
+            window = (sums[width : width + n] + prime - sums[:n]) % prime
+            # all windows are moved to the same power
+            out = (out << np.uint64(32)) | (window * power[self.longest - np.arange(n)] % prime)
+        return out
+
+
+def tile_by_prints(a: np.ndarray, b: np.ndarray, width: int) -> list[tuple[int, int, int]]:
+    """The tiles of ``tile``, without a list of matches, for texts with so many
+    repeats that the pairs of equal windows outnumber their words: the greatest
+    length at which unmarked windows have equal prints is searched for, its
+    matches are checked word by word and marked, and again with what is left. A
+    window of one text only moves forward through the places of its print."""
+    most = max(len(a), len(b))
+    prints = Prints(a, most), Prints(b, most)
+    free = np.ones(len(a), bool), np.ones(len(b), bool)
+
+    def open_windows(side: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+        taken = np.concatenate(([0], np.cumsum(~free[side])))
+        at = np.flatnonzero(taken[length:] == taken[:-length])
+        return at, prints[side].of(length)[at]
+
+    def shared(length: int) -> bool:
+        return bool(np.isin(open_windows(0, length)[1], open_windows(1, length)[1]).any())
+
+    tiles, top = [], min(len(a), len(b))
+    while top >= width and shared(width):
+        low, high = width, top  # the greatest length with equal windows
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if shared(middle) else (low, middle - 1)
+        at_a, print_a = open_windows(0, low)
+        at_b, print_b = open_windows(1, low)
+        places: dict[int, list[int]] = {}
+        some = np.isin(print_b, print_a)
+        for j, x in zip(at_b[some].tolist(), print_b[some].tolist()):
+            places.setdefault(x, []).append(j)
+        upto = dict.fromkeys(places, 0)
+        some = np.isin(print_a, print_b)
+        for i, x in zip(at_a[some].tolist(), print_a[some].tolist()):
+            if not (free[0][i] and free[0][i + low - 1]):  # tiles of this round are as long, so they cover an end
+                continue
+            here, k = places[x], upto[x]
+            while k < len(here) and not (free[1][here[k]] and free[1][here[k] + low - 1]):
+                k += 1
+            upto[x] = k
+            if k < len(here) and np.array_equal(a[i : i + low], b[here[k] : here[k] + low]):
+                tiles.append((low, i, here[k]))
+                free[0][i : i + low] = free[1][here[k] : here[k] + low] = False
+        top = low - 1
+    return tiles
+
+
 class Block:
     """Benchmark texts ready for matching: word ids, and seeds by hash."""
 
     def __init__(self, items: list[tuple[int, str]], min_match: int):
         self.vocab: dict[str, int] = {}
         self.items: list[tuple[int, np.ndarray, int]] = []
-        seeds: dict[int, dict[int, list[tuple[int, int]]]] = {}
+        seeds: dict[int, dict[int, dict[int, list[int]]]] = {}
         for item_id, text in items:
             ids = np.array([self.vocab.setdefault(w, len(self.vocab)) for w in words_of(text or "")], np.int64)
             if not len(ids):
                 continue
             width = min(min_match, len(ids))
             for i, h in enumerate(windows(ids, width).tolist()):
-                seeds.setdefault(width, {}).setdefault(h, []).append((len(self.items), i))
+                seeds.setdefault(width, {}).setdefault(h, {}).setdefault(len(self.items), []).append(i)
             self.items.append((item_id, ids, width))
         self.seeds = {w: (np.array(sorted(s), np.uint64), s) for w, s in seeds.items()}
 
@@ -110,7 +187,7 @@ class Block:
         ids = np.concatenate([x for d in docs for x in (d, apart)] or [apart])
         starts = np.cumsum([0] + [len(d) + 1 for d in docs])
         unknown = np.concatenate(([0], np.cumsum(ids < 0)))
-        pairs: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        pairs: dict[tuple[int, int], list[tuple[list[int], int]]] = {}
         for width, (sorted_seeds, seeds) in self.seeds.items():
             at = np.flatnonzero(unknown[width:] == unknown[:-width])
             if not len(at):
@@ -123,11 +200,15 @@ class Block:
             at, h = at[hit], h[hit]
             doc = np.searchsorted(starts, at, "right") - 1
             for d, j, x in zip(doc.tolist(), (at - starts[doc]).tolist(), h.tolist()):
-                for item, i in seeds[x]:
-                    pairs.setdefault((d, item), []).append((i, j))
+                for item, here in seeds[x].items():
+                    pairs.setdefault((d, item), []).append((here, j))
         for (d, item), found in pairs.items():
             item_id, a, width = self.items[item]
-            tiles = tile(matches(a, docs[d], found, width), len(a), len(docs[d]), width)
+            b = docs[d]
+            if sum(len(here) for here, _ in found) <= 4 * (len(a) + len(b)):
+                tiles = tile(matches(a, b, [(i, j) for here, j in found for i in here], width), len(a), len(b), width)
+            else:
+                tiles = tile_by_prints(a, b, width)
             yield d, item_id, sum(t[0] for t in tiles) / len(a), tiles
 
 
