@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.helpers import SF_MID, SF_SMALL, no_docs, odd_docs
@@ -172,6 +173,48 @@ def test_op9_chains_through_a_bucket_are_not_lost(spark):
     assert got == want
 
 
+def test_op9_many_texts_of_one_id_or_none(spark):
+    """Candidates meet their own rows only: the fetch is linear in the rows."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(400):
+        words = [f"w{rng.randint(0, 10**9)}" for _ in range(60)]
+        near = [*words[:-1], "other"]
+        rows += [(7 if i % 2 else None, " ".join(words)), (7 if i % 2 else None, " ".join(near))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sketches = dart_minhash.stage(dart_minhash._sketches(docs), "test-sketches")
+    bags = dart_minhash._bags(docs, sketches, sketches.select("name"))
+    assert bags.count() == 800
+    joined = docs.join(sketches.select(F.col("at.doc_id").alias("i"), F.col("at.mark").alias("m")),
+                       F.col("doc_id").eqNullSafe(F.col("i")) & (F.xxhash64("text") == F.col("m")))
+    assert joined.count() == 800
+    got = Counter((r["class_id"], r["class_rows"]) for r in dart_minhash.near_duplicates(docs).collect())
+    assert got == Counter({(7, 2): 400, (None, 2): 400})
+
+
+def test_op9_unlike_texts_of_one_bucket_are_not_paired(spark, monkeypatch):
+    """A passage of two thirds in common: many share buckets, none is similar."""
+    rng = random.Random(19)
+    common = [f"c{i}" for i in range(160)]
+    texts = [" ".join(common + [f"w{rng.randint(0, 10**9)}" for _ in range(80)]) for _ in range(1500)]
+    texts.append(texts[0] + " more")
+    tables = {}
+    real = dart_minhash.stage
+
+    def spy(df, label):
+        out = real(df, label)
+        tables.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(dart_minhash, "stage", spy)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r["class_id"] for r in dart_minhash.near_duplicates(docs).orderBy("doc_id").collect()]
+    assert got == [*range(1500), 0]
+    members = tables["dart-buckets"][0]
+    assert members > 1500 and max(tables["dart-owned"]) <= 100
+    assert all(n <= members for label in tables for n in tables[label])
+
+
 def test_op9_on_odd_rows(spark):
     got = dart_minhash.near_duplicates(odd_docs(spark)).collect()
     rows = Counter((r["doc_id"], r["class_id"], r["class_rows"]) for r in got)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch. Texts may be long, so a batch holds few of them.
 ARROW_ROWS = 500
+#: Bytes of one Arrow batch, so that long texts do not add up in a worker.
+ARROW_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,9 +27,11 @@ def crc_bucket(doc_id: Column, buckets: int) -> Column:
 
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with batches of at most ``ARROW_ROWS`` rows. The setting
-    is read when the job is planned, so it stays set on the session."""
+    """``mapInArrow`` with batches of at most ``ARROW_ROWS`` rows, and of about
+    ``ARROW_BYTES`` or one row. The settings are read when the job is planned,
+    so they stay set on the session."""
     conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return df.mapInArrow(fn, schema)

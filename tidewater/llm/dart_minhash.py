@@ -69,7 +69,7 @@ class Shingler:
     words; a shorter text is one shingle, a text without words none."""
 
     def __init__(self, words: int = WORDS):
-        self.words, self.hashes = words, BoundedCache(word_hash)
+        self.words, self.hashes = words, BoundedCache(word_hash, 100_000)
 
     def __call__(self, text: str) -> tuple[int, bytes | None, np.ndarray]:
         """Number of words, name of the word sequence, shingles."""
@@ -159,8 +159,9 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def _sketches(docs: DataFrame) -> DataFrame:
-    """``name, least, copies, size, sig``: a row per different word sequence,
-    with the least doc_id of its rows and 2 bytes of each coordinate's dart."""
+    """``name, least, at, copies, size, sig``: a row per different word
+    sequence, with the least doc_id of its rows, id and text hash of one of them
+    and 2 bytes of each coordinate's dart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler()
@@ -174,15 +175,16 @@ def _sketches(docs: DataFrame) -> DataFrame:
             at = [place[rows[k][1]] for k in keep]
             keys = band_keys(sig) if len(sig) else np.empty((0, BANDS), np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([rows[k][1] for k in keep], pa.binary()), batch.column("doc_id").take(pa.array(keep, pa.int64())),
+                [pa.array([rows[k][1] for k in keep], pa.binary()), *batch.select(["doc_id", "mark"]).take(pa.array(keep, pa.int64())).columns,
                  pa.array([len(rows[k][2]) for k in keep], pa.int64()),
                  pa.array([sig[i].astype(np.uint16).view(np.int16) for i in at], pa.list_(pa.int16())),
                  pa.array([keys[i].view(np.int64) for i in at], pa.list_(pa.int64()))],
-                ["name", "doc_id", "size", "sig", "keys"])
+                ["name", "doc_id", "mark", "size", "sig", "keys"])
 
-    rows = map_batches(docs, run, "name binary, doc_id long, size long, sig array<smallint>, keys array<long>")
-    return rows.groupBy("name").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.first("size").alias("size"),
-                                    F.first("sig").alias("sig"), F.first("keys").alias("keys"))
+    marked = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    rows = map_batches(marked, run, "name binary, doc_id long, mark long, size long, sig array<smallint>, keys array<long>")
+    return rows.groupBy("name").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "mark")).alias("at"), F.count("*").alias("copies"),
+                                    F.first("size").alias("size"), F.first("sig").alias("sig"), F.first("keys").alias("keys"))
 
 
 def _agreeing(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -214,18 +216,20 @@ def _confirmed(pairs: DataFrame, bags: DataFrame) -> DataFrame:
 
 
 def _bags(docs: DataFrame, sketches: DataFrame, names: DataFrame) -> DataFrame:
-    """``name, bag``: the shingles of one row of each named word sequence."""
-    wanted = sketches.join(names, "name", "left_semi").select(F.col("least").alias("wanted"), "name").distinct()
+    """``name, bag``: the shingles of one row of each named word sequence. Its
+    text is found by id and hash, so many texts of one id, or of none, meet only
+    their own rows."""
+    wanted = sketches.join(names, "name", "left_semi").select(F.col("at.doc_id").alias("wanted"), F.col("at.mark").alias("mark"), "name")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler()
         for batch in batches:
             rows = [(w, shingle(t)) for w, t in zip(batch.column("name").to_pylist(), texts_of(batch))]
-            rows = [(w, s) for w, (_, name, s) in rows if w == name]  # an id may stand for several texts
+            rows = [(w, s) for w, (_, name, s) in rows if w == name]  # hashes may collide
             yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in rows], pa.binary()),
                                               pa.array([s.tobytes() for _, s in rows], pa.binary())], ["name", "bag"])
 
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted"))).select("name", "text")
+    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")) & (F.xxhash64("text") == F.col("mark"))).select("name", "text")
     return map_batches(texts, run, "name binary, bag binary").groupBy("name").agg(F.first("bag").alias("bag"))
 
 
@@ -267,7 +271,8 @@ def word_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     a bucket are compared with its least member; then, where they still lie in
     several classes, those of other classes with each of a few members that have
     few shingles of their own; then, where they still do, every pair of members of different classes
-    that sizes and own shingles do not rule out."""
+    that sizes and own shingles do not rule out. Members that their own shingles rule out
+    against any other leave the bucket before they are paired."""
     sketches = stage(_sketches(docs), "dart-sketches")
     members = sketches.select("name", "size", F.explode("keys").alias("key"))
     buckets = members.groupBy("key").agg(F.min("name").alias("a"), F.max("name").alias("z")).where("a <> z").select("key", "a")
@@ -281,7 +286,9 @@ def word_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rooted = stage(rooted.join(mixed, "key", "left_semi"), "dart-mixed-rows")
     bags = stage(_bags(docs, sketches, rooted.select("name").distinct()), "dart-bags")
     own = stage(_own(bags), "dart-own")
-    shared = stage(rooted.drop("root").join(own, "name", "left").select("key", "name", "size", F.coalesce("own", F.lit(0)).alias("own")), "dart-owned")
+    shared = rooted.drop("root").join(own, "name", "left").select("key", "name", "size", F.coalesce("own", F.lit(0)).alias("own"))
+    # whose own shingles weigh more than a fifth is like no other one: unlike documents of a bucket are never paired
+    shared = stage(shared.where(F.col("size") - F.col("own") >= F.lit(SIMILARITY) * F.col("size")), "dart-owned")
     rooted = _rooted(shared, classes)
     # members with few shingles of their own are like the most others
     drawn = [F.min(F.struct(F.floor(F.col("own") / F.lit(2**s)).alias("o"), F.xxhash64("name", F.lit(s)).alias("h"), F.col("name").alias("c"),
