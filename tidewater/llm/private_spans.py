@@ -7,14 +7,21 @@ and checks alone and stay whatever their context."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import let
+
 LEAST = 0.6
 #: Characters before and after a span that are searched for context words.
 NEAR = 40
+#: Powers of two: elements of a block of a running value, and characters of a
+#: chunk of a text.
+BLOCK_BITS, CHUNK_BITS = 8, 10
 
 
 @dataclass(frozen=True)
@@ -116,7 +123,46 @@ def _passes(check: str, found: Column) -> Column:
     raise ValueError(check)
 
 
-def _judged(n: int, kind: Kind, found: Column, ends: Column, whole: Column) -> Column:
+def running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """The running value of a non-empty array under an associative ``join``
+    (sum, greatest): first within blocks, then what the blocks before make is
+    joined to each, so no array is grown by one over all elements."""
+
+    def within(some: Column) -> Column:
+        return F.aggregate(F.slice(some, 2, F.size(some)), F.slice(some, 1, 1),
+                           lambda a, x: F.concat(a, F.array(join(F.get(a, F.size(a) - 1), x))))
+
+    def blocks(v: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.shiftright(F.size(v) - 1, BLOCK_BITS))
+        return F.transform(numbers, lambda b: within(F.slice(v, b * (1 << BLOCK_BITS) + 1, 1 << BLOCK_BITS)))
+
+    def whole(b: Column) -> Column:
+        lasts = F.transform(b, lambda x: F.get(x, F.size(x) - 1))
+        return let(lasts, lambda t: let(within(t), lambda before: F.flatten(F.transform(b, lambda x, i: F.when(i == 0, x).otherwise(
+            F.transform(x, lambda y: join(F.get(before, i - 1), y)))))))
+
+    return let(values, lambda v: let(blocks(v), whole))
+
+
+def chunks_of(whole: Column) -> Column:
+    """A text in chunks of equal numbers of code points, so that a place in it
+    is found without counting from its start."""
+    return F.regexp_extract_all(whole, F.lit(f"(?s).{{1,{1 << CHUNK_BITS}}}"), F.lit(0))
+
+
+def part_of(chunks: Column, start: Column, end: Column) -> Column:
+    """The code points from ``start`` to ``end`` of a text in chunks."""
+    size = 1 << CHUNK_BITS
+    first, last = F.shiftright(start, CHUNK_BITS), F.shiftright(end, CHUNK_BITS)
+    chunk = lambda i: F.coalesce(F.get(chunks, i), F.lit(""))
+    at = start.bitwiseAND(size - 1) + 1
+    return F.when(first == last, F.substring(chunk(first), at, end - start)).otherwise(F.concat(
+        F.substring(chunk(first), at, F.lit(size)),
+        F.array_join(F.slice(chunks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+        F.substring(chunk(last), F.lit(1), end.bitwiseAND(size - 1))))
+
+
+def _judged(n: int, kind: Kind, found: Column, ends: Column, chunks: Column, length: Column) -> Column:
     """The spans of one kind that pass its check and reach the score."""
     spans = F.transform(found, lambda x, i: F.struct(
         (F.get(ends, i) - F.length(x)).alias("start"), F.get(ends, i).alias("end"), x.alias("found")))
@@ -126,8 +172,8 @@ def _judged(n: int, kind: Kind, found: Column, ends: Column, whole: Column) -> C
     def scored(x: Column) -> Column:
         score = F.lit(kind.prior + (kind.proof if kind.check else 0.0))
         if kind.near or kind.against:
-            before = F.substring(whole, F.greatest(x["start"] - NEAR, F.lit(0)) + 1, F.least(x["start"], F.lit(NEAR)))
-            around = F.concat_ws(" ", before, F.substring(whole, x["end"] + 1, F.lit(NEAR)))
+            before = part_of(chunks, F.greatest(x["start"] - NEAR, F.lit(0)), x["start"])
+            around = F.concat_ws(" ", before, part_of(chunks, x["end"], F.least(x["end"] + NEAR, length)))
             if kind.near:
                 score = score + F.when(around.rlike(kind.near), kind.raises).otherwise(0.0)
             if kind.against:
@@ -155,18 +201,19 @@ def with_spans(df: DataFrame, kinds: list[Kind] = KINDS, text: str = "__tw_text"
             between = F.when(F.contains(whole, F.lit(k.guard)), between).otherwise(none)
         df = df.withColumn(f"__tw_f_{k.name}", found)
         df = df.withColumn(f"__tw_g_{k.name}", F.when(F.size(f"__tw_f_{k.name}") > 0, between))
+    in_context = [F.size(f"__tw_f_{k.name}") > 0 for k in kinds if k.near or k.against]
+    df = df.withColumn("__tw_length", F.length(whole))
+    df = df.withColumn("__tw_chunks", F.when(reduce(Column.__or__, in_context, F.lit(False)), chunks_of(whole)))
     for n, k in enumerate(kinds):
         f, g, e = f"__tw_f_{k.name}", f"__tw_g_{k.name}", f"__tw_e_{k.name}"
         # ends of the matches, one after another: a running sum of both lengths
-        ends = F.aggregate(
-            F.zip_with(f, F.slice(g, 1, F.size(f)), lambda x, y: F.length(x) + F.length(y)),
-            F.array().cast("array<int>"),
-            lambda a, n: F.concat(a, F.array(F.coalesce(F.get(a, F.size(a) - 1), F.lit(0)) + n)))
-        df = df.withColumn(e, F.when(F.size(f) > 0, ends))
-        df = df.withColumn(f"__tw_s_{k.name}", F.when(F.size(f) > 0, _judged(n, k, F.col(f), F.col(e), whole)))
+        both = F.zip_with(f, F.slice(g, 1, F.size(f)), lambda x, y: F.length(x) + F.length(y))
+        df = df.withColumn(e, F.when(F.size(f) > 0, running(both, lambda a, b: a + b)))
+        df = df.withColumn(f"__tw_s_{k.name}", F.when(F.size(f) > 0, _judged(
+            n, k, F.col(f), F.col(e), F.col("__tw_chunks"), F.col("__tw_length"))))
     empty = F.array().cast("array<struct<n:int,start:int,end:int,kind:string,score:double>>")
     df = df.withColumn("__tw_spans", F.concat(*[F.coalesce(F.col(f"__tw_s_{k.name}"), empty) for k in kinds]))
-    return df.drop(*[f"__tw_{c}_{k.name}" for k in kinds for c in "fges"])
+    return df.drop("__tw_length", "__tw_chunks", *[f"__tw_{c}_{k.name}" for k in kinds for c in "fges"])
 
 
 def _listed(spans: Column) -> Column:
@@ -201,24 +248,25 @@ def redact(docs: DataFrame, kinds: list[Kind] = KINDS, text: str = "text", n_cha
     ordered = F.array_sort(F.transform("__tw_spans", lambda x: F.struct(
         x["start"].alias("start"), (-x["end"]).alias("rest"), x["n"].alias("n"), x["kind"].alias("kind"))))
     row = row.withColumn("__tw_order", ordered)
-    # overlapping spans become one: (start, end, kind of the first)
-    merged = F.aggregate(
-        "__tw_order", F.array().cast("array<struct<start:int,end:int,kind:string>>"),
-        lambda a, x: F.when(
-            (F.size(a) > 0) & (x["start"] < F.get(a, F.size(a) - 1)["end"]),
-            F.concat(F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0))), F.array(F.struct(
-                F.get(a, F.size(a) - 1)["start"].alias("start"),
-                F.greatest(F.get(a, F.size(a) - 1)["end"], -x["rest"]).alias("end"),
-                F.get(a, F.size(a) - 1)["kind"].alias("kind")))),
-        ).otherwise(F.concat(a, F.array(F.struct(x["start"].alias("start"), (-x["rest"]).alias("end"), x["kind"].alias("kind"))))))
-    row = row.withColumn("__tw_merged", F.when(F.size("__tw_order") > 0, merged))
-    whole = F.col("__tw_text")
-    pieces = F.transform("__tw_merged", lambda x, i: F.concat(
-        F.substring(whole, F.coalesce(F.get("__tw_merged", i - 1)["end"], F.lit(0)) + 1,
-                    x["start"] - F.coalesce(F.get("__tw_merged", i - 1)["end"], F.lit(0))),
-        F.lit("<"), F.upper(x["kind"]), F.lit(">")))
-    tail = F.substring(whole, F.get("__tw_merged", F.size("__tw_merged") - 1)["end"] + 1, F.length(whole))
-    row = row.withColumn("__tw_new", F.when(F.size("__tw_order") > 0, F.concat(F.array_join(pieces, ""), tail)))
+    # overlapping spans become one: (start, end, kind of the first); a span that
+    # starts where all before it have ended begins a new one
+    order, size = F.col("__tw_order"), F.size("__tw_order")
+
+    def merged(most: Column) -> Column:
+        heads = F.filter(F.sequence(F.lit(0), size - 1), lambda i: (i == 0) | (F.get(order, i)["start"] >= F.get(most, i - 1)))
+        return let(heads, lambda h: F.transform(h, lambda i, j: F.struct(
+            F.get(order, i)["start"].alias("start"),
+            F.get(most, F.coalesce(F.get(h, j + 1), size) - 1).alias("end"),
+            F.get(order, i)["kind"].alias("kind"))))
+
+    most = running(F.transform(order, lambda x: -x["rest"]), lambda a, b: F.greatest(a, b))
+    row = row.withColumn("__tw_merged", F.when(size > 0, let(most, merged)))
+    whole, spans, chunks = F.col("__tw_text"), F.col("__tw_merged"), F.col("__tw_cut")
+    row = row.withColumn("__tw_cut", F.when(size > 0, chunks_of(whole)))
+    pieces = F.transform(spans, lambda x, i: F.concat(
+        part_of(chunks, F.coalesce(F.get(spans, i - 1)["end"], F.lit(0)), x["start"]), F.lit("<"), F.upper(x["kind"]), F.lit(">")))
+    tail = part_of(chunks, F.get(spans, F.size(spans) - 1)["end"], F.length(whole))
+    row = row.withColumn("__tw_new", F.when(size > 0, F.concat(F.array_join(pieces, ""), tail)))
     out = []
     for f in docs.schema.fields:
         old = F.col("__tw_row")[f.name]
