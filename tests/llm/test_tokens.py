@@ -138,3 +138,10 @@ def test_reader_decompresses_only_what_is_asked_and_checks_it(tmp_path):
     (tmp_path / "b.tok").write_bytes(data)
     with pytest.raises(Exception, match="checksum|decompress|corrupt|[Dd]ata"):
         TokenFileReader(f"{tmp_path}/b.tok").read(1)
+
+
+def test_token_files_refuse_ids_that_do_not_fit(tmp_path):
+    writer = TokenFileWriter(f"{tmp_path}/a.tok", id_bytes=2)
+    writer.add(1, np.array([65535], "<u4"))
+    with pytest.raises(ValueError, match="70000"):
+        writer.add(2, np.array([3, 70000], "<u4"))

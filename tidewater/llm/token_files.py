@@ -50,6 +50,9 @@ class TokenFileWriter:
         self.id_bytes, self.entries, self.doc_ids, self.counts = id_bytes, [], [], []
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        """One document. An id that does not fit in ``id_bytes`` raises."""
+        if len(ids) and int(ids.max()) >> 8 * self.id_bytes:
+            raise ValueError(f"id {int(ids.max())} needs more than {self.id_bytes} bytes")
         plain = ids.astype(f"<u{self.id_bytes}").tobytes()
         packed = self.zstd.compress(plain)
         self.out.write(packed)
