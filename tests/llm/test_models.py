@@ -248,3 +248,12 @@ def test_op8_contexts_are_bytes_and_grow_with_the_text(spark, monkeypatch):
     assert all(abs(few[d] - got[d]) < 1e-9 * abs(got[d]) for d in got)
     stats = suffix_tree.gather(docs.selectExpr("doc_id % 2 = 0 as held_out", "cast(text as binary) text")).where("code is not null")
     assert stats.count() > 40 and stats.where("n = 0").count() > 0
+
+
+def test_op8_head_is_cut_by_a_histogram(spark):
+    rows = [(n,) for n in [1] * 500 + [2] * 60 + [3] * 30 + [7, 8, 100, 1000, 0]]
+    counts = spark.createDataFrame(rows, "n long")
+    for most, want in [(0, 2**63 - 1), (1, 1000), (3, 8), (4, 7), (33, 7), (34, 3), (94, 2), (593, 2), (594, 1), (10_000, 1)]:
+        least = suffix_tree.least_of_head(counts, "n", most)
+        assert least == want and sum(n >= least for (n,) in rows) <= most
+    assert suffix_tree.least_of_head(counts.where("n < 0"), "n", 5) == 2**63 - 1

@@ -265,6 +265,21 @@ def with_probabilities(codes: DataFrame) -> DataFrame:
     return codes.select("code", "uses").join(best, "code").select("code", "uses", F.log10("p").alias("logp"))
 
 
+def least_of_head(counts: DataFrame, n: str, rows: int) -> int:
+    """A count that at most ``rows`` rows reach, as low as a histogram with
+    steps of an eighth shows it. The driver gets one row a step, at most 512,
+    whatever the number of rows or partitions."""
+    step = F.floor(8 * F.log2(F.col(n).cast("double"))).cast("int")
+    steps = counts.where(F.col(n) > 0).groupBy(step.alias("step")).agg(F.count("*").alias("rows"), F.min(n).alias("least"))
+    least, taken = 2**63 - 1, 0
+    for r in sorted(steps.collect(), key=lambda r: -r["step"]):
+        taken += r["rows"]
+        if taken > rows:
+            break
+        least = r["least"]
+    return least
+
+
 def score(docs: DataFrame, folds: int = 5, held: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``
     of every row; documents whose id's crc32 modulo ``folds`` is ``held`` are
@@ -274,9 +289,9 @@ def score(docs: DataFrame, folds: int = 5, held: int = 1, doc_id: str = "doc_id"
     the empty text for the fold; repeated rows are learned from and scored as
     often as they come; with no training rows the base is log10(1) = 0 a token
     and the tree is uniform; an empty table gives no rows; other columns are not
-    read. The 50,000 most frequent words and ``HEAD_CODES`` codes (ties: in
-    order) are broadcast; only rarer ones are joined, so no key of the joins is
-    frequent."""
+    read. At most the 50,000 most frequent words and ``HEAD_CODES`` codes are
+    broadcast (``least_of_head``); only rarer ones are joined, so no key of the
+    joins is frequent. No score depends on where the heads end."""
     spark = docs.sparkSession
     remainder = crc_bucket(F.col(doc_id), folds)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), (remainder == held).alias("held_out"),
@@ -285,10 +300,10 @@ def score(docs: DataFrame, folds: int = 5, held: int = 1, doc_id: str = "doc_id"
     words = stats.where(F.col("word").isNotNull()).select("word", "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     states = stage(with_probabilities(stats.where(F.col("code").isNotNull()).select("code", "n", "uses")), "lm-tree")
-    top = states.orderBy(F.desc("uses"), "code").limit(HEAD_CODES).select("code", "logp").toArrow()
+    top = states.where(F.col("uses") >= least_of_head(states, "uses", HEAD_CODES)).select("code", "logp").toArrow()
     codes = Head(top.column("code").to_numpy(), top.column("logp").to_numpy())
     short = words.where(F.length("word") <= HEAD_BYTES)
-    head = {bytes(r[0]): r[1] for r in short.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).collect()}
+    head = {bytes(r[0]): r[1] for r in short.where(F.col("n") >= least_of_head(short, "n", HEAD_WORDS)).collect()}
     shared = spark.sparkContext.broadcast((codes, head))
     floor = np.log10(0.5 / (total + 0.5 * (distinct + 1)))
     bottom = float(total + 0.5 * (distinct + 1))
