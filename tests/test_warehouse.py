@@ -166,3 +166,47 @@ def test_hot_key_pit_join_paths_agree(spark):
     assert bc.count() == n and bc.where(F.col("sk").isNull()).count() == 0
     for other in (smj, salted):
         assert bc.exceptAll(other).count() == 0 and other.exceptAll(bc).count() == 0
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+@pytest.fixture()
+def sales_rows(spark):
+    """Orders with a repeated and an unknown customer, a repeated line, days before all versions."""
+    day = lambda d: F.lit(d).cast("timestamp_ntz")
+    orders = spark.range(60).select(
+        F.col("id").alias("o_orderkey"), F.when(F.col("id") % 7 != 0, F.col("id") % 5).alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+        F.lit("10.00").alias("o_totalprice"), (day("1994-12-01") + F.make_interval(days=(F.col("id") * 20).cast("int"))).alias("o_orderdate"),
+        F.concat(F.lit("p"), F.col("id") % 2).alias("o_orderpriority"))
+    line = spark.range(200).select(
+        (F.col("id") % 55).alias("l_orderkey"), (F.col("id") % 6).alias("l_partkey"), (F.col("id") % 3).alias("l_suppkey"),
+        (F.col("id") % 4).cast("int").alias("l_linenumber"), F.lit("2").alias("l_quantity"), F.lit("9.00").alias("l_extendedprice"), F.lit("N").alias("l_returnflag"))
+    versions = lambda key, sk, n: spark.range(n).select(F.col("id").alias(key), F.explode(F.array(F.lit(0), F.lit(1))).alias("v")).select(
+        key, (F.col(key) * 2 + F.col("v") + 1).alias(sk), F.when(F.col("v") == 0, day("1995-01-01")).otherwise(day("1996-06-01")).alias("valid_from"),
+        F.when(F.col("v") == 0, day("1996-06-01")).alias("valid_to"), F.concat(F.lit("s"), "v").alias("c_mktsegment"), F.lit("X").alias("country"),
+        F.lit("t").alias("p_type"), F.concat(F.lit("b"), "v").alias("p_brand"))
+    return orders.unionByName(orders.where("o_orderkey % 10 = 3").withColumn("o_custkey", F.lit(4).cast("long"))), line, \
+        versions("c_custkey", "dim_customer_sk", 4), versions("p_partkey", "dim_product_sk", 5)
+
+
+def test_customers_of_headers_and_parts_give_the_same_mart(spark, sales_rows):
+    orders, line, dc, dp = sales_rows
+    slow = wh.build_fact_sales(wh.explode_order_lines(wh.orders_nested(orders, line)), dc, dp)
+    fact = wh.build_fact_sales(wh.explode_order_lines(wh.orders_nested(wh.resolve_customers(orders, dc), line)), dc, dp)
+    assert sorted(fact.collect(), key=str) == sorted(slow.collect(), key=str)
+    assert fact.where("dim_customer_sk IS NULL").count() and fact.where("dim_customer_sk > 0").count()
+    want = wh.enrich_daily(wh.daily_sales(slow), dc, dp)
+    for parts in (fact, fact.hint("merge")):
+        got = wh.enrich_daily(wh.daily_sales(parts, with_part=True), dc.hint("merge"), dp)
+        assert got.columns == want.columns and sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        flat = spark.createDataFrame(fact.collect(), fact.schema)
+        assert _exchanges(wh.daily_sales(flat)) == 1   # the orders of a group and the groups by one shuffle
+        # and the customer's row is met there: its side and the product's two are all that is added
+        assert _exchanges(wh.enrich_daily(wh.daily_sales(flat, with_part=True), dc.hint("merge"), dp.hint("merge"))) == 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)

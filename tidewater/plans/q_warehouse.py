@@ -160,7 +160,7 @@ def _dims(t):
 
 def _fact(t, dims=None):
     dc, dp = dims or _dims(t)
-    lines = wh.explode_order_lines(wh.orders_nested(t.orders, t.lineitem))
+    lines = wh.explode_order_lines(wh.orders_nested(wh.resolve_customers(t.orders, dc), t.lineitem))
     return wh.build_fact_sales(lines, dc, dp), dc, dp
 
 
@@ -295,7 +295,7 @@ def q_sales_daily(spark, t):
 def q_sales_daily_enriched(spark, t):
     """Daily sales with customer segment, country, category, brand."""
     fact, dc, dp = _fact(t)
-    return wh.enrich_daily(wh.daily_sales(fact), dc, dp)
+    return wh.enrich_daily(wh.daily_sales(fact, with_part=True), dc, dp)
 
 
 @query("sales_daily_incremental", ENRICHED_SQL)
@@ -306,7 +306,7 @@ def q_sales_daily_incremental(spark, t):
     fact, dc, dp = _fact(t)
     fact = stage(fact, "fact-sales")
     cut = F.lit("2000-01-01").cast("date")
-    first = stage(wh.enrich_daily(wh.daily_sales(fact.where(F.col("order_date") < cut)), dc, dp), "mart")
+    first = stage(wh.enrich_daily(wh.daily_sales(fact.where(F.col("order_date") < cut), with_part=True), dc, dp), "mart")
     return wh.incremental_daily(first, fact, dc, dp)
 
 
@@ -324,7 +324,7 @@ def q_sales_daily_incremental_table(spark, t):
     files.write_table(fact.select("*", month), fact_path, "overwrite", ["order_month"])
     fact_tbl = spark.read.parquet(fact_path)
     first = wh.enrich_daily(
-        wh.daily_sales(fact_tbl.where(F.col("order_date") < F.lit("2000-01-01").cast("date"))), dc, dp
+        wh.daily_sales(fact_tbl.where(F.col("order_date") < F.lit("2000-01-01").cast("date")), with_part=True), dc, dp
     )
     files.write_table(first.select("*", month), mart_path, "overwrite", ["order_month"])
     cut = wh.incremental_cutoff(spark.read.parquet(mart_path))

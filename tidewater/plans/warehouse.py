@@ -183,6 +183,8 @@ def build_dim_product(part: DataFrame) -> DataFrame:
 # Order lines (P1-P4, P12) and the sales fact
 # --------------------------------------------------------------------------
 
+CUSTOMER_SK = "dim_customer_sk"
+HEADER_FIELDS = ["order_id", "customer_id", "order_ts", "channel", "currency"]
 LINE_FIELDS = ["line_id", "sku", "store_id", "qty", "unit_price", "line_amount", "return_flag"]
 
 
@@ -212,13 +214,20 @@ def order_lines_raw(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def resolve_customers(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    """J1 on the order headers: all lines of an order have its customer and time,
+    so the customer version is looked up once per order, on rows of a quarter of
+    the number and width, and not once per line."""
+    return pit_join(orders, dim_customer, "o_custkey", "o_orderdate", CUSTOMER_KEY, {CUSTOMER_SK: CUSTOMER_SK})
+
+
 def orders_nested(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Bronze-shaped order records: header columns + ``lines array<struct>``.
 
     Each delivered line arrives as its own order record carrying a one-line
     array (no per-order gathering, so a huge order never becomes one giant
     array in one task); orders that never received lines arrive with a NULL
-    array.
+    array. A customer version that ``resolve_customers`` found stays in the header.
     """
     lines = order_lines_raw(lineitem)
     header = orders.select(
@@ -229,6 +238,7 @@ def orders_nested(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.lit("USD").alias("currency"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_totalprice").cast("decimal(12,2)").alias("total"),
+        *[c for c in orders.columns if c == CUSTOMER_SK],
     )
     with_lines = lines.join(header, "order_id", "inner").select(
         *header.columns, F.array(F.struct(*LINE_FIELDS)).alias("lines")
@@ -241,7 +251,7 @@ def orders_nested(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 
 def explode_order_lines(nested: DataFrame) -> DataFrame:
-    keep = ["order_id", "customer_id", "order_ts", "channel", "currency"]
+    keep = [*HEADER_FIELDS, *[c for c in nested.columns if c == CUSTOMER_SK]]
     return explode_array(nested, "lines", keep, {f: f for f in LINE_FIELDS})
 
 
@@ -249,13 +259,17 @@ def build_fact_sales(lines: DataFrame, dim_customer: DataFrame, dim_product: Dat
                      salt_buckets: int = 1, unknown_sk: int | None = None) -> DataFrame:
     """Dedupe (ordered, before the joins) -> PIT customer -> PIT product.
 
+    Lines whose headers went through ``resolve_customers`` have their customer
+    version already: it depends on customer and time alone, which the dedupe
+    compares, so the same lines survive with the same version.
     Lines with no dimension version at order time keep a NULL key (reported
     by the mart tests), or ``unknown_sk`` (e.g. -1, the 'unknown' member).
     """
-    deduped = dedupe_ordered(lines, ["order_id", "line_id"])
-    with_c = pit_join(
+    keys = ["order_id", "line_id"]
+    deduped = dedupe_ordered(lines, keys, [c for c in lines.columns if c not in (*keys, CUSTOMER_SK)])
+    with_c = deduped if CUSTOMER_SK in lines.columns else pit_join(
         deduped, dim_customer, "customer_id", "order_ts", CUSTOMER_KEY,
-        {"dim_customer_sk": "dim_customer_sk"}, salt_buckets=salt_buckets,
+        {CUSTOMER_SK: CUSTOMER_SK}, salt_buckets=salt_buckets,
     )
     with_p = pit_join(
         with_c, dim_product, "sku", "order_ts", PRODUCT_KEY,
@@ -278,21 +292,44 @@ def build_fact_sales(lines: DataFrame, dim_customer: DataFrame, dim_product: Dat
 MART_GRAIN = ["order_date", "dim_customer_sk", "dim_product_sk", "store_id", "channel", "currency"]
 
 
-def daily_sales(fact: DataFrame) -> DataFrame:
-    return fact.groupBy(*MART_GRAIN).agg(
+#: Parts that the days of one customer version are dealt to.
+CUSTOMER_PARTS = 4
+PART = "_part"
+
+
+def _part(spread: F.Column) -> F.Column:
+    """The part of a row by the other columns of its grain. Rows of no customer
+    version are dealt over all tasks (they meet no row of the dimension)."""
+    return F.when(F.col(CUSTOMER_SK).isNull(), spread).otherwise(F.pmod(spread, F.lit(CUSTOMER_PARTS)))
+
+
+def daily_sales(fact: DataFrame, with_part: bool = False) -> DataFrame:
+    """A1. The rows are dealt once, by customer version and part: both the orders
+    of a group and the groups are counted there, and ``enrich_daily`` looks the
+    customer up there if it is given the part."""
+    spread = F.xxhash64(*[c for c in MART_GRAIN if c != CUSTOMER_SK])
+    dealt = fact.withColumn(PART, _part(spread)).repartition(CUSTOMER_SK, PART)
+    daily = dealt.groupBy(*MART_GRAIN, PART).agg(
         F.sum("qty").alias("units"),
         F.sum("line_amount").alias("gross_revenue"),
         F.count_distinct("order_id").alias("orders"),
     )
+    return daily if with_part else daily.drop(PART)
 
 
 def enrich_daily(daily: DataFrame, dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Attributes by surrogate key (the dimensions are staged tables, so
-    Spark knows their bytes and broadcasts the small ones)."""
-    c = dim_customer.select("dim_customer_sk", F.col("c_mktsegment").alias("customer_segment"), "country")
+    Spark knows their bytes and broadcasts the small ones). Rows with their part
+    (``daily_sales``) meet a copy of the customer's row in that part, where they
+    are already; the part goes."""
+    c = dim_customer.select(CUSTOMER_SK, F.col("c_mktsegment").alias("customer_segment"), "country")
     p = dim_product.select("dim_product_sk", F.col("p_type").alias("category"), F.col("p_brand").alias("brand"))
-    return daily.join(c, "dim_customer_sk", "left").join(p, "dim_product_sk", "left").select(
-        *daily.columns, "customer_segment", "country", "category", "brand"
+    on = [CUSTOMER_SK]
+    if PART in daily.columns:
+        c = c.withColumn(PART, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(CUSTOMER_PARTS - 1).cast("long"))))
+        on.append(PART)
+    return daily.join(c, on, "left").join(p, "dim_product_sk", "left").select(
+        *[x for x in daily.columns if x != PART], "customer_segment", "country", "category", "brand"
     )
 
 
@@ -302,6 +339,10 @@ def incremental_cutoff(target: DataFrame, col: str = "order_date", default: str
     return row["m"] if row and row["m"] is not None else default
 
 
+def _since(cut, lookback_days: int) -> F.Column:
+    return F.col("order_date") >= F.date_sub(F.lit(cut).cast("date"), lookback_days)
+
+
 def incremental_source(target: DataFrame, fact: DataFrame, dim_customer: DataFrame,
                        dim_product: DataFrame, lookback_days: int = 0,
                        affected_dates: DataFrame | None = None) -> DataFrame:
@@ -316,9 +357,8 @@ def incremental_source(target: DataFrame, fact: DataFrame, dim_customer: DataFra
     if affected_dates is not None:
         fresh = fact.join(affected_dates.select("order_date").distinct(), "order_date", "left_semi")
     else:
-        cut = incremental_cutoff(target)
-        fresh = fact.where(F.col("order_date") >= F.date_sub(F.lit(cut).cast("date"), lookback_days))
-    return enrich_daily(daily_sales(fresh), dim_customer, dim_product)
+        fresh = fact.where(_since(incremental_cutoff(target), lookback_days))
+    return enrich_daily(daily_sales(fresh, with_part=True), dim_customer, dim_product)
 
 
 def incremental_daily(target: DataFrame, fact: DataFrame, dim_customer: DataFrame,
