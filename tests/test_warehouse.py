@@ -210,3 +210,21 @@ def test_customers_of_headers_and_parts_give_the_same_mart(spark, sales_rows):
         assert _exchanges(wh.enrich_daily(wh.daily_sales(flat, with_part=True), dc.hint("merge"), dp.hint("merge"))) == 4
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_days_before_the_cutoff_pass_by_the_upsert(spark, sales_rows, monkeypatch):
+    orders, line, dc, dp = sales_rows
+    fact = wh.build_fact_sales(wh.explode_order_lines(wh.orders_nested(orders, line)), dc, dp)
+    full = wh.enrich_daily(wh.daily_sales(fact), dc, dp)
+    dateless = full.limit(1).withColumn("order_date", F.lit(None).cast("date"))
+    target = full.where("order_date < DATE'1996-01-01'").unionByName(dateless)
+    seen = []
+
+    def spy(part, src, *a, **k):
+        seen.append(part.select("order_date").distinct().count())
+        return upsert(part, src, *a, **k)
+
+    monkeypatch.setattr(wh, "upsert", spy)
+    got = wh.incremental_daily(target, fact, dc, dp)
+    assert seen == [1]  # only the last day's rows of the target are compared
+    assert sorted(got.collect(), key=str) == sorted(full.unionByName(dateless).collect(), key=str)

@@ -364,9 +364,15 @@ def incremental_source(target: DataFrame, fact: DataFrame, dim_customer: DataFra
 def incremental_daily(target: DataFrame, fact: DataFrame, dim_customer: DataFrame,
                       dim_product: DataFrame, lookback_days: int = 0,
                       affected_dates: DataFrame | None = None) -> DataFrame:
-    """Recompute the selected days and upsert them on the full grain."""
+    """Recompute the selected days and upsert them on the full grain (J6). The
+    day is in the grain, so target rows of days before the cutoff match no
+    recomputed row: they pass by the upsert."""
     src = stage(incremental_source(target, fact, dim_customer, dim_product, lookback_days, affected_dates), "mart-rows")
-    return upsert(target, src, MART_GRAIN, null_safe=True, check_unique=False)
+    if affected_dates is not None:
+        return upsert(target, src, MART_GRAIN, null_safe=True, check_unique=False)
+    again = F.coalesce(_since(incremental_cutoff(target), lookback_days), F.lit(False))
+    merged = upsert(target.where(again), src, MART_GRAIN, null_safe=True, check_unique=False)
+    return target.where(~again).unionByName(merged, allowMissingColumns=True)
 
 
 # --------------------------------------------------------------------------
