@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidewater.operators.keys import assign_surrogate_keys
 from tidewater.operators.latest import latest_per_key
 from tidewater.operators.pit_join import pit_join
-from tidewater.operators.upsert import DuplicateKeyError, cdc_apply, upsert
+from tidewater.operators.upsert import DuplicateKeyError, cdc_apply, upsert, upsert_partitioned_table
 from tidewater.plans import warehouse as wh
 
 
@@ -228,3 +228,12 @@ def test_days_before_the_cutoff_pass_by_the_upsert(spark, sales_rows, monkeypatc
     got = wh.incremental_daily(target, fact, dc, dp)
     assert seen == [1]  # only the last day's rows of the target are compared
     assert sorted(got.collect(), key=str) == sorted(full.unionByName(dateless).collect(), key=str)
+
+
+def test_table_upsert_stages_only_the_rows_that_stay(spark, tmp_path):
+    path, kept = str(tmp_path / "t"), str(tmp_path / "kept")
+    spark.createDataFrame([(1, "a", "m1"), (2, "b", "m1"), (3, "c", "m2")], "k int, v string, m string").write.partitionBy("m").parquet(path)
+    source = spark.createDataFrame([(2, "B", "m1"), (4, "d", "m3")], "k int, v string, m string")
+    upsert_partitioned_table(spark, path, source, ["k"], "m", kept)
+    assert [r.k for r in spark.read.parquet(kept).collect()] == [1]
+    assert sorted((r.k, r.v, r.m) for r in spark.read.parquet(path).collect()) == [(1, "a", "m1"), (2, "B", "m1"), (3, "c", "m2"), (4, "d", "m3")]

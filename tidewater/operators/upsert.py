@@ -27,6 +27,11 @@ def _key_condition(left: DataFrame, right: DataFrame, keys: list[str], null_safe
     return reduce(lambda a, b: a & b, parts)
 
 
+def _unmatched(target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool) -> DataFrame:
+    t, s = target.alias("_t"), source.select(*keys).alias("_s")
+    return t.join(s, _key_condition(t, s, keys, null_safe), "left_anti")
+
+
 def assert_unique(df: DataFrame, keys: list[str]) -> None:
     dup = df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
     if dup:
@@ -47,11 +52,7 @@ def upsert(
     size tells Spark whether to broadcast its keys."""
     if check_unique:
         assert_unique(source, keys)
-    t = target.alias("_t")
-    s = source.select(*keys).alias("_s")
-    cond = _key_condition(t, s, keys, null_safe)
-    kept = t.join(s, cond, "left_anti")
-    return kept.unionByName(source, allowMissingColumns=True)
+    return _unmatched(target, source, keys, null_safe).unionByName(source, allowMissingColumns=True)
 
 
 def cdc_apply(
@@ -88,9 +89,9 @@ def upsert_partitioned_table(
 
     Only partitions the source touches are read and rewritten: the source is
     staged once, its distinct partition values (no more than the table has
-    partitions) become literals of the target's scan. The merged
-    rows are staged first (the target path is being overwritten, so its
-    lineage must be cut), then written with dynamic partition overwrite.
+    partitions) become literals of the target's scan. The target rows that stay
+    are staged first (the target path is being overwritten, so its lineage must
+    be cut), then written with the staged source by dynamic partition overwrite.
     """
     target = spark.read.parquet(path)
     source = stage(source, "upsert-source")
@@ -98,10 +99,11 @@ def upsert_partitioned_table(
     known = [v for v in touched if v is not None]
     here = F.col(partition_col).isin(known) if known else F.lit(False)
     affected = target.where(here | F.col(partition_col).isNull() if None in touched else here)
-    merged = upsert(affected, source, keys)
-    merged.write.mode("overwrite").parquet(staging_path)
+    assert_unique(source, keys)
+    _unmatched(affected, source, keys, True).write.mode("overwrite").parquet(staging_path)
     (
-        spark.read.parquet(staging_path)
+        spark.read.schema(target.schema).parquet(staging_path)
+        .unionByName(source, allowMissingColumns=True)
         .hint("rebalance", partition_col)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
