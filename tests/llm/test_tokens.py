@@ -145,3 +145,22 @@ def test_token_files_refuse_ids_that_do_not_fit(tmp_path):
     writer.add(1, np.array([65535], "<u4"))
     with pytest.raises(ValueError, match="70000"):
         writer.add(2, np.array([3, 70000], "<u4"))
+
+
+def test_encoder_takes_each_word_in_one_lookup():
+    """No pass over the words but the lookup itself; the ids are the library's."""
+    from tidewater.llm.common import BoundedCache
+    from tidewater.llm.token_output import CachedEncoder
+
+    class OnePass(BoundedCache):
+        def __contains__(self, key):
+            raise AssertionError("looked up twice")
+
+    path = pa.path("byte_bpe_50k.json")
+    encoder = CachedEncoder(path)
+    encoder.known = OnePass(encoder.known.make, 5)  # so small that parts are forgotten between texts
+    texts = ["the cat, the dog.\nthe 12 cats", "café naïve Жук! a.b", "two  blanks <|endoftext|>", " led", "nul \0 here", "", "the cat 中文."]
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    for _ in range(2):
+        assert [x.tolist() for x in encoder.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]

@@ -10,13 +10,13 @@ from __future__ import annotations
 
 import re
 
-_ADJACENT = re.compile(r"\s\s|\0")
+_ADJACENT = re.compile(r"\s\s")
 
 
 def chunks(text: str) -> list[str]:
     """Parts whose encodings, joined, are the encoding of ``text``."""
     if not text:
         return []
-    if text[-1].isspace() or text[0].isspace() or _ADJACENT.search(text):
+    if text[-1].isspace() or text[0].isspace() or "\0" in text or _ADJACENT.search(text):
         return [text]
     return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")

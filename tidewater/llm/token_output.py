@@ -9,11 +9,11 @@ succeeded, so a repeated or lost task does no harm."""
 from __future__ import annotations
 
 import os
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,41 +44,37 @@ class CachedEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known = BoundedCache(self._one, limit)
+        self.model = self.tokenizer.model
+        self.known = BoundedCache(self._part, limit)
         self.signs = byte_signs()
 
-    def _one(self, part: str) -> bytes:
-        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
     def _is_word(self, part: str) -> bool:
         """A blank and Latin letters, or letters alone: one piece of the split."""
         word = part[1:] if part[0] == " " else part
-        return word.isalpha() and max(word) <= self.LAST_LATIN
+        return word.isalpha() and (word.isascii() or max(word) <= self.LAST_LATIN)
 
     def _word(self, part: str) -> bytes:
         """The library's model on one piece, without its splitting."""
-        ids = [t.id for t in self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(self.signs))]
-        return np.array(ids, dtype="<u4").tobytes()
+        signs = part.replace(" ", self.signs[32]) if part.isascii() else part.encode().decode("latin-1").translate(self.signs)
+        ids = [t.id for t in self.model.tokenize(signs)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _pieces(self, part: str) -> tuple[str, ...]:
         return (part[:-1], part[-1]) if len(part) > 1 and part[-1] in self.STOPS and part[-2].isalpha() else (part,)
 
+    def _piece(self, part: str) -> bytes:
+        if self._is_word(part):
+            return self._word(part)
+        ids = self.tokenizer.encode(part, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _part(self, part: str) -> bytes:
+        pieces = self._pieces(part)
+        return self._piece(part) if len(pieces) == 1 else b"".join(map(self.known.__getitem__, pieces))
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts, known = [chunks(t) for t in texts], self.known
-        new = {c: self._pieces(c) for c in set(chain.from_iterable(parts)) if c not in known and c not in known.old}
-        todo = [p for p in set(chain.from_iterable(new.values())) if p not in known and p not in known.old]
-        fresh = {p: self._word(p) for p in todo if self._is_word(p)}
-        todo = [p for p in todo if p not in fresh]
-        for at in range(0, len(todo), 4096):
-            some = todo[at : at + 4096]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                fresh[p] = np.array(e.ids, dtype="<u4").tobytes()
-        for c, pieces in new.items():
-            fresh[c] = b"".join([fresh[p] if p in fresh else known[p] for p in pieces])
-        out = [np.frombuffer(b"".join([fresh[c] if c in fresh else known[c] for c in p]), "<u4") for p in parts]
-        for c, ids in fresh.items():
-            known.put(c, ids)
-        return out
+        known = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(known, chunks(t))), "<u4") for t in texts]
 
 
 def byte_signs() -> dict[int, str]:
