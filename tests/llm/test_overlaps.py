@@ -270,3 +270,18 @@ def test_pipeline_on_odd_rows(spark):
             assert out.count() >= 0
             if name != "tokens":
                 assert out.columns == docs.columns
+
+
+def test_op9_whole_weights_need_no_heights_of_darts(monkeypatch):
+    """Below a weight of 1 and more lies the whole first region, so no height is hashed there."""
+    import numpy as np
+
+    mix, sizes = dart_minhash._mix, []
+    monkeypatch.setattr(dart_minhash, "_mix", lambda x: sizes.append(len(x)) or mix(x))
+    elements = np.arange(1, 301, dtype=np.uint64)
+    whole = dart_minhash.signatures([(elements, np.ones(300))])
+    hashed = sum(sizes)
+    sizes.clear()
+    part = dart_minhash.signatures([(elements, np.full(300, 0.999))])
+    assert hashed < 0.85 * sum(sizes)
+    assert (whole == part).mean() > 0.9

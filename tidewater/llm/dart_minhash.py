@@ -45,9 +45,12 @@ _U = np.uint64
 
 def _mix(x: np.ndarray) -> np.ndarray:
     """splitmix64's finisher: a hash of each number."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    x = x ^ (x >> _U(30))  # a new array, changed in place from here on
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(27)
+    x *= _U(0x94D049BB133111EB)
+    x ^= x >> _U(31)
+    return x
 
 
 def word_hash(word: bytes) -> int:
@@ -107,21 +110,21 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], k: int = K) -> np.ndar
             cell = _mix(elements[at] ^ _mix(np.full(1, v + 1, np.uint64)))
             weight, row, limit = weights[at], doc[at], reach[todo][doc[at]]
             rank, number = np.zeros(len(at)), 0
-            while len(at):
+            while len(cell):
                 number += 1
                 dart = _mix(cell + _U(number * 0x9E3779B97F4A7C15 % 2**64))
                 rank = rank - np.log1p(-(dart >> _U(11)).astype(np.float64) * 2.0**-53) / 2**v
-                near = rank < limit
-                at, cell, weight, row, limit, rank, dart = at[near], cell[near], weight[near], row[near], limit[near], rank[near], dart[near]
-                more = _mix(dart + _U(1))
-                if v:  # the first region has whole weight below any weight of 1 and more
-                    below = 2**v - 1 + (more >> _U(11)).astype(np.float64) * 2.0 ** (v - 53) < weight
-                else:
-                    below = (weight >= 1) | ((more >> _U(11)).astype(np.float64) * 2.0**-53 < weight)
-                name = _mix(dart + _U(2))
-                slots.append(row[below] * k + (name[below] % _U(k)).astype(np.int64))
-                ranks.append(rank[below])
-                names.append(name[below])
+                near = np.flatnonzero(rank < limit)
+                cell, weight, row, limit, rank, dart = (x.take(near) for x in (cell, weight, row, limit, rank, dart))
+                hit_row, hit_rank, hit = row, rank, dart
+                if v or (weight < 1).any():  # the first region has whole weight below any weight of 1 and more
+                    height = (_mix(dart + _U(1)) >> _U(11)).astype(np.float64) * 2.0 ** (v - 53)
+                    below = np.flatnonzero((2**v - 1 + height < weight) | ((v == 0) & (weight >= 1)))
+                    hit_row, hit_rank, hit = row.take(below), rank.take(below), dart.take(below)
+                name = _mix(hit + _U(2))
+                slots.append(hit_row * k + (name % _U(k)).astype(np.int64))
+                ranks.append(hit_rank)
+                names.append(name)
         slot, rank, name = np.concatenate(slots), np.concatenate(ranks), np.concatenate(names)
         best = np.full(len(todo) * k, np.inf)
         np.minimum.at(best, slot, rank)
